@@ -105,42 +105,50 @@ FLIGHTS_SQL = _sql("flights")
 SHIPS_SQL = _sql("ships")
 
 
-def _spark(spark, sf_dir: str, kind: str) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem")
-    cols = []
-    for n, e in _LINE_COLUMNS[kind].items():
-        c = F.expr(e)
-        cols.append(c.alias(n))
-    out = lines.select(*LINE_KEY, *cols)
-    # decimal literals of the shared text are doubles in this engine
-    return out.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in out.schema])
+# events as ship reports
+_REPORT_COLUMNS = {
+    "event_id": "event_id",
+    "imo": "user_id",
+    "date": "ts",
+    "value": "value",
+    "eventTypesString": "CASE event_type WHEN 'signup' THEN 'Noon At Sea' WHEN 'purchase' THEN 'Departure In Port' "
+    "WHEN 'click' THEN 'AtSeaDrifting' WHEN 'view' THEN 'EOSP' ELSE 'On Hire (In Port)' END",
+    "operationalMode": "CASE WHEN event_id % 4 = 0 THEN 'Manoeuvring' WHEN event_id % 4 = 1 THEN 'InPortMoored' ELSE 'AtSeaUnderwayUsingEngine' END",
+    "time": "value / 13.0",
+    "meHours": "value / 17.0",
+    "meHours1": "value / 19.0",
+    "speedBosp": "value / 23.0",
+    "windSpeedBf": "value / 29.0",
+    "aeCons": "value / 31.0",
+    "aeEnergyProd": "CASE WHEN event_id % 6 = 0 THEN 0.0 ELSE value * 3 END",
+    "meCons": "value / 37.0",
+    "meEnergyProd": "value * 5",
+    "position": "CASE WHEN event_id % 3 = 0 THEN concat('Dep. PORT', CAST(user_id AS VARCHAR(9)), 'X PORT') "
+    "WHEN event_id % 3 = 1 THEN 'EOSP somewhere' ELSE NULL END",
+    "prevPortUnLocode": "concat('A', CAST(event_id % 9 AS VARCHAR(9)))",
+    "nextPortUnLocode": "concat('B', CAST(event_id % 7 AS VARCHAR(9)))",
+}
+REPORTS_SQL = "SELECT " + ",\n  ".join(f"{e} AS {n}" for n, e in _REPORT_COLUMNS.items()) + "\nFROM events"
+
+
+def _as_doubles(df: DataFrame) -> DataFrame:
+    """Decimal literals of the shared texts are doubles in this engine."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema])
 
 
 def flights(spark, sf_dir: str) -> DataFrame:
-    return _spark(spark, sf_dir, "flights")
+    return _lines(spark, sf_dir, "flights")
 
 
 def ships(spark, sf_dir: str) -> DataFrame:
-    return _spark(spark, sf_dir, "ships")
+    return _lines(spark, sf_dir, "ships")
 
 
-# events as ship reports
-REPORTS_SQL = """
-SELECT event_id, user_id AS imo, ts AS date, value,
-  CASE event_type WHEN 'signup' THEN 'Noon At Sea' WHEN 'purchase' THEN 'Departure In Port' WHEN 'click' THEN 'AtSeaDrifting'
-       WHEN 'view' THEN 'EOSP' ELSE 'On Hire (In Port)' END AS eventTypesString,
-  CASE WHEN event_id % 4 = 0 THEN 'Manoeuvring' WHEN event_id % 4 = 1 THEN 'InPortMoored' ELSE 'AtSeaUnderwayUsingEngine' END AS operationalMode,
-  value / 13.0 AS time, value / 17.0 AS meHours, value / 19.0 AS meHours1, value / 23.0 AS speedBosp, value / 29.0 AS windSpeedBf,
-  value / 31.0 AS aeCons, CASE WHEN event_id % 6 = 0 THEN 0.0 ELSE value * 3 END AS aeEnergyProd, value / 37.0 AS meCons, value * 5 AS meEnergyProd,
-  CASE WHEN event_id % 3 = 0 THEN concat('Dep. PORT', CAST(user_id AS VARCHAR(9)), 'X PORT') WHEN event_id % 3 = 1 THEN 'EOSP somewhere' ELSE NULL END AS position,
-  concat('A', CAST(event_id % 9 AS VARCHAR(9))) AS prevPortUnLocode, concat('B', CAST(event_id % 7 AS VARCHAR(9))) AS nextPortUnLocode
-FROM events
-"""
+def _lines(spark, sf_dir: str, kind: str) -> DataFrame:
+    cols = [F.expr(e).alias(n) for n, e in _LINE_COLUMNS[kind].items()]
+    return _as_doubles(load(spark, sf_dir, "lineitem").select(*LINE_KEY, *cols))
 
 
 def reports(spark, sf_dir: str) -> DataFrame:
-    src = load(spark, sf_dir, "events")
-    view = "fleetmart_events"
-    src.createOrReplaceTempView(view)
-    out = spark.sql(REPORTS_SQL.replace("FROM events", f"FROM {view}"))
-    return out.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in out.schema])
+    cols = [F.expr(e).alias(n) for n, e in _REPORT_COLUMNS.items()]
+    return _as_doubles(load(spark, sf_dir, "events").select(*cols))

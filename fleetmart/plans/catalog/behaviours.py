@@ -285,9 +285,6 @@ def _use_sql(n: int, hours: list[str], powers: list[str], loads: list[str], cons
     """CTE texts for demand, share and the full-use flag of n engines."""
     denom = " + ".join(f"{c} * ({c} * {m}) * {h}" for c, m, h in zip(consts, loads, hours))
     count = " + ".join(f"CASE WHEN {h} > 0 THEN 1 ELSE 0 END" for h in hours)
-    caps = ", ".join(
-        f"(SELECT sum(v) FROM unnest(big[1:{k}]) AS u(v)) * {consts[0]} * ({duration} + 1) AS cap{k}" for k in range(1, n + 1)
-    )
     caps = ", ".join(f"({' + '.join(f'big[{j}]' for j in range(1, k + 1))}) * {consts[0]} * ({duration} + 1) AS cap{k}" for k in range(1, n + 1))
     fits = " OR ".join(
         f"(cnt = {k} AND demand <= cap{k}" + (f" AND demand > cap{k - 1}" if k > 1 else "") + ")" for k in range(1, n + 1)
@@ -374,8 +371,10 @@ def _(spark, sf_dir):
 # Reason chain, exclusions and qualification
 
 EXCLUSIONS = [{"field_name": "vehicle", "values": ["A339"]}, {"field_name": "destination", "values": ["P3", "P17"]}]
-_EXCLUDED = """CASE WHEN vehicle IN ('A339') THEN 'NOT_POSSIBLE__FILTERED_SETTINGS__VEHICLE'
-  WHEN destination IN ('P3', 'P17') THEN 'NOT_POSSIBLE__FILTERED_SETTINGS__DESTINATION' ELSE '' END"""
+EXCLUDED = [
+    ("NOT_POSSIBLE__FILTERED_SETTINGS__VEHICLE", "vehicle IN ('A339')"),
+    ("NOT_POSSIBLE__FILTERED_SETTINGS__DESTINATION", "destination IN ('P3', 'P17')"),
+]
 
 
 @query(
@@ -386,13 +385,44 @@ def _(spark, sf_dir):
     return reti_events(spark, sf_dir).groupBy(F.col("reti__reason").alias("reason")).agg(F.count(F.lit(1)).alias("events"))
 
 
+_FILTERED_SQL = result_sql(
+    _taxi_ctes("in", "constant_reti_cooldown_time", "constant_reti_threshold"), EXCLUDED + _taxi_reasons("UNDER_MIN_COOLDOWN"),
+    _SAVED, f"lim > 0 AND ({_SAVED}) > 0", "round(net, 2)",
+    "CASE WHEN reason LIKE 'NOT_POSSIBLE__FILTERED_SETTINGS%' THEN 0 ELSE round(mx * pairs, 2) END",
+)
+
+
 @query(
     "filter_exclusions",
-    f"""WITH base AS ({RETI_SQL}), f AS ({A.FLIGHTS_SQL}),
-k AS (SELECT {KEY}, {_EXCLUDED} AS ex, reason FROM base JOIN (SELECT DISTINCT {KEY}, vehicle, destination FROM f) USING ({KEY}))
-SELECT CASE WHEN ex <> '' THEN ex ELSE reason END AS reason, CAST(count(*) AS BIGINT) AS events FROM k GROUP BY 1""",
+    f"""SELECT reason, CAST(count(*) AS BIGINT) AS events, CAST(sum(success) AS BIGINT) AS successes,
+    {shown_sql('sum(best_case_savings)', 2)} AS best_case_savings FROM ({_FILTERED_SQL}) GROUP BY reason""",
 )
 def _(spark, sf_dir):
     df = with_constants(A.flights(spark, sf_dir)).withColumn("fuel_burn_reti_main_engine", F.col("fuel_burn_taxi_in1_kg"))
     out = B.calculate(df, "Reduced_Engine_Taxi_In", exclusions=EXCLUSIONS, blackout=A.BLACKOUT)
-    return out.groupBy(F.col("reti__reason").alias("reason")).agg(F.count(F.lit(1)).alias("events"))
+    return out.groupBy(F.col("reti__reason").alias("reason")).agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum(F.col("reti__success").cast("int")).alias("successes"),
+        shown(F.sum("reti__best_case_savings"), 2).alias("best_case_savings"),
+    )
+
+
+@query(
+    "qualified_flag",
+    f"""WITH a AS ({RETI_SQL}) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(reason = '' AS INTEGER) AS qualified FROM a""",
+)
+def _(spark, sf_dir):
+    out = reti_events(spark, sf_dir).withColumn("qualified", B.qualified(["reti"]))
+    return out.select(*[long(F.col(k)).alias(k) for k in A.LINE_KEY], F.col("qualified").cast("int").alias("qualified"))
+
+
+@query(
+    "qualified_counts",
+    f"""WITH a AS ({RETI_SQL}) SELECT l_linenumber, CAST(count(*) AS BIGINT) AS events,
+    CAST(count(*) FILTER (WHERE reason <> '') AS BIGINT) AS non_qualified FROM a GROUP BY l_linenumber""",
+)
+def _(spark, sf_dir):
+    out = reti_events(spark, sf_dir).withColumn("qualified", B.qualified(["reti"]))
+    return out.groupBy(long(F.col("l_linenumber")).alias("l_linenumber")).agg(
+        F.count(F.lit(1)).alias("events"), F.count_if(~F.col("qualified")).alias("non_qualified")
+    )
