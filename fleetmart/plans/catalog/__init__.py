@@ -4,6 +4,6 @@ from fleetmart.plans.catalog.base import QUERIES, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from fleetmart.plans.catalog import behaviours, joins, timeline  # noqa: F401
+    from fleetmart.plans.catalog import behaviours, joins, pipelines, quality, tables, timeline, vault  # noqa: F401
 
     return QUERIES

@@ -92,6 +92,12 @@ _LINE_COLUMNS = {
         "aux_engine2_const": "0.81",
         "aux_engine3_const": "0.79",
         "aux_engine4_const": "0.8",
+        "emo_sfoc": "l_extendedprice / 331.0",
+        "total_propulsion_consumption_new": "l_quantity * 2.1",
+        "total_generator_consumption_new": "l_discount * 900",
+        "meandraft": "l_linenumber + l_tax * 7",
+        "beaufort": "CASE WHEN l_linenumber = 2 THEN 7 ELSE 3 END",
+        "tank_cleaning_consumption_mgo": "CASE WHEN l_quantity = 44 THEN 1.5 ELSE 0.0 END",
     },
 }
 

@@ -205,7 +205,8 @@ def points(spark, sf_dir):
 
 
 # cell corners by plain inequality on the axis values; trim bracketed on the nodes of the cell's own corner line
-_CELLS_SQL = f"""{_GRID_SQL}, ds AS (SELECT ship_class, draft AS d0, lead(draft) OVER (PARTITION BY ship_class ORDER BY draft) AS d1 FROM (SELECT DISTINCT ship_class, draft FROM g)),
+def cells_sql(grid_sql: str) -> str:
+    return f"""{grid_sql}, ds AS (SELECT ship_class, draft AS d0, lead(draft) OVER (PARTITION BY ship_class ORDER BY draft) AS d1 FROM (SELECT DISTINCT ship_class, draft FROM g)),
 ss AS (SELECT ship_class, speed AS s0, lead(speed) OVER (PARTITION BY ship_class ORDER BY speed) AS s1 FROM (SELECT DISTINCT ship_class, speed FROM g)),
 cells AS (SELECT ds.ship_class, d0, d1, s0, s1 FROM ds JOIN ss ON ds.ship_class = ss.ship_class WHERE d1 IS NOT NULL AND s1 IS NOT NULL),
 dm AS (SELECT ship_class, max(draft) AS dmax, max(speed) AS smax FROM g GROUP BY 1),
@@ -214,7 +215,10 @@ line AS (SELECT c.*, a.trim AS t, a.power AS p00, b.power AS p10, e.power AS p01
   LEFT JOIN g b ON b.ship_class = c.ship_class AND b.draft = d1 AND b.speed = s0 AND b.trim = a.trim
   LEFT JOIN g e ON e.ship_class = c.ship_class AND e.draft = d0 AND e.speed = s1 AND e.trim = a.trim
   LEFT JOIN g h ON h.ship_class = c.ship_class AND h.draft = d1 AND h.speed = s1 AND h.trim = a.trim)"""
-_AT = "(p00 * (1 - u) * (1 - v) + p10 * u * (1 - v) + p01 * (1 - u) * v + p11 * u * v)"
+
+
+_CELLS_SQL = cells_sql(_GRID_SQL)
+AT_CORNERS = "(p00 * (1 - u) * (1 - v) + p10 * u * (1 - v) + p01 * (1 - u) * v + p11 * u * v)"
 
 
 @query(
@@ -224,8 +228,8 @@ h AS (SELECT row_number() OVER () AS id, f.* FROM f),
 j AS (SELECT h.id, h.trim AS x, line.t, (h.draft - d0) / (d1 - d0) AS u, (h.speed - s0) / (s1 - s0) AS v, p00, p10, p01, p11 FROM h
   JOIN dm ON dm.ship_class = h.ship_class
   JOIN line ON line.ship_class = h.ship_class AND d0 <= h.draft AND (h.draft < d1 OR (h.draft = d1 AND d1 = dmax)) AND s0 <= h.speed AND (h.speed < s1 OR (h.speed = s1 AND s1 = smax))),
-k AS (SELECT id, any_value(x) AS x, max(t) FILTER (WHERE t <= x) AS t0, min(t) FILTER (WHERE t >= x) AS t1, arg_max({_AT}, t) FILTER (WHERE t <= x) AS q0n,
-  list({_AT} ORDER BY t DESC) FILTER (WHERE t <= x) AS q0, list({_AT} ORDER BY t) FILTER (WHERE t >= x) AS q1 FROM j GROUP BY id)
+k AS (SELECT id, any_value(x) AS x, max(t) FILTER (WHERE t <= x) AS t0, min(t) FILTER (WHERE t >= x) AS t1, 
+  list({AT_CORNERS} ORDER BY t DESC) FILTER (WHERE t <= x) AS q0, list({AT_CORNERS} ORDER BY t) FILTER (WHERE t >= x) AS q1 FROM j GROUP BY id)
 SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_partkey AS BIGINT) AS l_partkey,
   {shown_sql('CASE WHEN t0 = t1 THEN q0[1] ELSE q0[1] + (q1[1] - q0[1]) * (x - t0) / nullif(t1 - t0, 0) END')} AS power FROM h LEFT JOIN k USING (id)""",
 )
@@ -241,7 +245,7 @@ h AS (SELECT row_number() OVER () AS id, f.* FROM f),
 j AS (SELECT h.id, line.t, (h.draft - d0) / (d1 - d0) AS u, (h.speed - s0) / (s1 - s0) AS v, p00, p10, p01, p11 FROM h
   JOIN dm ON dm.ship_class = h.ship_class
   JOIN line ON line.ship_class = h.ship_class AND d0 <= h.draft AND (h.draft < d1 OR (h.draft = d1 AND d1 = dmax)) AND s0 <= h.speed AND (h.speed < s1 OR (h.speed = s1 AND s1 = smax))),
-n AS (SELECT id, t, {_AT} AS q, lead(t) OVER (PARTITION BY id ORDER BY t) AS t1, lead({_AT}) OVER (PARTITION BY id ORDER BY t) AS q1 FROM j),
+n AS (SELECT id, t, {AT_CORNERS} AS q, lead(t) OVER (PARTITION BY id ORDER BY t) AS t1, lead({AT_CORNERS}) OVER (PARTITION BY id ORDER BY t) AS q1 FROM j),
 c AS (SELECT i, -2.0 + i * (6.0 / 49) AS x FROM range(50) r(i)),
 e AS (SELECT id, x, CASE WHEN x = t THEN q ELSE q + (q1 - q) * (x - t) / nullif(t1 - t, 0) END AS p FROM n JOIN c ON t <= x AND (x < t1 OR (t1 IS NULL AND x = t))),
 best AS (SELECT id, arg_min(x, (round(p, 9), x)) AS ideal FROM e WHERE p IS NOT NULL GROUP BY id)
