@@ -35,10 +35,11 @@ class Sheet:
     """Working columns of one behaviour, added stage by stage so that no expression is expanded twice."""
 
     def __init__(self, df: DataFrame, prefix: str):
-        self.df, self.prefix, self.made = df, prefix, []
+        self.df, self.prefix = df, prefix
+        self.inputs = frozenset(df.columns)
 
     def has(self, name: str) -> bool:
-        return name in self.df.columns
+        return name in self.inputs
 
     def text(self, name: str) -> Column:
         return F.col(name) if self.has(name) else F.lit(None).cast("string")
@@ -55,7 +56,6 @@ class Sheet:
         """Add working columns; returns references in the order given."""
         named = {f"_{self.prefix}_{k}": v for k, v in columns.items()}
         self.df = self.df.withColumns(named)
-        self.made += [n for n in named if n not in self.made]
         return [F.col(n) for n in named]
 
     def missing(self, names: Sequence[str]) -> tuple[str, Column]:

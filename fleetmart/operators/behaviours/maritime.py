@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetmart.functions.columns import ratio, total
+from fleetmart.functions.columns import any_of, ratio, total
 from fleetmart.operators.behaviours.core import Outcome, Sheet, behaviour
 from fleetmart.schema import faulty, impossible
 
@@ -47,21 +48,25 @@ def running(hours: Sequence[Column]) -> Column:
     return reduce(add, [F.coalesce((h > 0).cast("int"), F.lit(0)) for h in hours])
 
 
+def largest(loads: Sequence[Column], n: int) -> Column:
+    """Sum of the n largest loads: the best of all ways to pick n. Plain arithmetic, so it stays in generated code."""
+    sums = [total(pick) for pick in combinations(loads, n)]
+    return F.greatest(*sums) if len(sums) > 1 else sums[0]
+
+
 def full_use(count: Column, demand: Column, loads: Sequence[Column], const: Column, hours: Column) -> Column:
     """Whether the demand needed exactly the number of engines that ran.
 
     The capacity of n engines is that of the n largest; with n running, the demand must exceed the capacity of
     n-1 and fit that of n. One running engine has no lower bound.
     """
-    largest_first = F.sort_array(F.array(*loads), asc=False)
     unit = const * (hours + CHANGEOVER_HOURS)
-
-    def capacity(n: Column) -> Column:
-        return F.aggregate(F.slice(largest_first, 1, n), F.lit(0.0), lambda acc, x: acc + x) * unit
-
-    fits = demand <= capacity(F.greatest(count, F.lit(1)))
-    needed = (count == 1) | (demand > capacity(F.greatest(count - 1, F.lit(1))))
-    return F.coalesce((count >= 1) & fits & needed, F.lit(False))
+    capacity = [largest(loads, n) * unit for n in range(1, len(loads) + 1)]
+    cases = [
+        (count == n) & (demand <= capacity[n - 1]) & ((demand > capacity[n - 2]) if n > 1 else F.lit(True))
+        for n in range(1, len(loads) + 1)
+    ]
+    return F.coalesce(any_of(cases), F.lit(False))
 
 
 @behaviour(

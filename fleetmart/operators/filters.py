@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetmart import schema as S
 from fleetmart.operators.joins import fact_join
+from fleetmart.operators.settle import settle
 
 
 def bad_files(df: DataFrame, corrupt: Column, file_column: str = "file_path") -> DataFrame:
@@ -19,14 +20,14 @@ def bad_files(df: DataFrame, corrupt: Column, file_column: str = "file_path") ->
 def quarantine_split(df: DataFrame, corrupt: Column | None = None, file_column: str = "file_path") -> tuple[DataFrame, DataFrame]:
     """(clean, quarantined): one corrupt row sends every row of its file to quarantine."""
     corrupt = F.col(S.CORRUPT_COLUMN).isNotNull() if corrupt is None else corrupt
-    bad = bad_files(df, corrupt, file_column)
+    bad = settle(bad_files(df, corrupt, file_column))
     return fact_join(df, bad, [file_column], "left_anti"), fact_join(df, bad, [file_column], "left_semi")
 
 
 def quarantine_flag(df: DataFrame, corrupt: Column, file_column: str, out: str = "quarantined") -> DataFrame:
     """Both halves in one frame, told apart by a flag."""
     bad = bad_files(df, corrupt, file_column).withColumn(out, F.lit(True))
-    return fact_join(df, bad, [file_column], "left").withColumn(out, F.coalesce(F.col(out), F.lit(False)))
+    return fact_join(df, bad, [file_column], "left", computed=True).withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
 def exclusion_cases(df: DataFrame, exclusions: Sequence[Mapping]) -> list[tuple[str, Column]]:

@@ -1,9 +1,8 @@
 """Interpolation on reference curves and grids, as joins with precomputed pieces.
 
-A grid row belongs to a class and a (draft, speed, trim) node of a regular grid. It is folded once into
-*profiles*: per class and (draft, speed) cell, the corner values along the sorted trim axis. A fact row then
-needs one equi join to its profile; the rest is arithmetic. Outside the grid, or where a corner is missing,
-the result is NULL.
+A grid row belongs to a class and a (draft, speed, trim) node of a regular grid. The grid is turned once into *cells*
+that hold their eight corner values. A fact row then needs one equi join to its cell; the rest is arithmetic in
+generated code. Outside the grid, or where a corner is missing, the result is NULL.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ratio
-from fleetmart.operators.joins import checked_broadcast
+from fleetmart.operators.joins import is_small
 
 # Trim table class and limit (percent) per ship number.
 TRIM_LIMITS = {
@@ -57,45 +56,32 @@ def curve_at(curve: DataFrame, key: str, x: str, ys: list[str], at: Column, digi
     )
 
 
-def axes(grid: DataFrame, cls: str = "ship_class") -> DataFrame:
-    """Sorted draft and speed nodes per class; the size is that of the reference grid's axes."""
-    return grid.groupBy(cls).agg(
-        F.array_sort(F.collect_set("draft")).alias("_drafts"), F.array_sort(F.collect_set("speed")).alias("_speeds")
-    )
+AXES = ("draft", "speed", "trim")
 
 
-def profiles(grid: DataFrame, cls: str = "ship_class") -> DataFrame:
-    """Cells of the (draft, speed) plane with their corner values along the trim axis."""
-    power = F.col("power")
-    clean = grid.groupBy(cls, "draft", "speed", "trim").agg(F.max(power).alias("power"))
-    nodes = clean.groupBy(cls, "draft", "speed").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("trim").alias("t"), power.alias("p")))).alias("_line")
-    )
-    along_draft = Window.partitionBy(cls, "speed").orderBy("draft")
-    along_speed = Window.partitionBy(cls, "draft").orderBy("speed")
-    # the grid is a regular one, so the next node on each axis is the next row of the same line
-    step = nodes.withColumn("_d1", F.lead("draft").over(along_draft)).withColumn("_s1", F.lead("speed").over(along_speed))
-    corner = lambda d, s, name: nodes.select(
-        F.col(cls), F.col("draft").alias(d), F.col("speed").alias(s), F.map_from_entries("_line").alias(name)
-    )
-    cell = (
-        step.join(corner("_d1", "speed", "_m10"), [cls, "_d1", "speed"])
-        .join(corner("draft", "_s1", "_m01"), [cls, "draft", "_s1"])
-        .join(corner("_d1", "_s1", "_m11"), [cls, "_d1", "_s1"])
-    )
-    packed = F.transform(
-        "_line",
-        lambda n: F.struct(
-            n["t"].alias("t"),
-            n["p"].alias("p00"),
-            F.try_element_at("_m10", n["t"]).alias("p10"),
-            F.try_element_at("_m01", n["t"]).alias("p01"),
-            F.try_element_at("_m11", n["t"]).alias("p11"),
-        ),
-    )
-    return cell.select(
-        F.col(cls), F.col("draft").alias("_d0"), "_d1", F.col("speed").alias("_s0"), "_s1", packed.alias("_line")
-    )
+def axes(nodes: DataFrame, cls: str) -> DataFrame:
+    """Sorted node values of each axis per class; as long as the reference grid's axes."""
+    return nodes.groupBy(cls).agg(*[F.array_sort(F.collect_set(a)).alias(f"_{a}s") for a in AXES])
+
+
+def corner_rows(grid: DataFrame, cls: str, dims: tuple[str, ...]) -> DataFrame:
+    """Grid cells over ``dims``: lower node, next node (``_<dim>1``) and corner values ``_p<bits>``, one bit per dim.
+
+    Each dim doubles the corners with one self-join on the grid (the grid is small; the facts are not involved).
+    A missing neighbour leaves NULL corners.
+    """
+    nodes = grid.groupBy(cls, *AXES).agg(F.max("power").alias("_p"))
+    out, corners = nodes, ["_p"]
+    for d in dims:
+        along = Window.partitionBy(cls).orderBy(d)
+        steps = nodes.select(cls, d).distinct().withColumn(f"_{d}1", F.lead(d).over(along)).filter(F.col(f"_{d}1").isNotNull())
+        keep = [c for c in out.columns if c not in (cls, *AXES, *corners)]
+        same = [a for a in AXES if a != d]
+        far = out.select(cls, *same, F.col(d).alias(f"_{d}1"), *[F.col(c).alias(f"{c}1") for c in corners])
+        near = out.join(steps, [cls, d]).select(cls, *AXES, *keep, f"_{d}1", *[F.col(c).alias(f"{c}0") for c in corners])
+        out = near.join(far, [cls, *same, f"_{d}1"], "left")
+        corners = [f"{c}{bit}" for c in corners for bit in "01"]
+    return out
 
 
 def node_below(axis: Column, x: Column) -> Column:
@@ -105,44 +91,69 @@ def node_below(axis: Column, x: Column) -> Column:
     return F.when(x <= F.element_at(axis, -1), low)
 
 
-def with_power_line(facts: DataFrame, grid: DataFrame, cls: str, draft: str, speed: str) -> DataFrame:
-    """Add ``_power``: per fact, the array of (trim, power) at its own draft and speed, NULL off the grid."""
-    ax = checked_broadcast(axes(grid, cls))
-    cells = checked_broadcast(profiles(grid, cls))
-    d, s = F.col(draft).cast("double"), F.col(speed).cast("double")
-    placed = facts.join(ax, cls, "left").withColumns({"_d0": node_below(F.col("_drafts"), d), "_s0": node_below(F.col("_speeds"), s)})
-    hit = placed.drop("_drafts", "_speeds").join(cells, [cls, "_d0", "_s0"], "left")
-    u, v = ratio(d - F.col("_d0"), F.col("_d1") - F.col("_d0")), ratio(s - F.col("_s0"), F.col("_s1") - F.col("_s0"))
-    line = F.transform(
-        "_line",
-        lambda n: F.struct(
-            n["t"].alias("t"),
-            (n["p00"] * (1 - u) * (1 - v) + n["p10"] * u * (1 - v) + n["p01"] * (1 - u) * v + n["p11"] * u * v).alias("p"),
-        ),
-    )
-    return hit.withColumn("_power", line).drop("_d0", "_d1", "_s0", "_s1", "_line")
+def blend(corners: Mapping[str, Column], shares: list[Column]) -> Column:
+    """Multilinear mix of corner values ({bits: value}); shares are the position in the cell, 0 to 1 per dim."""
+    level = dict(corners)
+    for i in reversed(range(len(shares))):
+        level = {b[:i]: level[b[:i] + "0"] * (1 - shares[i]) + level[b[:i] + "1"] * shares[i] for b in {k[:i] + "0" for k in level}}
+    return level[""]
+
+
+def share(x: Column, d: str, low: str | None = None) -> Column:
+    lo = F.col(low or f"_{d}0")
+    return ratio(x - lo, F.col(f"_{d}1") - lo)
 
 
-def power_at(line: Column, trim: Column) -> Column:
-    """Power at one trim from a (trim, power) array."""
-    lo = F.array_max(F.filter(line, lambda n: n["t"] <= trim))
-    hi = F.array_min(F.filter(line, lambda n: n["t"] >= trim))
-    return on_line(trim, lo["t"], lo["p"], hi["t"], hi["p"])
+def in_cells(facts: DataFrame, grid: DataFrame, cells: DataFrame, cls: str, at: Mapping[str, Column]) -> DataFrame:
+    """Facts with the columns of the cell they fall into (NULL outside); ``at`` is {axis: fact value}.
+
+    Axes and cells have no more rows than the grid, so one check of the grid's size covers both broadcasts.
+    """
+    small = is_small(grid)
+    hint = F.broadcast if small else (lambda df: df)
+    nodes = grid.groupBy(cls, *AXES).agg(F.max("power").alias("_p"))
+    placed = facts.join(hint(axes(nodes, cls)), cls, "left").withColumns({f"_{a}0": node_below(F.col(f"_{a}s"), x) for a, x in at.items()})
+    keyed = cells.withColumnsRenamed({a: f"_{a}0" for a in at})
+    return placed.drop(*[f"_{a}s" for a in AXES]).join(hint(keyed), [cls, *[f"_{a}0" for a in at]], "left")
 
 
-def grid_power(facts: DataFrame, grid: DataFrame, cls: str, draft: str, speed: str, trim: str, out: str) -> DataFrame:
+def grid_power(facts: DataFrame, grid: DataFrame, cls: str, draft: Column, speed: Column, trim: Column, out: str) -> DataFrame:
     """Trilinear power at each fact's (draft, speed, trim)."""
-    return with_power_line(facts, grid, cls, draft, speed).withColumn(out, power_at(F.col("_power"), F.col(trim).cast("double"))).drop("_power")
+    at = {"draft": draft, "speed": speed, "trim": trim}
+    hit = in_cells(facts, grid, corner_rows(grid, cls, AXES), cls, at)
+    corners = {c[2:]: F.col(c) for c in hit.columns if c.startswith("_p") and c[2:].strip("01") == ""}
+    power = blend(corners, [share(x, a) for a, x in at.items()])
+    return hit.withColumn(out, power).drop(*[f"_p{b}" for b in corners], *[f"_{a}{n}" for a in AXES for n in "01"])
 
 
-def ideal_trim(facts: DataFrame, grid: DataFrame, cls: str, draft: str, speed: str, out: str = "trim_ideal", keep_line: bool = False) -> DataFrame:
-    """Trim of least power among evenly spaced candidates; the smallest such trim on a tie.
+def candidate_lines(grid: DataFrame, cls: str) -> DataFrame:
+    """Per (draft, speed) cell, the candidate trims worth a look with their four corner values.
 
-    The candidates are evaluated inside each row from its power line: no product of rows is formed.
+    Power is linear between trim nodes, so within each stretch only the first and last candidate can be
+    the least: the list is at most twice as long as the trim axis.
     """
+    flat = corner_rows(grid, cls, AXES)
     step = (TRIM_HIGH - TRIM_LOW) / (TRIM_STEPS - 1)
-    candidates = F.array(*[F.lit(TRIM_LOW + i * step) for i in range(TRIM_STEPS)])
-    scored = F.transform(candidates, lambda t: F.struct(power_at(F.col("_power"), t).alias("p"), t.alias("t")))
-    best = F.array_min(F.filter(scored, lambda n: n["p"].isNotNull()))
-    done = with_power_line(facts, grid, cls, draft, speed).withColumn(out, best["t"])
-    return done if keep_line else done.drop("_power")
+    index = lambda c, way: way((c - TRIM_LOW) / step).cast("int")
+    lo = F.greatest(index(F.col("trim") - 1e-12, F.ceil), F.lit(0))
+    hi = F.least(index(F.col("_trim1") + 1e-12, F.floor), F.lit(TRIM_STEPS - 1))
+    ends = flat.withColumns({"_lo": lo, "_hi": hi}).filter("_lo <= _hi").withColumn("_i", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
+    t = F.lit(TRIM_LOW) + F.col("_i") * F.lit(step)
+    w = ratio(t - F.col("trim"), F.col("_trim1") - F.col("trim"))
+    along = {b: F.col(f"_p{b}0") * (1 - w) + F.col(f"_p{b}1") * w for b in ("00", "01", "10", "11")}
+    known = ends.select(cls, "draft", "_draft1", "speed", "_speed1", t.alias("t"), *[v.alias(f"p{b}") for b, v in along.items()]).dropna()
+    line = F.array_sort(F.collect_set(F.struct("t", "p00", "p01", "p10", "p11"))).alias("_line")
+    return known.groupBy(cls, "draft", "speed", "_draft1", "_speed1").agg(line)
+
+
+def ideal_trim(facts: DataFrame, grid: DataFrame, cls: str, draft: Column, speed: Column, out: str = "trim_ideal") -> DataFrame:
+    """Trim of least power among evenly spaced candidates; the smallest such trim on a tie.
+
+    The candidates are compared inside each row: no product of rows is formed.
+    """
+    hit = in_cells(facts, grid, candidate_lines(grid, cls), cls, {"draft": draft, "speed": speed})
+    hit = hit.withColumns({"_u": share(draft, "draft"), "_v": share(speed, "speed")})
+    u, v = F.col("_u"), F.col("_v")
+    power = lambda n: blend({b: n[f"p{b}"] for b in ("00", "01", "10", "11")}, [u, v])
+    best = F.array_min(F.transform("_line", lambda n: F.struct(F.round(power(n), 9).alias("p"), n["t"].alias("t"))))
+    return hit.withColumn(out, best["t"]).drop("_line", "_u", "_v", *[f"_{a}{n}" for a in ("draft", "speed") for n in "01"])

@@ -11,6 +11,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetmart.operators.settle import settle
+
 BROADCAST_ROWS = 100_000
 HOT_ROWS = 20_000_000
 
@@ -26,13 +28,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def config_frame(spark, values: Mapping[str, Mapping[str, object]] | Mapping[str, object], key: str, schema: str) -> DataFrame:
-    """Driver-side settings as a dimension: {key: value} or {key: {column: value}}."""
+    """Driver-side settings as a dimension: {key: value} or {key: {column: value}}.
+
+    Its rows are known here, so the broadcast hint is given here, within the usual bound."""
     rows = []
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
     for k, v in values.items():
         row = v if isinstance(v, Mapping) else {names[1]: v}
         rows.append(tuple(k if n == key else row.get(n) for n in names))
-    return spark.createDataFrame(rows, schema)
+    dim = spark.createDataFrame(rows, schema)
+    return F.broadcast(dim) if len(rows) <= BROADCAST_ROWS else dim
 
 
 def spread(df: DataFrame, on: Sequence[str], hot: DataFrame, salts: int, copy: bool) -> DataFrame:
@@ -52,27 +57,38 @@ def salted_join(fact: DataFrame, side: DataFrame, on: Sequence[str], how: str, s
     size check; beyond that the plain join with adaptive skew splitting is used.
     """
     on = list(on)
-    hot = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*on)
-    if not is_small(hot):
+    hot = settle(fact.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*on))
+    if hot.isEmpty() or not is_small(hot):
         return fact.join(side, on, how)
     joined = spread(fact, on, hot, salts, copy=False).join(spread(side, on, hot, salts, copy=True), on + ["_salt"], how)
     return joined.drop("_salt")
 
 
-def fact_join(fact: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS, salts: int = 64, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join (inner, left, left_semi, left_anti) of a large table with a keyed side of unknown size."""
+def fact_join(fact: DataFrame, side: DataFrame, on: Sequence[str], how: str = "left", computed: bool = False, max_rows: int = BROADCAST_ROWS, salts: int = 64, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join (inner, left, left_semi, left_anti) of a large table with a keyed side of unknown size.
+
+    ``computed`` says that the side is the result of a pass over a large table: it is then settled first, so
+    that the size check and the join do not repeat that pass.
+    """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"the fact side must be preserved or matched, not {how!r}")
+    if computed:
+        side = settle(side)
     if is_small(side, max_rows):
         return fact.join(F.broadcast(side), list(on), how)
     return salted_join(fact, side, on, how, salts, hot_rows)
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: Column, dim_key: str, required: bool = False, ignore_case: bool = True) -> DataFrame:
-    """Attach every value column of a dimension in one join; optionally keep only the rows it lists."""
+def lookup(df: DataFrame, dim: DataFrame, key: Column, dim_key: str, required: bool = False, ignore_case: bool = True, config: bool = False) -> DataFrame:
+    """Attach every value column of a dimension in one join; optionally keep only the rows it lists.
+
+    ``config`` marks a dimension made by :func:`config_frame`, whose size needs no check.
+    """
     fold = F.upper if ignore_case else (lambda c: c)
     side = dim.withColumn("_key", fold(F.col(dim_key))).drop(dim_key)
-    return fact_join(df.withColumn("_key", fold(key)), side, ["_key"], "inner" if required else "left").drop("_key")
+    keyed, how = df.withColumn("_key", fold(key)), "inner" if required else "left"
+    out = keyed.join(side, "_key", how) if config else fact_join(keyed, side, ["_key"], how)
+    return out.drop("_key")
 
 
 def unseen(candidates: DataFrame, known: DataFrame, on: Mapping[str, str]) -> DataFrame:

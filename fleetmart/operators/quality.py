@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from fleetmart import schema as S
 from fleetmart.operators.aggregates import duplicates
 from fleetmart.operators.joins import fact_join
+from fleetmart.operators.settle import settle
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,7 @@ def flagged(df: DataFrame, suite: Suite) -> DataFrame:
     for i, e in enumerate(suite.expectations):
         if e.function == UNIQUE:
             twice = duplicates(out, e.column).withColumn(_flag(i), F.lit(True))
-            out = fact_join(out, twice, [e.column], "left")
+            out = fact_join(out, twice, [e.column], "left", computed=True)
     flags = {}
     for i, e in enumerate(suite.expectations):
         if e.function == UNIQUE:
@@ -198,7 +199,7 @@ def tag_rows(df: DataFrame, suite: Suite, run_name: str, run_success: Column | b
 
     A key fails as soon as one of its rows fails: the failing keys (with one boolean per expectation, so
     the state per key is fixed) are joined back null-safely. Failed checks are listed once each, by name.
-    ``run_success`` is the run's outcome; by default it is whether no row failed, found in the same plan.
+    ``run_success`` is the run's outcome; by default it is whether no key failed.
     """
     names = [e.function for e in suite.expectations]
     marked = flagged(df, suite)
@@ -212,6 +213,7 @@ def tag_rows(df: DataFrame, suite: Suite, run_name: str, run_success: Column | b
         .groupBy(*[c.alias(n) for n, c in pk.items()])
         .agg(*[F.max(F.col(_flag(i))).alias(_flag(i)) for i in range(len(names))])
     )
+    failing = settle(failing)
     joined = fact_join(df.withColumns(pk), failing, list(pk), "left")
     hits = F.array_compact(F.array(*[F.when(F.col(_flag(i)), F.lit(n)) for i, n in enumerate(names)]))
     details = F.transform(F.array_sort(F.array_distinct(hits)), lambda n: F.struct(n.alias("expectation_type")))

@@ -229,7 +229,7 @@ def between_marks(df: DataFrame, keys: Sequence[str], order: Sequence[str], mark
     rank = order_of(order)
     bounds = df.groupBy(*keys).agg(F.min(F.when(mark, rank)).alias("_lo"), F.max(F.when(mark, rank)).alias("_hi"))
     return (
-        fact_join(df, bounds.filter(F.col("_lo").isNotNull()), keys, "inner")
+        fact_join(df, bounds.filter(F.col("_lo").isNotNull()), keys, "inner", computed=True)
         .filter((rank >= F.col("_lo")) & (rank <= F.col("_hi")))
         .select(*[F.col(f"`{c}`") for c in df.columns])
     )

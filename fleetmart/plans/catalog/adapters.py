@@ -5,6 +5,8 @@ Divisors are odd on purpose, so that results are never exact decimal ties.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,8 @@ _LINE_COLUMNS = {
     "flights": {
         "vehicle": "CASE l_returnflag WHEN 'A' THEN 'A339' WHEN 'N' THEN 'B787' ELSE 'B744' END",
         "ocurrence_datetime": "l_shipdate",
-        "origin": "concat('P', CAST(l_suppkey % 40 AS VARCHAR(9)))",
-        "destination": "concat('P', CAST(l_partkey % 40 AS VARCHAR(9)))",
+        "origin": "concat('P', CAST(l_suppkey % 40 AS STRING))",
+        "destination": "concat('P', CAST(l_partkey % 40 AS STRING))",
         "planned_taxi_time": "CASE WHEN l_linenumber % 3 = 0 THEN l_quantity * 0.7 ELSE 45.5 END",
         "taxi_in_minutes": "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END",
         "taxi_out_minutes": "51.5 - l_quantity",
@@ -54,7 +56,7 @@ _LINE_COLUMNS = {
         "plnd_tanker_fuel": "CASE WHEN l_linenumber = 4 THEN l_suppkey % 3 ELSE 0 END",
     },
     "ships": {
-        "imo": "CAST(9100000 + l_suppkey AS VARCHAR(9))",
+        "imo": "CAST(9100000 + l_suppkey AS STRING)",
         "location": "CASE WHEN l_linenumber % 4 = 0 THEN 'In Port' ELSE 'At SEA' END",
         "operational_mode": "CASE WHEN l_linenumber % 5 = 0 THEN 'InPortMoored' ELSE 'AtSeaUnderwayUsingEngine' END",
         "manoeuvring_hours": "l_tax * 60.5",
@@ -102,6 +104,15 @@ _LINE_COLUMNS = {
 }
 
 
+def _doubles(text: str) -> str:
+    """Decimal literals written as doubles, so that both engines calculate in doubles throughout."""
+    return re.sub(r"\b(\d+\.\d+)\b", r"\1E0", text)
+
+
+for _columns in _LINE_COLUMNS.values():
+    _columns.update({n: _doubles(e) for n, e in _columns.items()})
+
+
 def _sql(kind: str) -> str:
     cols = ",\n  ".join(f"{e} AS {n}" for n, e in _LINE_COLUMNS[kind].items())
     return f"SELECT {', '.join(LINE_KEY)},\n  {cols}\nFROM lineitem"
@@ -129,19 +140,15 @@ _REPORT_COLUMNS = {
     "aeEnergyProd": "CASE WHEN event_id % 6 = 0 THEN 0.0 ELSE value * 3 END",
     "meCons": "value / 37.0",
     "meEnergyProd": "value * 5",
-    "position": "CASE WHEN event_id % 3 = 0 THEN concat('Dep. PORT', CAST(user_id AS VARCHAR(9)), 'X PORT') "
+    "position": "CASE WHEN event_id % 3 = 0 THEN concat('Dep. PORT', CAST(user_id AS STRING), 'X PORT') "
     "WHEN event_id % 3 = 1 THEN 'EOSP somewhere' ELSE NULL END",
-    "prevPortUnLocode": "concat('A', CAST(event_id % 9 AS VARCHAR(9)))",
-    "nextPortUnLocode": "concat('B', CAST(event_id % 7 AS VARCHAR(9)))",
+    "prevPortUnLocode": "concat('A', CAST(event_id % 9 AS STRING))",
+    "nextPortUnLocode": "concat('B', CAST(event_id % 7 AS STRING))",
 }
+_REPORT_COLUMNS = {n: _doubles(e) for n, e in _REPORT_COLUMNS.items()}
 REPORTS_SQL = "SELECT " + ",\n  ".join(f"{e} AS {n}" for n, e in _REPORT_COLUMNS.items()) + "\nFROM events"
 
 
-def _as_doubles(df: DataFrame) -> DataFrame:
-    """Decimal literals of the shared texts are doubles in this engine."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema])
-
-
 def flights(spark, sf_dir: str) -> DataFrame:
     return _lines(spark, sf_dir, "flights")
 
@@ -152,9 +159,9 @@ def ships(spark, sf_dir: str) -> DataFrame:
 
 def _lines(spark, sf_dir: str, kind: str) -> DataFrame:
     cols = [F.expr(e).alias(n) for n, e in _LINE_COLUMNS[kind].items()]
-    return _as_doubles(load(spark, sf_dir, "lineitem").select(*LINE_KEY, *cols))
+    return load(spark, sf_dir, "lineitem").select(*LINE_KEY, *cols)
 
 
 def reports(spark, sf_dir: str) -> DataFrame:
     cols = [F.expr(e).alias(n) for n, e in _REPORT_COLUMNS.items()]
-    return _as_doubles(load(spark, sf_dir, "events").select(*cols))
+    return load(spark, sf_dir, "events").select(*cols)

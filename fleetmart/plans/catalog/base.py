@@ -38,10 +38,8 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shown(c: Column, digits: int = 4) -> Column:
-    """Double rounded for output. The tiny shift keeps exact decimal ties on one side in any engine, and a
-    negative zero becomes zero."""
-    r = F.round(c.cast("double") + 1e-9, digits)
-    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+    """Double rounded for output. The tiny shift keeps exact decimal ties on one side in any engine."""
+    return F.round(c.cast("double") + 1e-9, digits)
 
 
 def shown_sql(expr: str, digits: int = 4) -> str:

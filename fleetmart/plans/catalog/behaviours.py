@@ -22,7 +22,7 @@ VEHICLE_CONSTANTS = {
 def with_constants(df: DataFrame) -> DataFrame:
     names = list(next(iter(VEHICLE_CONSTANTS.values())))
     dim = config_frame(df.sparkSession, VEHICLE_CONSTANTS, "ship", "ship string, " + ", ".join(f"{n} double" for n in names))
-    return lookup(df, dim, F.col("vehicle"), "ship")
+    return lookup(df, dim, F.col("vehicle"), "ship", config=True)
 
 
 def result(df: DataFrame, prefix: str) -> DataFrame:

@@ -234,7 +234,7 @@ SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS
   {shown_sql('CASE WHEN t0 = t1 THEN q0[1] ELSE q0[1] + (q1[1] - q0[1]) * (x - t0) / nullif(t1 - t0, 0) END')} AS power FROM h LEFT JOIN k USING (id)""",
 )
 def _(spark, sf_dir):
-    out = I.grid_power(points(spark, sf_dir), grid(spark, sf_dir), "ship_class", "draft", "speed", "trim", "power")
+    out = I.grid_power(points(spark, sf_dir), grid(spark, sf_dir), "ship_class", F.col("draft"), F.col("speed"), F.col("trim"), "power")
     return out.select(*[long(F.col(k)).alias(k) for k in ("l_orderkey", "l_linenumber", "l_partkey")], shown(F.col("power")).alias("power"))
 
 
@@ -253,5 +253,5 @@ SELECT ship_class, {shown_sql('draft')} AS draft, {shown_sql('speed')} AS speed,
 )
 def _(spark, sf_dir):
     facts = points(spark, sf_dir).select("ship_class", "draft", "speed").distinct()
-    out = I.ideal_trim(facts, grid(spark, sf_dir), "ship_class", "draft", "speed")
+    out = I.ideal_trim(facts, grid(spark, sf_dir), "ship_class", F.col("draft"), F.col("speed"))
     return out.select("ship_class", shown(F.col("draft")).alias("draft"), shown(F.col("speed")).alias("speed"), shown(F.col("trim_ideal")).alias("trim_ideal"))

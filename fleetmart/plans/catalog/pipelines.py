@@ -216,7 +216,7 @@ x AS (SELECT h.*, CASE WHEN t0 = t1 THEN q0[1] ELSE q0[1] + (q1[1] - q0[1]) * (x
 def _(spark, sf_dir):
     s = A.ships(spark, sf_dir).withColumns({"speedthroughwatermehrs": F.col("speed_bosp"), "observeddistance": F.lit(10.0)})
     limits = trim_limits(spark, sf_dir)
-    return result(B.calculate(with_trim_percentages(s, trim_grid(spark, sf_dir), limits), "Optimal_Trim"), "optimal_trim")
+    return result(B.calculate(with_trim_percentages(s, trim_grid(spark, sf_dir), limits, ideal=False), "Optimal_Trim"), "optimal_trim")
 
 
 # Supplier merges ----------------------------------------------------------------------------------------------

@@ -32,7 +32,8 @@ def engine_rows(types: dict = VESSEL_TYPES) -> list[tuple]:
 def engine_dimension(spark, types: dict = VESSEL_TYPES) -> DataFrame:
     """(vessel_type, max_load1, min_load1, const1, ..., aeu_lower_threshold), one row per type."""
     cols = ", ".join(f"max_load{i} double, min_load{i} double, const{i} double" for i in GENERATORS)
-    return spark.createDataFrame(engine_rows(types), f"vessel_type string, {cols}, aeu_lower_threshold double")
+    dim = spark.createDataFrame(engine_rows(types), f"vessel_type string, {cols}, aeu_lower_threshold double")
+    return F.broadcast(dim)  # one row per vessel type, listed above
 
 
 def hourly_use(counters: DataFrame, engines: DataFrame, ship: str = "ship", ts: str = "ts", tie: Sequence[str] = (), engine_key: str = "vessel_type", width: int = DAY) -> DataFrame:

@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.operators.interpolate import TRIM_LIMITS, ideal_trim, power_at, trim_limit_rows
+from fleetmart.operators.interpolate import TRIM_LIMITS, grid_power, ideal_trim, trim_limit_rows
 from fleetmart.operators.joins import lookup
 
 SPEED_CAP = 15.0  # fixed value: the tables are read at no more than this speed
 
 
-def with_trim_percentages(reports: DataFrame, grid: DataFrame, limits: DataFrame | None = None) -> DataFrame:
+def with_trim_percentages(reports: DataFrame, grid: DataFrame, limits: DataFrame | None = None, ideal: bool = True) -> DataFrame:
     """Add ``trim_perc_limit``, ``trim_perc_actual`` and ``trim_ideal`` (NULL where no table applies).
 
     ``limits`` (imo, ship_class, trim_perc_limit) defaults to the fixed list; ``grid`` holds
-    (ship_class, draft, speed, trim, power).
+    (ship_class, draft, speed, trim, power). The behaviour itself needs no ``trim_ideal``.
     """
     if limits is None:
-        limits = reports.sparkSession.createDataFrame(
-            trim_limit_rows(TRIM_LIMITS), "imo string, ship_class string, trim_perc_limit double"
-        )
+        rows = trim_limit_rows(TRIM_LIMITS)
+        limits = F.broadcast(reports.sparkSession.createDataFrame(rows, "imo string, ship_class string, trim_perc_limit double"))
     known = lookup(reports, limits, F.col("imo").cast("string"), "imo", ignore_case=False)
-    capped = known.withColumn("_speed", F.least(F.coalesce(F.col("speedthroughwatermehrs").try_cast("double"), F.lit(0.0)), F.lit(SPEED_CAP)))
-    capped = capped.withColumn("_draft", F.coalesce(F.col("meandraft").try_cast("double"), F.lit(0.0)))
-    lined = ideal_trim(capped, grid, "ship_class", "_draft", "_speed", keep_line=True)
-    return lined.withColumn("trim_perc_actual", power_at(F.col("_power"), F.col("trim").try_cast("double"))).drop("_power", "_speed", "_draft")
+    number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
+    speed = F.least(number("speedthroughwatermehrs"), F.lit(SPEED_CAP))
+    out = grid_power(known, grid, "ship_class", number("meandraft"), speed, F.col("trim").try_cast("double"), "trim_perc_actual")
+    return ideal_trim(out, grid, "ship_class", number("meandraft"), speed) if ideal else out
