@@ -84,10 +84,21 @@ def corner_rows(grid: DataFrame, cls: str, dims: tuple[str, ...]) -> DataFrame:
     return out
 
 
-def node_below(axis: Column, x: Column) -> Column:
-    """Lower end of the axis interval that holds x; the last interval includes its upper end."""
-    inner = F.slice(axis, 1, F.greatest(F.size(axis) - 1, F.lit(1)))
-    low = F.array_max(F.filter(inner, lambda v: v <= x))
+UNROLLED_NODES = 64
+
+
+def node_below(axis: Column, x: Column, longest: int) -> Column:
+    """Lower end of the axis interval that holds x; the last interval includes its upper end.
+
+    Axes of ordinary length are searched by plain comparisons, which stay in generated code.
+    """
+    if longest > UNROLLED_NODES:
+        low = F.array_max(F.filter(F.slice(axis, 1, F.greatest(F.size(axis) - 1, F.lit(1))), lambda v: v <= x))
+    else:
+        steps = [
+            F.when((F.size(axis) > i + 1) & (F.get(axis, F.lit(i)) <= x), F.get(axis, F.lit(i))) for i in reversed(range(max(longest - 1, 1)))
+        ]
+        low = F.coalesce(*steps)
     return F.when(x <= F.element_at(axis, -1), low)
 
 
@@ -107,12 +118,15 @@ def share(x: Column, d: str, low: str | None = None) -> Column:
 def in_cells(facts: DataFrame, grid: DataFrame, cells: DataFrame, cls: str, at: Mapping[str, Column]) -> DataFrame:
     """Facts with the columns of the cell they fall into (NULL outside); ``at`` is {axis: fact value}.
 
-    Axes and cells have no more rows than the grid, so one check of the grid's size covers both broadcasts.
+    Axes and cells have no more rows than the grid, so one look at the grid's size covers both broadcasts.
     """
-    small = is_small(grid)
-    hint = F.broadcast if small else (lambda df: df)
     nodes = grid.groupBy(cls, *AXES).agg(F.max("power").alias("_p"))
-    placed = facts.join(hint(axes(nodes, cls)), cls, "left").withColumns({f"_{a}0": node_below(F.col(f"_{a}s"), x) for a, x in at.items()})
+    lines = axes(nodes, cls)
+    longest = lines.agg(*[F.max(F.size(f"_{a}s")).alias(a) for a in AXES]).first()
+    hint = F.broadcast if is_small(grid) else (lambda df: df)
+    placed = facts.join(hint(lines), cls, "left").withColumns(
+        {f"_{a}0": node_below(F.col(f"_{a}s"), x, longest[a] or 0) for a, x in at.items()}
+    )
     keyed = cells.withColumnsRenamed({a: f"_{a}0" for a in at})
     return placed.drop(*[f"_{a}s" for a in AXES]).join(hint(keyed), [cls, *[f"_{a}0" for a in at]], "left")
 

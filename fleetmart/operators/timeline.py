@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmart.operators.settle import settle
+
 DAY = 86_400
 HOUR = 3_600
 
@@ -50,15 +52,19 @@ def with_context(
     fill: Mapping[str, str] | None = None,
     first: Mapping[str, str] | None = None,
     width: int = DAY,
+    computed: bool = False,
 ) -> DataFrame:
     """Add previous-row, next-row, last-known and first-of-key values along each key's time line.
 
     ``order`` starts with the timestamp and must be a total order; each mapping is {output: input}.
     ``fill`` is the last non-NULL value up to and including the row. Rows with a NULL key or time have no
-    place on a time line: they stay, with NULL context.
+    place on a time line: they stay, with NULL context. The input is read twice (once pruned, for the summaries);
+    ``computed`` says that it is the result of a longer plan, which is then settled instead of run twice.
     """
     lag, lead, fill, first = dict(lag or {}), dict(lead or {}), dict(fill or {}), dict(first or {})
     keys = list(keys)
+    if computed:
+        df = settle(df)
     src = df.withColumn("_v", placed(keys, order[0]))
     src = src.withColumn("_b", F.when(F.col("_v"), bucket_of(F.col(order[0]), width)).otherwise(spare_bucket(df)))
     rank = order_of(order)
@@ -206,20 +212,40 @@ def nearest_only(matched: DataFrame, keys: Sequence[str], ts: str, radius: int =
     return m.filter(F.col("time_diff") == F.col("_best")).drop("_best")
 
 
+def with_marks_ahead(df: DataFrame, keys: Sequence[str], ts: str, mark: Column, reach: int, width: int, value: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+    """Add ``_mark``: per row, the next marked row of its key at or after its own time (a struct of ``value``).
+
+    One pass: each row is laid on its bucket's time line once, and marked rows again, as marks, on every bucket
+    from which they can be seen within ``reach`` seconds. Marks further ahead may be missed. Of marks with
+    equal time the smallest ``tie`` counts.
+    """
+    t = F.unix_seconds(F.col(ts))
+    cut = lambda s: F.floor(s / F.lit(width)).cast("long")
+    home = F.when(placed(keys, ts), cut(t)).otherwise(spare_bucket(df))
+    own = F.array(F.struct(F.lit(1).alias("side"), home.alias("b")))
+    seen_from = F.transform(F.sequence(cut(t - F.lit(reach)), cut(t)), lambda b: F.struct(F.lit(0).alias("side"), b.alias("b")))
+    places = F.when(mark & placed(keys, ts), F.concat(own, seen_from)).otherwise(own)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    line = df.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(ts).alias("_t"), row.alias("_row"),
+        F.struct(*[F.col(c) for c in tie or [ts]]).alias("_tie"), F.explode(places).alias("_at"),
+    )
+    w = (
+        Window.partitionBy(*[f"_k{i}" for i in range(len(keys))], "_at.b")
+        .orderBy(F.desc("_t"), "_at.side", F.desc("_tie"))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ahead = F.last(F.when(F.col("_at.side") == 0, F.struct(*[F.col("_row")[c].alias(c) for c in value])), True).over(w)
+    return line.withColumn("_mark", ahead).filter(F.col("_at.side") == 1).select("_row.*", "_mark")
+
+
 def without_follower(df: DataFrame, keys: Sequence[str], ts: str, mark: Column, days: int = 2, width: int = 4 * DAY) -> DataFrame:
     """Unmarked rows with no marked row of the same key from their own time up to midnight ``days`` days on."""
-    rows = df.withColumn("_mark", F.coalesce(mark, F.lit(False)))
-    marks = rows.filter("_mark").select(*keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"))
-    marks = halo(marks, "_t", days * DAY, 0, width).drop("_home")
-    asks = rows.filter(~F.col("_mark")).drop("_mark")
-    payload = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
-    asks = asks.select(*keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), bucket_of(F.col(ts), width).alias("_b"), payload)
-    line = asks.unionByName(marks, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "_b").orderBy(F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    nxt = F.last(F.when(F.col("_side") == 0, F.col("_t")), True).over(w)
-    limit = F.date_add(F.to_date(F.col("_t")), days).cast("timestamp")
-    kept = line.withColumn("_next", nxt).filter((F.col("_side") == 1) & (F.col("_next").isNull() | (F.col("_next") > limit)))
-    return kept.select("_row.*")
+    rows = df.withColumn("_marked", F.coalesce(mark, F.lit(False)))
+    seen = with_marks_ahead(rows, keys, ts, F.col("_marked"), days * DAY, width, [ts])
+    limit = F.date_add(F.to_date(F.col(ts)), days).cast("timestamp")
+    alone = F.col("_mark").isNull() | (F.col("_mark")[ts] > limit)
+    return seen.filter(~F.col("_marked") & F.coalesce(alone, F.lit(True))).drop("_marked", "_mark")
 
 
 def between_marks(df: DataFrame, keys: Sequence[str], order: Sequence[str], mark: Column) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fleetmart.operators import behaviours as B
 from fleetmart.operators import interpolate as I
 from fleetmart.operators.joins import fact_join
+from fleetmart.operators.settle import settle
 from fleetmart.plans import generator_day as GD
 from fleetmart.plans import merges as M
 from fleetmart.plans import report_consolidation as RC
@@ -177,10 +178,11 @@ _TRIM_GRID_SQL = """g AS (SELECT concat('C', CAST(l_suppkey % 4 AS VARCHAR)) AS
 
 
 def trim_grid(spark, sf_dir):
-    return load(spark, sf_dir, "lineitem").groupBy(
+    nodes = load(spark, sf_dir, "lineitem").groupBy(
         F.concat(F.lit("C"), (F.col("l_suppkey") % 4).cast("string")).alias("ship_class"), F.col("l_linenumber").cast("double").alias("draft"),
         (F.floor(F.col("l_quantity") / 10) * 4.0).cast("double").alias("speed"), (F.round(F.col("l_discount") * 50) - 2.0).alias("trim"),
     ).agg((F.max("l_extendedprice") / 9700.0).alias("power"))
+    return settle(nodes)
 
 
 def trim_limits(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions.strings import digits_only, person_key, spoken_name, title_words
 from fleetmart.operators.joins import interval_join, role_columns, same_day_join, two_role_join
+from fleetmart.operators.settle import settle
 from fleetmart.operators.timeline import asof_nearest, nearest_only, top_row
 
 # How far apart a flight and its recording may start, and the columns renamed on the way.
@@ -61,6 +62,7 @@ def reports_with_crew(reports: DataFrame, rotation: DataFrame, open_end: str, la
     daily = top_row(named, ["imo", "date"], rest, latest=False)
     if latest_only:
         daily = top_row(daily, ["imo"], ["date"])
+    daily = settle(daily)
     crew = rotation.select(
         "imo", F.lower("rank").alias("rank"), F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date"),
         person_key(F.col("firstname"), F.col("lastname")).alias("full_name"), "discharge_book_number",

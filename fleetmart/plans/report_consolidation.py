@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ratio, weighted_mean
 from fleetmart.functions.strings import RESTING_MODES, port_code, report_kind
 from fleetmart.operators.aggregates import latest_known
-from fleetmart.operators.timeline import DAY, between_marks, halo, top_row, with_context
-from pyspark.sql import Window
+from fleetmart.operators.timeline import DAY, between_marks, top_row, with_context, with_marks_ahead
 
 # Rejected report types, longest report, reach of a noon report, days looked ahead.
 REJECTED = ("On Hire (In Port)", "Noon At Sea | Entering Canal | Leaving Canal")
@@ -66,21 +65,12 @@ def stand_in_noons(reports: DataFrame, order: Sequence[str], modes: Sequence[str
 def with_noon(reports: DataFrame, order: Sequence[str]) -> DataFrame:
     """Add ``noon_date`` and ``noon_type`` of the noon report each row belongs to.
 
-    Noon rows are copied back over the bucket edges within the look-ahead, then each row takes the next noon on
-    its own stretch of the time line.
+    Each row takes the next noon on its own stretch of the time line, in one pass over the reports.
     """
-    width = 4 * DAY
     marked = reports.withColumn("_noon", is_noon("report_type"))
-    marks = halo(
-        marked.filter("_noon").groupBy("imo", "date").agg(F.min("report_type").alias("report_type")), "date", (LOOK_AHEAD_DAYS + 1) * DAY, 0, width
-    ).select("imo", "_b", "date", F.lit(0).alias("_side"), F.struct("date", "report_type").alias("_mark"))
-    rows = marked.select(
-        "imo", F.floor(F.unix_seconds("date") / F.lit(width)).cast("long").alias("_b"), "date", F.lit(1).alias("_side"),
-        F.struct(*[F.col(f"`{c}`") for c in marked.columns]).alias("_row"),
-    )
-    line = rows.unionByName(marks, allowMissingColumns=True)
-    ahead = Window.partitionBy("imo", "_b").orderBy(F.desc("date"), "_side").rowsBetween(Window.unboundedPreceding, 0)
-    seen = line.withColumn("_next", F.last("_mark", True).over(ahead)).filter(F.col("_side") == 1).select("_row.*", "_next")
+    seen = with_marks_ahead(
+        marked, ["imo"], "date", F.col("_noon"), (LOOK_AHEAD_DAYS + 1) * DAY, 4 * DAY, ["date", "report_type"], ["report_type"]
+    ).withColumnRenamed("_mark", "_next")
 
     gap = F.unix_seconds(F.col("_next.date")) - F.unix_seconds("date")
     belongs = F.col("_noon") | (gap <= NOON_REACH_HOURS * 3600)
@@ -119,7 +109,7 @@ def with_ports(days: DataFrame, width: int = 32 * DAY) -> DataFrame:
         return days
     in_port, code = F.col("noon_type").contains("Port"), port_code(F.col("position"))
     named = days.withColumns({c: F.when(in_port, code).otherwise(F.col(c)) for c in ("prevPortUnLocode", "nextPortUnLocode")})
-    lagged = with_context(named, ["imo"], ["noon_date", "noon_type"], lag={"_prev": "nextPortUnLocode"}, width=width)
+    lagged = with_context(named, ["imo"], ["noon_date", "noon_type"], lag={"_prev": "nextPortUnLocode"}, width=width, computed=True)
     arriving = (F.col("noon_type") == "Noon At Sea") & F.col("position").startswith("EOSP")
     return lagged.withColumn("nextPortUnLocode", F.when(arriving, F.col("_prev")).otherwise(F.col("nextPortUnLocode"))).drop("_prev")
 
