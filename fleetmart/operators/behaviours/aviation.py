@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fleetmart.functions.columns import ratio, zero_if_null
+from fleetmart.functions.columns import any_of, ratio, zero_if_null
 from fleetmart.operators.behaviours.core import Outcome, Sheet, behaviour
 from fleetmart.schema import faulty, impossible
 
@@ -51,7 +51,8 @@ def taxi(s: Sheet, way: str, tag: str, wait_field: str, wait_reason: str, blacko
     (main,) = s.let(main=F.greatest(*own))
     (limit,) = s.let(limit=main * (1 - margin))
 
-    reasons = [(faulty("MISSING_REQUIRED_VALUES"), F.isnan(minutes) | F.isnan(fuel))] if way == "in" else []
+    absent = any_of([x for c in (minutes, fuel) for x in (c.isNull(), F.isnan(c))])
+    reasons = [(faulty("MISSING_REQUIRED_VALUES"), absent)] if way == "in" else []
     reasons += flight_reasons(s, blackout)
     reasons += [
         (faulty("INVALID_TAXI_FUEL"), fuel <= 0),

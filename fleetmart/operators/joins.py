@@ -94,7 +94,7 @@ def lookup(df: DataFrame, dim: DataFrame, key: Column, dim_key: str, required: b
 def unseen(candidates: DataFrame, known: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows of ``candidates`` whose (renamed) key does not occur in ``known``."""
     keys = known.select(*[F.col(k).alias(c) for c, k in on.items()])
-    return candidates.join(keys, list(on), "left_anti")
+    return candidates.join(keys, list(on), "left_anti").select(*candidates.columns)
 
 
 def interval_join(

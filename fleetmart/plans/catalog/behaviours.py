@@ -84,11 +84,12 @@ def _taxi_reasons(wait_reason: str) -> list[tuple[str, str]]:
     ]
 
 
+IN_MISSING = [("FAULTY_DATA__MISSING_REQUIRED_VALUES", "mins IS NULL OR fuel IS NULL")]
 _SAVED = " + ".join(
     f"CASE WHEN {'' if i < 3 else f'e{i} > 0 AND '}e{i} <= lim THEN mx - e{i} ELSE 0 END" for i in (1, 2, 3, 4)
 )
 RETI_SQL = result_sql(
-    _taxi_ctes("in", "constant_reti_cooldown_time", "constant_reti_threshold"), _taxi_reasons("UNDER_MIN_COOLDOWN"), _SAVED,
+    _taxi_ctes("in", "constant_reti_cooldown_time", "constant_reti_threshold"), IN_MISSING + _taxi_reasons("UNDER_MIN_COOLDOWN"), _SAVED,
     f"lim > 0 AND ({_SAVED}) > 0", "round(net, 2)", "round(mx * pairs, 2)",
 )
 
@@ -386,7 +387,7 @@ def _(spark, sf_dir):
 
 
 _FILTERED_SQL = result_sql(
-    _taxi_ctes("in", "constant_reti_cooldown_time", "constant_reti_threshold"), EXCLUDED + _taxi_reasons("UNDER_MIN_COOLDOWN"),
+    _taxi_ctes("in", "constant_reti_cooldown_time", "constant_reti_threshold"), EXCLUDED + IN_MISSING + _taxi_reasons("UNDER_MIN_COOLDOWN"),
     _SAVED, f"lim > 0 AND ({_SAVED}) > 0", "round(net, 2)",
     "CASE WHEN reason LIKE 'NOT_POSSIBLE__FILTERED_SETTINGS%' THEN 0 ELSE round(mx * pairs, 2) END",
 )

@@ -224,17 +224,27 @@ _CELLS_SQL = cells_sql(_GRID_SQL)
 AT_CORNERS = "(p00 * (1 - u) * (1 - v) + p10 * u * (1 - v) + p01 * (1 - u) * v + p11 * u * v)"
 
 
+def grid_power_sql(grid_sql: str, facts: str, draft: str, speed: str, trim: str, out: str) -> str:
+    """CTEs that end in ``gp``: the rows of CTE ``facts`` (with ship_class) plus their trilinear power."""
+    axis = lambda n, c: f"""{n}x AS (SELECT ship_class, {c} AS {n}0, lead({c}) OVER w AS {n}1, max({c}) OVER (PARTITION BY ship_class) AS {n}m
+  FROM (SELECT DISTINCT ship_class, {c} FROM g) WINDOW w AS (PARTITION BY ship_class ORDER BY {c}))"""
+    held = lambda n, c: f"LEFT JOIN {n}x ON {n}x.ship_class = f.ship_class AND {n}0 <= {c} AND ({c} < {n}1 OR ({c} = {n}1 AND {n}1 = {n}m))"
+    bits = [f"{i:03b}" for i in range(8)]
+    corner = "\n  ".join(
+        f"LEFT JOIN g c{b} ON c{b}.ship_class = p.ship_class AND c{b}.draft = d{b[0]} AND c{b}.speed = s{b[1]} AND c{b}.trim = t{b[2]}" for b in bits
+    )
+    weight = lambda b: " * ".join(x if bit == "1" else f"(1 - {x})" for x, bit in zip("uvw", b))
+    return f"""{grid_sql}, {axis('d', 'draft')}, {axis('s', 'speed')}, {axis('t', 'trim')},
+p AS (SELECT f.*, d0, d1, s0, s1, t0, t1, ({draft} - d0) / (d1 - d0) AS u, ({speed} - s0) / (s1 - s0) AS v, ({trim} - t0) / (t1 - t0) AS w
+  FROM {facts} f {held('d', draft)} {held('s', speed)} {held('t', trim)}),
+gp AS (SELECT p.*, {' + '.join(f'c{b}.power * {weight(b)}' for b in bits)} AS {out} FROM p
+  {corner})"""
+
+
 @query(
     "interp_grid",
-    f"""WITH {_CELLS_SQL}, {_POINTS_SQL},
-h AS (SELECT row_number() OVER () AS id, f.* FROM f),
-j AS (SELECT h.id, h.trim AS x, line.t, (h.draft - d0) / (d1 - d0) AS u, (h.speed - s0) / (s1 - s0) AS v, p00, p10, p01, p11 FROM h
-  JOIN dm ON dm.ship_class = h.ship_class
-  JOIN line ON line.ship_class = h.ship_class AND d0 <= h.draft AND (h.draft < d1 OR (h.draft = d1 AND d1 = dmax)) AND s0 <= h.speed AND (h.speed < s1 OR (h.speed = s1 AND s1 = smax))),
-k AS (SELECT id, any_value(x) AS x, max(t) FILTER (WHERE t <= x) AS t0, min(t) FILTER (WHERE t >= x) AS t1, 
-  list({AT_CORNERS} ORDER BY t DESC) FILTER (WHERE t <= x) AS q0, list({AT_CORNERS} ORDER BY t) FILTER (WHERE t >= x) AS q1 FROM j GROUP BY id)
-SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_partkey AS BIGINT) AS l_partkey,
-  {shown_sql('CASE WHEN t0 = t1 THEN q0[1] ELSE q0[1] + (q1[1] - q0[1]) * (x - t0) / nullif(t1 - t0, 0) END')} AS power FROM h LEFT JOIN k USING (id)""",
+    f"""WITH {_POINTS_SQL}, {grid_power_sql(_GRID_SQL, 'f', 'f.draft', 'f.speed', 'f.trim', 'power')}
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_partkey AS BIGINT) AS l_partkey, {shown_sql('power')} AS power FROM gp""",
 )
 def _(spark, sf_dir):
     out = I.grid_power(points(spark, sf_dir), grid(spark, sf_dir), "ship_class", F.col("draft"), F.col("speed"), F.col("trim"), "power")

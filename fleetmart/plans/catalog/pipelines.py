@@ -195,13 +195,10 @@ def trim_limits(spark, sf_dir):
 @query(
     "behaviour_trim",
     result_sql(
-        f"""{CJ.cells_sql(_TRIM_GRID_SQL)}, s AS ({A.SHIPS_SQL}), li AS (SELECT concat(CAST(9100000 + s_suppkey AS VARCHAR)) AS lim_imo, concat('C', CAST(s_suppkey % 4 AS VARCHAR)) AS ship_class, 3.0 + s_suppkey % 9 AS lim FROM supplier WHERE s_suppkey % 5 <> 0),
-h AS (SELECT row_number() OVER () AS id, s.* EXCLUDE (trim), s.trim AS tr, ship_class, lim, least(speed_bosp, 15.0) AS spd FROM s LEFT JOIN li ON lim_imo = imo),
-j AS (SELECT h.id, tr AS x, line.t, (meandraft - d0) / (d1 - d0) AS u, (spd - s0) / (s1 - s0) AS v, p00, p10, p01, p11 FROM h JOIN dm ON dm.ship_class = h.ship_class
-  JOIN line ON line.ship_class = h.ship_class AND d0 <= meandraft AND (meandraft < d1 OR (meandraft = d1 AND d1 = dmax)) AND s0 <= spd AND (spd < s1 OR (spd = s1 AND s1 = smax))),
-k AS (SELECT id, any_value(x) AS xx, max(t) FILTER (WHERE t <= x) AS t0, min(t) FILTER (WHERE t >= x) AS t1,
-  list({CJ.AT_CORNERS} ORDER BY t DESC) FILTER (WHERE t <= x) AS q0, list({CJ.AT_CORNERS} ORDER BY t) FILTER (WHERE t >= x) AS q1 FROM j GROUP BY id),
-x AS (SELECT h.*, CASE WHEN t0 = t1 THEN q0[1] ELSE q0[1] + (q1[1] - q0[1]) * (xx - t0) / nullif(t1 - t0, 0) END AS pct, total_propulsion_consumption_new * 1000 AS fuel FROM h LEFT JOIN k USING (id))""",
+        f"""s AS ({A.SHIPS_SQL}), li AS (SELECT CAST(9100000 + s_suppkey AS VARCHAR) AS lim_imo, concat('C', CAST(s_suppkey % 4 AS VARCHAR)) AS ship_class, 3.0 + s_suppkey % 9 AS lim FROM supplier WHERE s_suppkey % 5 <> 0),
+h AS (SELECT s.*, ship_class, lim, least(speed_bosp, 15.0) AS spd FROM s LEFT JOIN li ON lim_imo = imo),
+{CJ.grid_power_sql(_TRIM_GRID_SQL, 'h', 'f.meandraft', 'f.spd', 'f.trim', 'pct')},
+x AS (SELECT *, total_propulsion_consumption_new * 1000 AS fuel FROM gp)""",
         [
             ("NOT_POSSIBLE__TRIM_NOT_AVAILABLE", "lim IS NULL"),
             ("NOT_POSSIBLE__NOT_AT_SEA", "speed_bosp <= 0"),

@@ -14,7 +14,10 @@ from fleetmart.plans.report_consolidation import stand_in_noons
 
 ORDER = ["ts", "event_id"]
 HOUR6 = 6 * TL.HOUR
-EID = long(F.col("event_id")).alias("event_id")
+
+
+def event_id():
+    return long(F.col("event_id")).alias("event_id")
 
 
 def events(spark, sf_dir):
@@ -29,7 +32,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, {shown_sql('delta')} AS delta FROM
 def _(spark, sf_dir):
     src = events(spark, sf_dir).withColumn("counter", F.col("value") / 7.3)
     out = TL.with_context(src, ["user_id"], ORDER, lag={"previous": "counter"})
-    return out.select(EID, shown(F.round(F.col("counter") - F.col("previous"), 1)).alias("delta"))
+    return out.select(event_id(), shown(F.round(F.col("counter") - F.col("previous"), 1)).alias("delta"))
 
 
 @query(
@@ -38,7 +41,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     out = TL.with_context(events(spark, sf_dir), ["user_id"], ORDER, lead={"next_ts": "ts"})
-    return out.select(EID, stamp(F.col("next_ts")).alias("next_ts"))
+    return out.select(event_id(), stamp(F.col("next_ts")).alias("next_ts"))
 
 
 @query(
@@ -49,7 +52,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, CASE WHEN event_type = 'signup' AND
 def _(spark, sf_dir):
     out = TL.with_context(events(spark, sf_dir), ["user_id"], ORDER, lag={"prev": "event_type"})
     arriving = (F.col("event_type") == "signup") & (F.col("value") > 50)
-    return out.select(EID, F.when(arriving, F.col("prev")).otherwise(F.col("event_type")).alias("port"))
+    return out.select(event_id(), F.when(arriving, F.col("prev")).otherwise(F.col("event_type")).alias("port"))
 
 
 _LEGS = "CASE WHEN event_id % 3 = 0 THEN '\\N' WHEN event_id % 5 = 0 THEN NULL ELSE concat('P', CAST(event_id % 11 AS VARCHAR(9))) END"
@@ -74,7 +77,7 @@ c AS (SELECT event_id, ship, ts, report_type, CASE WHEN to_port IS NULL THEN las
 @query("forward_fill", f"{_FILLED} SELECT CAST(event_id AS BIGINT) AS event_id, from_port, to_port FROM c")
 def _(spark, sf_dir):
     out = N.with_voyage_ports(voyage_reports(spark, sf_dir), order=("ts", "event_id"))
-    return out.select(EID, "from_port", "to_port")
+    return out.select(event_id(), "from_port", "to_port")
 
 
 @query(
@@ -84,7 +87,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, CAST(ship AS BIGINT) AS ship, repor
 )
 def _(spark, sf_dir):
     out = N.noon_reports(voyage_reports(spark, sf_dir), order=("ts", "event_id"))
-    return out.select(EID, long(F.col("ship")).alias("ship"), "report_type", "from_port", "to_port")
+    return out.select(event_id(), long(F.col("ship")).alias("ship"), "report_type", "from_port", "to_port")
 
 
 @query(
@@ -97,7 +100,7 @@ def _(spark, sf_dir):
         "event_id", F.col("user_id").alias("ship"), "ts", F.to_date("ts").alias("day"), F.abs(F.hour("ts") - 12).alias("away")
     )
     out = TL.top_row(src, ["ship", "day"], ["away", "ts", "event_id"], latest=False)
-    return out.select(EID, long(F.col("ship")).alias("ship"), day_text(F.col("day")).alias("day"))
+    return out.select(event_id(), long(F.col("ship")).alias("ship"), day_text(F.col("day")).alias("day"))
 
 
 @query(
@@ -108,7 +111,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, {stamp_sql("least(ts - INTERVAL 26
 def _(spark, sf_dir):
     out = TL.with_context(events(spark, sf_dir), ["user_id"], ORDER, first={"first_ts": "ts"})
     limit = F.least(F.col("ts") - F.expr("INTERVAL 26 HOUR"), F.col("first_ts"))
-    return out.select(EID, stamp(limit).alias("time_limit"))
+    return out.select(event_id(), stamp(limit).alias("time_limit"))
 
 
 @query(
@@ -118,7 +121,7 @@ JOIN events b ON a.user_id = b.user_id AND abs(floor(epoch_us(a.ts) / 1000000.0)
 )
 def _(spark, sf_dir):
     out = TL.range_min(events(spark, sf_dir), ["user_id"], "ts", "value", HOUR6, "low")
-    return out.select(EID, shown(F.col("low")).alias("low"))
+    return out.select(event_id(), shown(F.col("low")).alias("low"))
 
 
 @query(
@@ -135,7 +138,7 @@ def _(spark, sf_dir):
     left = src.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     right = src.filter(F.col("event_type") == "click").select("event_id", "user_id", "ts", "value")
     out = TL.asof_nearest(left, right, ["user_id"], "ts", "ts", HOUR6, {"click_id": "event_id", "click_value": "value"}, ["event_id"])
-    return out.select(EID, long(F.col("click_id")).alias("click_id"), shown(F.col("click_value")).alias("click_value"), shown(F.col("time_diff")).alias("time_diff"))
+    return out.select(event_id(), long(F.col("click_id")).alias("click_id"), shown(F.col("click_value")).alias("click_value"), shown(F.col("time_diff")).alias("time_diff"))
 
 
 @query(
@@ -155,7 +158,7 @@ def _(spark, sf_dir):
     right = src.filter(F.col("event_type").isin("click", "view")).drop("event_type")
     out = TL.asof_nearest(left, right, ["user_id"], "ts", "ts", HOUR6, {"click_id": "event_id"}, ["event_id"], how="inner")
     kept = TL.nearest_only(out, ["user_id"], "ts", radius=2 * TL.HOUR)
-    return kept.select(EID, long(F.col("click_id")).alias("click_id"))
+    return kept.select(event_id(), long(F.col("click_id")).alias("click_id"))
 
 
 @query(
@@ -164,7 +167,7 @@ def _(spark, sf_dir):
   SELECT 1 FROM events b WHERE b.user_id = a.user_id AND b.event_type = 'signup' AND b.ts >= a.ts AND b.ts <= CAST(CAST(a.ts AS DATE) + 2 AS TIMESTAMP))""",
 )
 def _(spark, sf_dir):
-    return TL.without_follower(events(spark, sf_dir), ["user_id"], "ts", F.col("event_type") == "signup").select(EID)
+    return TL.without_follower(events(spark, sf_dir), ["user_id"], "ts", F.col("event_type") == "signup").select(event_id())
 
 
 @query(
@@ -185,7 +188,7 @@ b AS (SELECT user_id, min(rn) AS lo, max(rn) AS hi FROM n WHERE event_type = 'si
 SELECT CAST(event_id AS BIGINT) AS event_id FROM n JOIN b USING (user_id) WHERE rn BETWEEN lo AND hi""",
 )
 def _(spark, sf_dir):
-    return TL.between_marks(events(spark, sf_dir), ["user_id"], ORDER, F.col("event_type") == "signup").select(EID)
+    return TL.between_marks(events(spark, sf_dir), ["user_id"], ORDER, F.col("event_type") == "signup").select(event_id())
 
 
 STAND_IN_SQL = f"""r AS ({A.REPORTS_SQL}),
@@ -199,7 +202,7 @@ t AS (SELECT *, CASE WHEN anyn = 0 AND rn = 1 THEN
 
 @query("override_coalesce", f"WITH {STAND_IN_SQL} SELECT CAST(event_id AS BIGINT) AS event_id, report_type FROM t")
 def _(spark, sf_dir):
-    return stand_in_noons(A.reports(spark, sf_dir), ["date", "event_id"]).select(EID, "report_type")
+    return stand_in_noons(A.reports(spark, sf_dir), ["date", "event_id"]).select(event_id(), "report_type")
 
 
 @query(
@@ -209,7 +212,7 @@ SELECT CAST(event_id AS BIGINT) AS event_id, event_type FROM a WHERE rn = 1""",
 )
 def _(spark, sf_dir):
     src = events(spark, sf_dir).withColumn("day", F.to_date("ts"))
-    return TL.top_row(src, ["user_id", "day", "event_type"], ORDER, latest=False).select(EID, "event_type")
+    return TL.top_row(src, ["user_id", "day", "event_type"], ORDER, latest=False).select(event_id(), "event_type")
 
 
 @query(

@@ -66,7 +66,7 @@ def header_lines(spark: SparkSession, paths: Sequence[str], line: int) -> DataFr
     first = read_lines(spark, paths).filter(F.col("block") == 0).withColumn("_i", F.monotonically_increasing_id())
     pos = F.row_number().over(Window.partitionBy("path").orderBy("_i"))
     return first.withColumn("_pos", pos).filter(F.col("_pos") <= line + 1).filter(F.col("_pos") == line + 1).select(
-        "path", F.rtrim(F.regexp_replace("value", "\r$", "")).alias("header")
+        decode_path(F.col("path")).alias("path"), F.rtrim(F.regexp_replace("value", "\r$", "")).alias("header")
     )
 
 

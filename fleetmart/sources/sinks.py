@@ -16,6 +16,7 @@ from fleetmart import schema as S
 from fleetmart.operators import ledger as L
 from fleetmart.operators.filters import bad_files, quarantine_split
 from fleetmart.operators.project import columns_first
+from fleetmart.operators.settle import settle
 from fleetmart.operators.vault import tables as vault_tables
 
 
@@ -101,7 +102,12 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str]) -> int:
 # ingest results
 
 def save_ingest(df: DataFrame, path: str, ledger: DataFrame, sort_by: Sequence[str] = ("source_file_name", "ingestion_datetime")) -> DataFrame:
-    """Write clean files to ``path`` and corrupt ones to ``path_corrupted``; returns the ledger with new statuses."""
+    """Write clean files to ``path`` and corrupt ones to ``path_corrupted``; returns the ledger with new statuses.
+
+    The parsed rows are staged first: a pruned text scan cannot tell corrupt records, and parsing is paid once.
+    """
+    staged = settle(df)
+    df = df.persist() if staged is df else staged
     clean, corrupt = quarantine_split(df)
     append(clean.drop(S.CORRUPT_COLUMN), path, sort_by)
     append(corrupt, f"{path}_corrupted", sort_by)

@@ -63,8 +63,10 @@ def once_per_delivery(stream: DataFrame, keys: list[str], ts: str, lateness: str
     return stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([*keys, ts])
 
 
-def daily_figures(hours: DataFrame, ship: str, ts: str, figures: dict[str, Column], lateness: str = "6 hours") -> DataFrame:
-    """Day totals of an hourly stream, emitted when a day can no longer change."""
+def daily_figures(hours: DataFrame, ship: str, ts: str, figures: dict[str, Column], lateness: str | None = "6 hours") -> DataFrame:
+    """Day totals of an hourly stream, emitted when a day can no longer change. No ``lateness`` where the stream
+    already carries a watermark on ``ts``."""
     day = F.window(F.col(ts), "1 day")
-    out = hours.withWatermark(ts, lateness).groupBy(F.col(ship), day).agg(*[c.alias(n) for n, c in figures.items()])
+    timed = hours.withWatermark(ts, lateness) if lateness else hours
+    out = timed.groupBy(F.col(ship), day).agg(*[c.alias(n) for n, c in figures.items()])
     return out.withColumn("report_date", F.to_date("window.start")).drop("window")
