@@ -14,8 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fleetmart.functions.columns import any_missing, first_match
-from fleetmart.operators.filters import exclusion_cases
+from fleetmart.functions.columns import first_match
+from fleetmart.operators.filters import exclusion_cases, require_rows
 from fleetmart.schema import faulty
 
 
@@ -45,8 +45,8 @@ class Sheet:
         return F.col(name) if self.has(name) else F.lit(None).cast("string")
 
     def num(self, name: str, default: float | None = None) -> Column:
-        c = F.col(name).try_cast("double") if self.has(name) else F.lit(None).cast("double")
-        return c if default is None else F.coalesce(c, F.lit(float(default)))
+        read = f"try_cast(`{name}` AS DOUBLE)" if self.has(name) else "CAST(NULL AS DOUBLE)"
+        return F.expr(read if default is None else f"coalesce({read}, {float(default)}D)")
 
     def nums(self, pattern: str, n: int, default: float | None = None) -> list[Column]:
         """Numbered inputs: ``pattern`` holds ``#`` where 1..n goes."""
@@ -59,7 +59,8 @@ class Sheet:
         return [F.col(n) for n in named]
 
     def missing(self, names: Sequence[str]) -> tuple[str, Column]:
-        return faulty("MISSING_REQUIRED_VALUES"), any_missing([self.text(n) for n in names])
+        absent = " OR ".join(f"`{n}` IS NULL" for n in names if self.has(n))
+        return faulty("MISSING_REQUIRED_VALUES"), F.expr(absent if all(map(self.has, names)) else "true")
 
 
 @dataclass(frozen=True)
@@ -136,14 +137,20 @@ def qualified(prefixes: Sequence[str]) -> Column:
     return ok
 
 
-def run(df: DataFrame, names: Sequence[str], filters: Mapping[str, Sequence[Mapping]] | None = None, positive: str | None = "voyage_time_hs", options: Mapping[str, Mapping] | None = None, watch: Observation | None = None) -> DataFrame:
+def run(
+    df: DataFrame, names: Sequence[str], filters: Mapping[str, Sequence[Mapping]] | None = None, positive: str | None = "voyage_time_hs",
+    options: Mapping[str, Mapping] | None = None, watch: Observation | None = None, must_have_rows: bool = False,
+) -> DataFrame:
     """All configured behaviours, then the ``qualified`` flag.
 
-    Rows without a positive ``positive`` column are not events and are left out. Non-qualified rows are
-    counted through ``watch`` while the result is computed, not by an extra job.
+    Rows without a positive ``positive`` column are not events and are left out; ``must_have_rows`` stops the run
+    when none remain. Non-qualified rows are counted through ``watch`` while the result is computed, not
+    by an extra job.
     """
     if positive is not None:
         df = df.filter(F.col(positive).try_cast("double") > 0)
+    if must_have_rows:
+        require_rows(df, f"{positive} > 0")
     for n in names:
         df = calculate(df, n, (filters or {}).get(n, ()), **(options or {}).get(n, {}))
     df = df.withColumn("qualified", qualified([BEHAVIOURS[n].prefix for n in names]))

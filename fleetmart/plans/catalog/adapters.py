@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fleetmart.plans.catalog.base import load
 
@@ -158,10 +157,8 @@ def ships(spark, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark, sf_dir: str, kind: str) -> DataFrame:
-    cols = [F.expr(e).alias(n) for n, e in _LINE_COLUMNS[kind].items()]
-    return load(spark, sf_dir, "lineitem").select(*LINE_KEY, *cols)
+    return load(spark, sf_dir, "lineitem").selectExpr(*LINE_KEY, *[f"{e} AS {n}" for n, e in _LINE_COLUMNS[kind].items()])
 
 
 def reports(spark, sf_dir: str) -> DataFrame:
-    cols = [F.expr(e).alias(n) for n, e in _REPORT_COLUMNS.items()]
-    return load(spark, sf_dir, "events").select(*cols)
+    return load(spark, sf_dir, "events").selectExpr(*[f"{e} AS {n}" for n, e in _REPORT_COLUMNS.items()])

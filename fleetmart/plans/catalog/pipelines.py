@@ -10,6 +10,7 @@ from fleetmart.operators.joins import fact_join
 from fleetmart.operators.settle import settle
 from fleetmart.plans import generator_day as GD
 from fleetmart.plans import merges as M
+from fleetmart.plans import recorder as R
 from fleetmart.plans import report_consolidation as RC
 from fleetmart.plans.catalog import adapters as A
 from fleetmart.plans.catalog import joins as CJ
@@ -264,3 +265,21 @@ def _(spark, sf_dir):
     return out.select(
         long(F.col("imo")).alias("imo"), day_text(F.col("date")).alias("day"), "reported__captain", F.col("crew__captain").alias("captain_on_board"), F.col("crew__chiefEngineerDBN").alias("engineer_dbn")
     )
+
+
+# Recorder files -----------------------------------------------------------------------------------------------
+
+@query(
+    "recorder_times",
+    f"""WITH a AS (SELECT user_id, max(day(ts)) AS d, max(month(ts)) AS m, max(hour(ts) % 10) AS h1, max(CAST(hour(ts) // 10 AS BIGINT)) AS h10, max(minute(ts)) AS mi FROM events GROUP BY user_id),
+t AS (SELECT user_id, CASE WHEN h1 + h10 * 10 < 24 THEN make_timestamp(2023, m, d, h1 + h10 * 10, mi, 0.0) END AS dep FROM a)
+SELECT concat('file', CAST(user_id AS VARCHAR)) AS source_file_name, {stamp_sql('dep')} AS actual_departure, {stamp_sql('time_bucket(INTERVAL 10 MINUTE, dep)')} AS plan_departure, {stamp_sql('dep + INTERVAL 30 SECOND')} AS actual_arrival FROM t""",
+)
+def _(spark, sf_dir):
+    src = load(spark, sf_dir, "events")
+    records = src.select(
+        F.concat(F.lit("file"), F.col("user_id").cast("string")).alias("source_file_name"), F.dayofmonth("ts").alias("day"), F.month("ts").alias("Month"),
+        (F.hour("ts") % 10).alias("utc_hr_x1"), F.floor(F.hour("ts") / 10).alias("utc_hr_x10"), F.minute("ts").alias("gmt_min"), "value",
+    )
+    out = R.flight_times(records, "source_file_name", 2023)
+    return out.select("source_file_name", *[stamp(F.col(c)).alias(c) for c in ("actual_departure", "plan_departure", "actual_arrival")])

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # no call-site capture per Column call: plans with hundreds of expressions are built several times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
