@@ -110,13 +110,10 @@ def blend(corners: Mapping[str, Column], shares: list[Column]) -> Column:
     return level[""]
 
 
-def share(x: Column, d: str, low: str | None = None) -> Column:
-    lo = F.col(low or f"_{d}0")
-    return ratio(x - lo, F.col(f"_{d}1") - lo)
-
-
 def in_cells(facts: DataFrame, grid: DataFrame, cells: DataFrame, cls: str, at: Mapping[str, Column]) -> DataFrame:
-    """Facts with the columns of the cell they fall into (NULL outside); ``at`` is {axis: fact value}.
+    """Facts with the columns of the cell they fall into (NULL outside) and ``_s_<axis>``, their position in it from
+    0 to 1; ``at`` is {axis: fact value}. Each step is its own projection, so no expression is repeated inside
+    another one.
 
     Axes and cells have no more rows than the grid, so one look at the grid's size covers both broadcasts.
     """
@@ -124,20 +121,20 @@ def in_cells(facts: DataFrame, grid: DataFrame, cells: DataFrame, cls: str, at:
     lines = axes(nodes, cls)
     longest = lines.agg(*[F.max(F.size(f"_{a}s")).alias(a) for a in AXES]).first()
     hint = F.broadcast if is_small(grid) else (lambda df: df)
-    placed = facts.join(hint(lines), cls, "left").withColumns(
-        {f"_{a}0": node_below(F.col(f"_{a}s"), x, longest[a] or 0) for a, x in at.items()}
-    )
+    valued = facts.withColumns({f"_x_{a}": x for a, x in at.items()}).join(hint(lines), cls, "left")
+    placed = valued.withColumns({f"_{a}0": node_below(F.col(f"_{a}s"), F.col(f"_x_{a}"), longest[a] or 0) for a in at})
     keyed = cells.withColumnsRenamed({a: f"_{a}0" for a in at})
-    return placed.drop(*[f"_{a}s" for a in AXES]).join(hint(keyed), [cls, *[f"_{a}0" for a in at]], "left")
+    hit = placed.drop(*[f"_{a}s" for a in AXES]).join(hint(keyed), [cls, *[f"_{a}0" for a in at]], "left")
+    within = lambda a: ratio(F.col(f"_x_{a}") - F.col(f"_{a}0"), F.col(f"_{a}1") - F.col(f"_{a}0"))
+    return hit.withColumns({f"_s_{a}": within(a) for a in at}).drop(*[f"_x_{a}" for a in at], *[f"_{a}{n}" for a in at for n in "01"])
 
 
 def grid_power(facts: DataFrame, grid: DataFrame, cls: str, draft: Column, speed: Column, trim: Column, out: str) -> DataFrame:
     """Trilinear power at each fact's (draft, speed, trim)."""
-    at = {"draft": draft, "speed": speed, "trim": trim}
-    hit = in_cells(facts, grid, corner_rows(grid, cls, AXES), cls, at)
-    corners = {c[2:]: F.col(c) for c in hit.columns if c.startswith("_p") and c[2:].strip("01") == ""}
-    power = blend(corners, [share(x, a) for a, x in at.items()])
-    return hit.withColumn(out, power).drop(*[f"_p{b}" for b in corners], *[f"_{a}{n}" for a in AXES for n in "01"])
+    hit = in_cells(facts, grid, corner_rows(grid, cls, AXES), cls, {"draft": draft, "speed": speed, "trim": trim})
+    corners = {f"{i:03b}": F.col(f"_p{i:03b}") for i in range(8)}
+    power = blend(corners, [F.col(f"_s_{a}") for a in AXES])
+    return hit.withColumn(out, power).drop(*[f"_p{b}" for b in corners], *[f"_s_{a}" for a in AXES])
 
 
 def candidate_lines(grid: DataFrame, cls: str) -> DataFrame:
@@ -166,8 +163,7 @@ def ideal_trim(facts: DataFrame, grid: DataFrame, cls: str, draft: Column, speed
     The candidates are compared inside each row: no product of rows is formed.
     """
     hit = in_cells(facts, grid, candidate_lines(grid, cls), cls, {"draft": draft, "speed": speed})
-    hit = hit.withColumns({"_u": share(draft, "draft"), "_v": share(speed, "speed")})
-    u, v = F.col("_u"), F.col("_v")
+    u, v = F.col("_s_draft"), F.col("_s_speed")
     power = lambda n: blend({b: n[f"p{b}"] for b in ("00", "01", "10", "11")}, [u, v])
     best = F.array_min(F.transform("_line", lambda n: F.struct(F.round(power(n), 9).alias("p"), n["t"].alias("t"))))
-    return hit.withColumn(out, best["t"]).drop("_line", "_u", "_v", *[f"_{a}{n}" for a in ("draft", "speed") for n in "01"])
+    return hit.withColumn(out, best["t"]).drop("_line", "_s_draft", "_s_speed")
