@@ -46,7 +46,8 @@ def spread(df: DataFrame, on: Sequence[str], hot: DataFrame, salts: int, copy: b
     if copy:
         every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
         return marked.withColumn("_salt", F.explode(every)).drop("_hot")
-    draw = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    # the task number tells copies of one row apart, and a repeated task draws the same salts again
+    draw = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id(), F.lit(salts)).cast("int")
     return marked.withColumn("_salt", F.when(F.col("_hot"), draw).otherwise(F.lit(0))).drop("_hot")
 
 

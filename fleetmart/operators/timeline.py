@@ -28,8 +28,10 @@ def bucket_of(ts: Column, width: int) -> Column:
 
 
 def spare_bucket(df: DataFrame) -> Column:
-    """Bucket for rows without a key or time: they have no neighbours, so they are simply spread out."""
-    return (F.lit(-1) - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(4096))).cast("long")
+    """Bucket for rows without a key or time: they have no neighbours, so they are simply spread out (copies of
+    one row by the task they come from, which a repeated task does again)."""
+    mixed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id()
+    return (F.lit(-1) - F.pmod(mixed, F.lit(4096))).cast("long")
 
 
 def placed(keys: Sequence[str], ts: str) -> Column:
@@ -65,8 +67,8 @@ def with_context(
     keys = list(keys)
     if computed:
         df = settle(df)
-    src = df.withColumn("_v", placed(keys, order[0]))
-    src = src.withColumn("_b", F.when(F.col("_v"), bucket_of(F.col(order[0]), width)).otherwise(spare_bucket(df)))
+    here = bucket_of(F.col(order[0]), width)
+    src = df.withColumn("_v", placed(keys, order[0])).withColumn("_b", F.when(F.col("_v"), here).otherwise(spare_bucket(df)))
     rank = order_of(order)
 
     summary = [F.lit(1).alias("_one")]
@@ -80,7 +82,7 @@ def with_context(
         summary.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"_fill_{o}"))
     chain = Window.partitionBy(*keys).orderBy("_b")
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    edges = src.filter("_v").groupBy(*keys, "_b").agg(*summary).select(
+    edges = df.filter(placed(keys, order[0])).withColumn("_b", here).groupBy(*keys, "_b").agg(*summary).select(
         *keys,
         "_b",
         *([F.lag("_tail").over(chain).alias("_tail")] if lag else []),
@@ -111,6 +113,8 @@ def top_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bo
     shuffles one row per map task instead of all of its rows."""
     pick = F.max_by if latest else F.min_by
     keep = [c for c in df.columns if c not in set(keys)]
+    if not keep:
+        return df.dropDuplicates(list(keys))
     best = df.groupBy(*keys).agg(pick(F.struct(*[F.col(f"`{c}`") for c in keep]), order_of(order)).alias("_row"))
     return best.select(*[F.col(f"`{c}`") if c in set(keys) else F.col("_row")[c].alias(c) for c in df.columns])
 
