@@ -1,4 +1,8 @@
-"""Derived columns of ship-day reports. ``sea`` is the common form; ``tanker`` and ``charter`` differ from it."""
+"""Derived columns of ship-day reports.
+
+``sea`` is the common form; ``sea_by_number`` keys its constants by ship number instead of name; ``tanker`` and
+``charter`` differ further.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +11,10 @@ from pyspark.sql import functions as F
 from fleetmart.functions import columns as X
 from fleetmart.functions import dates as D
 from fleetmart.functions import strings as S
-from fleetmart.functions.registry import formula
+from fleetmart.functions.registry import PARENTS, formula
 
-SEA, TANKER, CHARTER = "sea", "tanker", "charter"
+SEA, SEA_BY_NUMBER, TANKER, CHARTER = "sea", "sea_by_number", "tanker", "charter"
+PARENTS[SEA_BY_NUMBER] = SEA
 
 for _domain in (SEA, CHARTER):
     for _place in ("origin", "destination"):
@@ -35,7 +40,7 @@ def _by_name(c, state):
 
 
 def _by_number(c, state):
-    return X.look_up({str(k): v for k, v in state.items()}, c("imo").cast("string"))
+    return X.look_up({str(k).upper(): v for k, v in state.items()}, F.upper(c("imo").cast("string")))
 
 
 for _f in NAMED_CONSTANTS[0]:
@@ -44,6 +49,8 @@ for _f in NAMED_CONSTANTS[0]:
 for _f in NAMED_CONSTANTS[1]:
     formula(_f, ["vehicle"], TANKER)(_by_name)
     formula(_f, ["vehicle"], SEA)(_by_name)
+for _f in {*NAMED_CONSTANTS[0], *NAMED_CONSTANTS[1]} - {"imo"}:
+    formula(_f, ["imo"], SEA_BY_NUMBER)(_by_number)
 for _f in NAMED_CONSTANTS[2]:
     formula(_f, ["imo"], CHARTER)(_by_number)
 
@@ -54,6 +61,13 @@ def _(c, state):
     return X.reverse_look_up({name: [str(no)] for name, no in state.items()}, c("imo").cast("string"))
 
 
+@formula("event_id", [], SEA)
+def _(c, state):
+    """Stable over reruns; ``state["keys"]`` names the identifying columns."""
+    keys = state.get("keys", ("imo", "report_date_utc"))
+    return F.sha2(F.concat_ws("|", *[c(k).cast("string") for k in keys]), 256)
+
+
 @formula("identifier", [], SEA)
 def _(c, state):
     return F.concat(c("imo").cast("string"), F.lit("-"), c("report_date_utc").cast("string"))

@@ -18,6 +18,8 @@ class Formula:
 
 
 FORMULAS: dict[tuple[str, str], Formula] = {}
+# A domain falls back to its parent, then to "any".
+PARENTS: dict[str, str] = {}
 
 
 def formula(field: str, needs: Iterable[str] = (), domain: str = "any"):
@@ -31,7 +33,7 @@ def formula(field: str, needs: Iterable[str] = (), domain: str = "any"):
 
 
 def find(field: str, domain: str) -> Formula:
-    for d in (domain, "any"):
+    for d in (domain, PARENTS.get(domain, domain), "any"):
         if (d, field) in FORMULAS:
             return FORMULAS[(d, field)]
     raise KeyError(f"no formula for {field!r} in {domain!r}")

@@ -97,4 +97,13 @@ def maritime(prefixes: Sequence[str], key: str = "ship_day_id", crew_key: str =
 
 TANKER = maritime(["eaeu", "emo", "optimal_trim", "epm"], "hk_ship_day_id", "hk_operator_id")
 CHARTER = maritime(["eaeu", "emo", "et"])
-SEA = maritime(["eaeu", "emo", "optimal_sailing"], lead=["event_key", "event_id"])
+SEA = maritime(["eaeu", "emo", "optimal_sailing", "epm", "optimal_trim", "et"], lead=["event_key", "event_id"])
+# Where the common ship tables name more or other columns.
+SEA["LINK_Ship_Daily_Crew"] = ["event_key", "event_id", "ship_day_id", "operator_id", "operator_id2", *_LOAD]
+SEA["HUB_Crew_Member"] = ["event_key", "event_id", "operator_id", "operator_id2", *_LOAD]
+SEA["SAT_Crew_Member"] = [
+    "event_key", "event_id", "operator_id", "operator_id2", "operator_code", "operator_license", "operator_name", "operator_lastname",
+    "operator_email", "operator_role", *_LOAD,
+]
+SEA["HUB_Ship_Day"] = ["event_key", "event_id", "ship_day_id", "imo", "sea_date", *_LOAD, "customer_name", "customer_code", "vehicle"]
+SEA["SAT_Voyage_Details"] = ["vehicle" if c == "ship_name" else c for c in SEA["SAT_Voyage_Details"]]

@@ -31,6 +31,7 @@ class Field:
     formula: str | None = None
     state: MappingABC = field(default_factory=dict)
     expr: str | None = None
+    required: bool = False
     satellite: str | None = None
 
     @property
@@ -56,7 +57,8 @@ class Mapping:
         doc = json.loads(text)
         fields = [
             Field(
-                f["name"], f["type"], tuple(f.get("options") or ()), f.get("regexp"), f.get("default_value"), f.get("formula"), f.get("state") or {}
+                f["name"], f["type"], tuple(f.get("options") or ()), f.get("regexp"), f.get("default_value"), f.get("formula"), f.get("state") or {},
+                required=bool(f.get("required")),
             )
             for f in doc["dataMappings"]["csvFields"]
         ]
@@ -133,8 +135,11 @@ def ensure_fields(df: DataFrame, mapping: Mapping, only_optional: bool = False)
 
 
 def derive(df: DataFrame, mapping: Mapping) -> DataFrame:
-    """Run the formulas the mapping asks for."""
+    """Run the formulas the mapping asks for; rows whose required field stays NULL are left out (for tankers,
+    ships whose vessel type is not listed)."""
     wanted = [f for f in mapping.fields if f.formula]
-    return apply_formulas(
+    out = apply_formulas(
         df, [f.name for f in wanted], mapping.domain, {f.name: f.state for f in wanted}, {f.name: f.spark_type for f in wanted}
     )
+    needed = [f.name for f in wanted if f.required or (mapping.domain, f.name) == ("tanker", "vessel_type")]
+    return out.dropna(subset=needed) if needed else out

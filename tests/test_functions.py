@@ -94,6 +94,17 @@ def test_maritime_formulas(spark):
     assert (charter["vehicle"], charter["aux_engine1_max_load"]) == ("Moon", 1200)
 
 
+def test_constants_by_number_and_required(spark):
+    from fleetmart.plans.mapping import Field, Mapping, derive
+
+    df = spark.createDataFrame([("Star", "9a"), ("Moon", "8")], "vehicle string, imo string")
+    out = apply_formulas(df, ["constant_aeu_lower", "event_id"], "sea_by_number", {"constant_aeu_lower": {"9A": 70}})
+    got = {r["vehicle"]: r for r in out.collect()}
+    assert got["Star"]["constant_aeu_lower"] == 70 and got["Moon"]["constant_aeu_lower"] is None and len(got["Star"]["event_id"]) == 64
+    m = Mapping("st", [Field("vessel_type", formula="vessel_type", state={"star": "chemical"})], domain="tanker")
+    assert [r["vessel_type"] for r in derive(df, m).collect()] == ["chemical"]
+
+
 def test_user_formula_and_cycle(spark):
     @formula("double_it", ["n"], "test")
     def _(c, state):
