@@ -258,7 +258,7 @@ def _(spark, sf_dir):
 # -- mapping
 
 CUSTOMER_MAPPING = Mapping(
-    "TUI",
+    "AIR",
     [
         Field("operator_id", "string", ["crew_id", "cap_id"]),
         Field("customer_name", "string", ["name", "c_name"], regexp="^Customer#0000000[0-4]", default="other"),
@@ -276,7 +276,7 @@ CUSTOMER_MAPPING = Mapping(
     "apply_mapping",
     f"""SELECT regexp_replace(concat('00', CAST(c_custkey AS VARCHAR)), '^0+', '') AS operator_id, CASE WHEN regexp_matches(c_name, '^Customer#0000000[0-4]') THEN c_name ELSE 'other' END AS customer_name,
   {shown_sql("CASE WHEN c_acctbal >= 0 THEN c_acctbal ELSE -1 END")} AS balance, c_mktsegment AS segment, CAST(c_custkey % 2 AS INTEGER) AS active, '2024-05-01 10:00:00' AS seen_at,
-  CAST(c_nationkey AS BIGINT) AS c_nationkey, 'Flight' AS event_id, 'TUI' AS dds_code, '2024-07-01' AS upload_date FROM customer""",
+  CAST(c_nationkey AS BIGINT) AS c_nationkey, 'Flight' AS event_id, 'AIR' AS dds_code, '2024-07-01' AS upload_date FROM customer""",
 )
 def _(spark, sf_dir):
     n = F.col("c_custkey")

@@ -30,10 +30,11 @@ def extension(name: Column) -> Column:
     return F.element_at(F.split(name, r"\."), -1)
 
 
-def list_files(spark: SparkSession, directory: str, with_etag: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, directory: str, with_etag: bool = False, glob: str | None = None) -> DataFrame:
     """Recursive listing as ledger columns. Without the etag no file content is read (column pruning);
-    filters on size and time reach the scan either way, so only files that pass them are hashed."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    the name glob and filters on size and time reach the scan, so only files that pass them are hashed."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    raw = (reader.option("pathGlobFilter", glob) if glob else reader).load(directory)
     path = strip_scheme(decode_path(F.col("path")))
     return raw.select(
         file_name(path).alias("filename"),
@@ -48,7 +49,7 @@ def list_files(spark: SparkSession, directory: str, with_etag: bool = False) ->
 
 def land(spark: SparkSession, directory: str, ledger: DataFrame, fmt: str, after: str, until: str, pattern: str | None = None, min_size: int = 0) -> DataFrame:
     """Ledger rows for files not seen before, in one lazy plan: scan, filter, anti join, hash."""
-    listed = list_files(spark, directory, with_etag=True).filter(F.col("format") == fmt)
+    listed = list_files(spark, directory, with_etag=True, glob=f"*.{fmt}")
     return new_files(select_files(listed, pattern, min_size, after, until), ledger, fmt, after, until)
 
 

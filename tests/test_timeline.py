@@ -105,6 +105,14 @@ def test_salted_join_keeps_every_row(spark):
         J.fact_join(fact, side, ["k"], "right")
 
 
+def test_settled_copies_live_in_the_named_folder(spark):
+    from fleetmart.operators.settle import settle
+
+    copy = settle(spark.range(5))
+    assert spark.conf.get("spark.checkpoint.dir") in copy.inputFiles()[0] and copy.count() == 5
+    assert not J.is_small(spark.range(11), 10) and J.is_small(spark.range(10), 10)
+
+
 def test_interval_join_equals_brute_force(spark):
     r = random.Random(4)
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
