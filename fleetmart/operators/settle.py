@@ -1,34 +1,46 @@
 """Intermediate tables: computed once, written to the cluster's shared scratch folder, read back.
 
-Used where a small computed side is needed several times (size check, hot-key spreading, the join itself). The
-copy is an ordinary table: it survives lost executors, and its file size lets Spark itself decide whether to
-broadcast it.
+Used where a computed table is needed several times (size check, hot-key spreading, the join itself). The copy is an
+ordinary table: it survives lost executors, and its file size lets Spark itself decide whether to broadcast it.
+
+One behaviour everywhere: the folder is the one named by ``spark.checkpoint.dir``; where that is unset it is
+``_scratch`` below ``spark.sql.warehouse.dir``, the other folder that every Spark installation shares between driver
+and executors. Copies of an application lie in one folder, which goes when the driver's process ends.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: dict[str, SparkSession] = {}
+
 
-def scratch_dir(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``; on a local master a temporary one where none is named."""
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared scratch space."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        return None
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetmart-"))
-    return spark.sparkContext.getCheckpointDir()
+    base = named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    folder = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS[folder] = spark
+        atexit.register(_remove, folder)
+    return folder
+
+
+def _remove(folder: str) -> None:
+    """Deletes the copies of this application through the file system that holds them."""
+    try:
+        jvm = _FOLDERS.pop(folder)._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the gateway may be gone already; the cluster's own clean-up remains
+        pass
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """The same rows, read from a written copy; unchanged where the cluster names no shared folder."""
-    base = scratch_dir(df.sparkSession)
-    if base is None:
-        return df
-    path = f"{base.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    """The same rows, read from a written copy."""
+    path = f"{scratch_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
