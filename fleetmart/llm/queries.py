@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import decontaminate, toxicity
+from fleetmart.llm import decontaminate, neardup, substring, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +77,45 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxic_lexicon(spark, docs, sf_dir))
     return scored.select("doc_id", (crc_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query(
+    "op7_near_duplicates",
+    rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{SPACED}') AS w FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    both_ways AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM both_ways JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a),
+    found AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, component_id = d.doc_id AS kept
+    FROM d LEFT JOIN n USING (doc_id) JOIN found USING (doc_id)
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents, on shingles of four words."""
+    found = neardup.classes(table(spark, sf_dir, "documents"), size=4)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("component_id") == F.col("doc_id")).alias("kept"))
+
+
+@query(
+    "op8_substring_dedup",
+    rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{SPACED}') AS w FROM documents),
+    g AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+    firsts AS (SELECT g, min(doc_id) AS f FROM g GROUP BY g),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN firsts USING (g) WHERE f < doc_id),
+    lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+        sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE [w[i] FOR i IN range(1, len(w) + 1) IF NOT list_contains(ps, i)] END, ' ')) AS kept_sha256
+    FROM d LEFT JOIN lists USING (doc_id)
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of windows that a smaller document has."""
+    return substring.digests(table(spark, sf_dir, "documents"))
