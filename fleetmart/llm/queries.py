@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import decontaminate, neardup, substring, toxicity
+from fleetmart.llm import decontaminate, neardup, packing, substring, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +119,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of windows that a smaller document has."""
     return substring.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents")).withColumn("piece", F.col("piece").cast("int"))
