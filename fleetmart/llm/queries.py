@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import decontaminate, neardup, packing, substring, toxicity
+from fleetmart.llm import chat, decontaminate, neardup, packing, quality, substring, toxicity
+from fleetmart.operators.settle import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -125,3 +127,40 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents")).withColumn("piece", F.col("piece").cast("int"))
+
+
+CHAT_EXTRA = "</s>[INST] ok [/INST]"
+_CONTROLS = "|".join(re.sub(r"([|\[\]])", r"\\\1", c[1:]) for c in chat.CONTROLS)
+
+
+@query(
+    "op2_chat_format",
+    rf"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '{CHAT_EXTRA}' UNION ALL SELECT -7, 1, 'assistant', '{CHAT_EXTRA}'),
+    t AS (
+        SELECT conv_id, count(*) AS n_turns,
+            string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+            coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+            sum(length(role) + length(regexp_replace(text, '([<\[])(\\*)({_CONTROLS})', '\1\2\\\3', 'g')) + {len(chat.START) + len(chat.END) + 2}) AS chars
+        FROM c GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars
+    FROM t
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that consists of control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CHAT_EXTRA), (-7, 1, "assistant", CHAT_EXTRA)], rows.schema)
+    return chat.digests(chat.format(rows.union(extra))).drop("n_ids")
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels whose fold is not 0."""
+    rows = settle(quality.measured(table(spark, sf_dir, "documents")))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(crc_fold(5) != 0)
+    model = quality.fit(rows.join(labels, "doc_id"))
+    scored = quality.score(rows, model)
+    return scored.select("doc_id", (crc_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
