@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontaminate, neardup, packing, quality, substring, toxicity
+from fleetmart.llm import chat, decontaminate, licenses, neardup, packing, quality, substring, toxicity, warc
 from fleetmart.operators.settle import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,50 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(rows.join(labels, "doc_id"))
     scored = quality.score(rows, model)
     return scored.select("doc_id", (crc_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+_TEMPLATES = ", ".join(f"({n}, '{t.label}', {t.base}, string_split('{t.text}', ' '))" for n, t in enumerate(licenses.TEMPLATES))
+
+
+@query(
+    "op6_licenses",
+    rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{ALNUM}') AS w FROM documents),
+    t(template, label, base, w) AS (VALUES {_TEMPLATES}),
+    tg AS (SELECT template, label, base, len(w) - 2 AS positions, i - 1 AS template_at, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM t)),
+    dg AS (SELECT doc_id, i - 1 AS place, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+    found AS (
+        SELECT doc_id, template, label, base, positions, place - template_at AS diagonal, count(DISTINCT place) AS votes FROM dg JOIN tg USING (g) GROUP BY ALL),
+    exact AS (
+        SELECT doc_id, count(*) AS n, min(diagonal) AS a, max(diagonal) AS z, list_sort(list(DISTINCT label)) AS labels FROM found WHERE base AND votes = positions GROUP BY doc_id),
+    steps AS (
+        SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {licenses.DRIFT} THEN 0 ELSE 1 END AS apart FROM found),
+    numbered AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM steps),
+    spans AS (SELECT doc_id, label, base, least(1.0, sum(votes)::DOUBLE / any_value(positions)) AS cover FROM numbered GROUP BY doc_id, template, label, base, span),
+    covered AS (SELECT doc_id, max(cover) AS score, list(DISTINCT label) FILTER (cover >= {licenses.COVER} AND NOT base) AS labels FROM spans GROUP BY doc_id)
+    SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(exact.n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
+        coalesce(array_to_string(exact.labels, ','), '') AS base_labels,
+        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(exact.labels, []), coalesce(covered.labels, [])))), ','), '') AS labels,
+        coalesce(score, 0.0)::DOUBLE AS score
+    FROM d LEFT JOIN exact USING (doc_id) LEFT JOIN covered USING (doc_id)
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License texts in all documents."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumns({"base_labels": F.concat_ws(",", "base_labels"), "labels": F.concat_ws(",", "labels")})
+
+
+@query(
+    "op10_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+    f AS (SELECT html, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY html)
+    SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN first < page_id THEN first END AS refers_to
+    FROM p LEFT JOIN f USING (html)
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC archives, read back."""
+    return warc.pages(spark, warc.archive(table(spark, sf_dir, "pages")))
