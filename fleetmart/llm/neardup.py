@@ -147,7 +147,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                 keep.append(100 * both >= percent * (len(own) + len(held) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, pairs.select("a", "b").schema)
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -199,11 +199,11 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
     counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = settle(buckets.join(counts, "key"))
     wanted = shared.select("rep").distinct()
-    texts = settle(docs.select(F.col(id).alias("rep"), F.col(text).alias("text")).join(wanted, "rep").groupBy("rep").agg(F.min("text").alias("text")))
+    texts = settle(docs.select(F.col(id).alias("rep"), F.col(text).alias("text")).join(wanted.hint("merge"), "rep").groupBy("rep").agg(F.min("text").alias("text")))
 
     crowded = shared.filter(F.col("members") > CROWD).select("rep").distinct()
     alone = (
-        texts.join(crowded, "rep").mapInArrow(lambda it: _peculiar(it, size), f"rep {kind}, h int")
+        texts.join(crowded.hint("merge"), "rep").mapInArrow(lambda it: _peculiar(it, size), f"rep {kind}, h int")
         .groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep")).filter("n = 1").groupBy("rep").agg(F.count(F.lit(1)).alias("alone"))
     )
     # m: shingles that another member of a crowd can have; outside crowds all of them
@@ -239,4 +239,4 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents, all columns, but those whose class has a smaller id."""
     out = classes(docs, id, text, size, percent).filter(F.col("component_id") < F.col(id)).select(id).distinct()
-    return docs.join(out, id, "left_anti")
+    return docs.join(out.hint("merge"), id, "left_anti")

@@ -206,7 +206,7 @@ def _with_marks(docs: DataFrame, id: str, text: str, window: int) -> DataFrame:
     """(row of docs as a struct, marks of its text)."""
     found = marks(docs, id, text, window).groupBy(F.col("id").alias("_mark_id"), F.col("version").alias("_mark_version")).agg(F.collect_list(F.struct("start", "n")).alias("_marks"))
     keys = (F.col(id).cast("long") == F.col("_mark_id")) & (F.xxhash64(text) == F.col("_mark_version"))
-    return docs.join(found, keys, "left").select(*docs.columns, "_marks")
+    return docs.join(found.hint("merge"), keys, "left").select(*docs.columns, "_marks")
 
 
 def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -44,7 +44,7 @@ def records(pages: DataFrame, id: str = "page_id", url: str | None = "url", payl
     )
     rows = rows.withColumns({"digest": F.sha2(F.col("payload").cast("binary"), 256), "bytes": F.octet_length("payload")})
     large = rows.filter(F.col("bytes") >= least).groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    rows = rows.join(large.withColumnRenamed("digest", "_digest"), F.col("digest") == F.col("_digest"), "left")
+    rows = rows.join(large.withColumnRenamed("digest", "_digest").hint("merge"), F.col("digest") == F.col("_digest"), "left")
     revisit = F.coalesce((F.col("bytes") >= least) & (F.col("id") > F.col("first")), F.lit(False))
     shared = [("WARC-Target-URI", F.col("url")), ("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))), ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), ("X-Payload-Length", F.col("bytes").cast("string"))]
     full = F.concat(_header(("WARC-Type", F.lit("response")), *shared, ("Content-Type", F.lit("text/html")), ("Content-Length", F.col("bytes").cast("string"))), F.lit("\r\n\r\n"), F.col("payload"))
