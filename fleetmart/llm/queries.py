@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontaminate, licenses, neardup, packing, quality, substring, toxicity, warc
+from fleetmart.llm import chat, decontaminate, fingerprint, licenses, neardup, packing, quality, substring, toxicity, warc
 from fleetmart.operators.settle import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,6 +198,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({"base_labels": F.concat_ws(",", "base_labels"), "labels": F.concat_ws(",", "labels")})
 
 
+@query("op9_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and their edited texts."""
+    return fingerprint.edited(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op10_warc",
     """
