@@ -233,7 +233,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
     found = components(settle(links.union(more)))
 
     of_class = firsts.select(*same, "rep").join(found.withColumnRenamed("a", "rep"), "rep", "left").select(*same, F.coalesce("label", "rep").alias("label"))
-    return marks.join(of_class, same, "left").select(F.col("id").alias(id), "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "id")).otherwise(F.col("id")).alias("component_id"))
+    return marks.join(of_class, same, "left").select(F.col("id").alias(id), "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.coalesce("label", "id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

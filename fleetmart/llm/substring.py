@@ -203,10 +203,11 @@ def _flags(n_words: int, found: list[dict] | None, window: int) -> np.ndarray:
 
 
 def _with_marks(docs: DataFrame, id: str, text: str, window: int) -> DataFrame:
-    """(row of docs as a struct, marks of its text)."""
-    found = marks(docs, id, text, window).groupBy(F.col("id").alias("_mark_id"), F.col("version").alias("_mark_version")).agg(F.collect_list(F.struct("start", "n")).alias("_marks"))
-    keys = (F.col(id).cast("long") == F.col("_mark_id")) & (F.xxhash64(text) == F.col("_mark_version"))
-    return docs.join(found.hint("merge"), keys, "left").select(*docs.columns, "_marks")
+    """The documents with a last column that holds the marks of their text."""
+    names = {n: next(c for c in (n + "_" * k for k in range(len(docs.columns) + 1)) if c not in docs.columns) for n in ("mark_id", "mark_version", "marks")}
+    found = marks(docs, id, text, window).groupBy(F.col("id").alias(names["mark_id"]), F.col("version").alias(names["mark_version"])).agg(F.collect_list(F.struct("start", "n")).alias(names["marks"]))
+    keys = (docs[id].cast("long") == found[names["mark_id"]]) & (F.xxhash64(docs[text]) == found[names["mark_version"]])
+    return docs.join(found.hint("merge"), keys, "left").select(*docs.columns, names["marks"])
 
 
 def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
