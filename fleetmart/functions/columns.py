@@ -87,3 +87,10 @@ def reverse_look_up(groups: Mapping[str, Iterable[str]], key: Column) -> Column:
         for m in members:
             flat.setdefault(m, name)
     return look_up(flat, key)
+
+
+def identity(*parts: Column) -> Column:
+    """Hash of a key. Each part goes with its length, a NULL as a mark of its own, so different keys never give the same
+    text, whatever separators they hold."""
+    texts = [p.cast("string") for p in parts]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]), 256)

@@ -52,13 +52,15 @@ def latest_known(columns: Iterable[str], order: Sequence[str]) -> list[Column]:
     return [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns]
 
 
-def max_matching(df: DataFrame, keys: Sequence[str], pattern: str) -> DataFrame:
-    """Maximum, per key, of every column whose upper-cased name matches a pattern."""
+def max_matching(df: DataFrame, keys: Sequence[str], pattern: str, numeric: bool = False) -> DataFrame:
+    """Maximum, per key, of every column whose upper-cased name matches a pattern; with ``numeric`` of its numbers,
+    so that "10" is more than "9" (what is no number counts as NULL)."""
     rx = re.compile(pattern)
     hit = [c for c in df.columns if rx.match(c.upper())]
     if not hit:
         raise ValueError(f"no column matches {pattern!r}")
-    return df.groupBy(*[F.col(k).alias(k.upper()) for k in keys]).agg(*[F.max(F.col(f"`{c}`")).alias(c.upper()) for c in hit])
+    read = lambda c: F.col(f"`{c}`").try_cast("double") if numeric else F.col(f"`{c}`")
+    return df.groupBy(*[F.col(k).alias(k.upper()) for k in keys]).agg(*[F.max(read(c)).alias(c.upper()) for c in hit])
 
 
 # Name patterns of recorder clock and calendar columns.
@@ -70,7 +72,7 @@ CALENDAR_NAMES = (
 
 def recorder_start(df: DataFrame, file_column: str) -> DataFrame:
     """Per recorder file, the maximum of every clock and calendar column."""
-    return max_matching(df, [file_column], f"(?:{CLOCK_NAMES})|(?:{CALENDAR_NAMES})")
+    return max_matching(df, [file_column], f"(?:{CLOCK_NAMES})|(?:{CALENDAR_NAMES})", numeric=True)
 
 
 def duplicates(df: DataFrame, column: str) -> DataFrame:

@@ -142,8 +142,10 @@ def role_columns(matched: DataFrame, keys: Sequence[str], role: str, order: Sequ
 def two_role_join(facts: DataFrame, crew: DataFrame, keys: tuple[str, str], crew_key: str, day: str, as_of: str, labels: tuple[str, str], code: str, both_required: bool = False) -> DataFrame:
     """Crew dimension joined twice: attributes for the first operator, code and role label for both.
 
-    Only reports before ``as_of``. With ``both_required`` rows without a second operator are dropped.
+    Only reports before ``as_of``. With ``both_required`` rows without a second operator are dropped. A blank id
+    names nobody: it matches nothing, however many crew rows have one.
     """
+    crew = crew.filter(F.trim(F.col(crew_key).cast("string")) != "")
     shared = set(facts.columns) & set(crew.columns)
     own = [c for c in crew.columns if c not in shared and c not in (crew_key, code)]
     recent = facts.filter(F.to_date(F.col(day)) < F.lit(as_of).cast("date"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetmart.functions.columns import identity
 from fleetmart.functions.strings import decode_path, strip_scheme
 
 # Characters replaced by an underscore in column names.
@@ -115,7 +116,7 @@ def composite_key(prefix: str, keys: Sequence[str]) -> Column:
 
 def stable_id(keys: Sequence[str]) -> Column:
     """Surrogate id that a rerun reproduces."""
-    return F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), 256)
+    return identity(*[F.col(k) for k in keys])
 
 
 def file_metadata(run_id: str, ingested_at: str, name: Column | None = None, path: Column | None = None) -> dict[str, Column]:

@@ -189,24 +189,25 @@ def asof_nearest(
     )
 
 
-def halo(df: DataFrame, ts: str, back: int, ahead: int, width: int) -> DataFrame:
-    """Copy each row into every bucket from which it can be seen; ``_home`` marks the one it belongs to."""
+def halo(df: DataFrame, keys: Sequence[str], ts: str, back: int, ahead: int, width: int) -> DataFrame:
+    """Copy each row into every bucket from which it can be seen; ``_home`` marks the one it belongs to. Rows without
+    key or time are seen from nowhere: they stay once, in spare buckets, with ``_v`` false."""
     t = F.unix_seconds(F.col(ts))
     cut = lambda s: F.floor(s / F.lit(width)).cast("long")
-    return df.withColumn("_b", F.explode(F.sequence(cut(t - F.lit(back)), cut(t + F.lit(ahead))))).withColumn(
-        "_home", F.col("_b") == cut(t)
-    )
+    seen = F.when(F.col("_v"), F.sequence(cut(t - F.lit(back)), cut(t + F.lit(ahead)))).otherwise(F.array(spare_bucket(df).cast("long")))
+    return df.withColumn("_v", placed(keys, ts)).withColumn("_b", F.explode(seen)).withColumn("_home", ~F.col("_v") | (F.col("_b") == cut(t)))
 
 
 def range_min(df: DataFrame, keys: Sequence[str], ts: str, value: str, radius: int, out: str, width: int | None = None) -> DataFrame:
-    """Minimum of ``value`` over the rows of the same key within ``radius`` seconds on either side."""
+    """Minimum of ``value`` over the rows of the same key within ``radius`` seconds on either side. Rows without key or
+    time stay, with NULL."""
     width = width or max(DAY, 4 * radius)
-    near = Window.partitionBy(*keys, "_b").orderBy(F.unix_seconds(F.col(ts))).rangeBetween(-radius, radius)
+    near = Window.partitionBy(*keys, "_b", "_v").orderBy(F.unix_seconds(F.col(ts))).rangeBetween(-radius, radius)
     return (
-        halo(df, ts, radius, radius, width)
-        .withColumn(out, F.min(value).over(near))
+        halo(df, keys, ts, radius, radius, width)
+        .withColumn(out, F.when(F.col("_v"), F.min(value).over(near)))
         .filter("_home")
-        .drop("_b", "_home")
+        .drop("_b", "_home", "_v")
     )
 
 

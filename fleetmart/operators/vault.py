@@ -35,14 +35,20 @@ def distinct_by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def tables(df: DataFrame, layout: Mapping[str, Sequence[str]], keys: Mapping[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
-    """All tables of a layout. Hubs and links are made distinct by their key (default: first column)."""
+    """All tables of a layout. Hubs and links are made distinct by their key: from ``keys``, else as the layout
+    declares it. A hub's is its first column otherwise; a link has no such default, as it would lose rows."""
+    declared = {**getattr(layout, "keys_of", {}), **(keys or {})}
     out = {}
     for name, columns in layout.items():
         t = project(df, columns)
         if not t.columns:
             continue
-        if name.split("_")[0] in ("HUB", "LINK"):
-            t = distinct_by_key(t, (keys or {}).get(name) or t.columns[:1])
+        kind = name.split("_")[0]
+        if kind in ("HUB", "LINK"):
+            key = list(resolve(t, declared[name])) if name in declared else t.columns[:1]
+            if kind == "LINK" and name not in declared:
+                raise ValueError(f"{name}: a link needs a declared key")
+            t = distinct_by_key(t, [c for c in t.columns if c.lower() in {k.lower() for k in key}])
         out[name] = t
     return out
 
@@ -57,15 +63,25 @@ def stacked(satellites: Mapping[str, DataFrame], hub: DataFrame, key: str) -> Da
     return union_by_name([of_keys(s, hub, key).withColumn("satellite", F.lit(n)) for n, s in satellites.items()])
 
 
-def one_big_table(entity: DataFrame, satellites: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """Hub or link with its satellites' columns at its side; repeated column names are taken once, from the left."""
+def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """One row per key: the last by ``order``, of equal ones the largest by all columns. Combines on the map side."""
+    rest = [c for c in df.columns if c != key]
+    rank = F.struct(*[F.col(f"`{c}`") for c in [*order, *rest]])
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    return df.groupBy(key).agg(F.max_by(row, rank).alias("_row")).select(key, *[F.col("_row")[c].alias(c) for c in rest])
+
+
+def one_big_table(entity: DataFrame, satellites: Mapping[str, DataFrame], key: str, order: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Hub or link with its satellites' columns at its side, one row for each of its own: a satellite gives the last
+    row of the key by its ``order`` ({satellite: columns}; default: all its columns). Repeated column names
+    are taken once, from the left. All rows of several satellites are what :func:`stacked` gives."""
     out = entity
-    for s in satellites.values():
+    for name, s in satellites.items():
         fresh = [c for c in s.columns if c == key or c not in set(out.columns)]
-        out = out.join(s.select(*fresh), key, "left")
+        out = out.join(latest_by_key(s, key, (order or {}).get(name, ())).select(*fresh), key, "left")
     return out
 
 
-def obt_of_link(link: DataFrame, hubs: Mapping[str, DataFrame], satellites: Mapping[str, DataFrame], key: str) -> DataFrame:
+def obt_of_link(link: DataFrame, hubs: Mapping[str, DataFrame], satellites: Mapping[str, DataFrame], key: str, order: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Link rows with the columns of the hubs they connect and of those hubs' satellites."""
-    return one_big_table(link, {**hubs, **satellites}, key)
+    return one_big_table(link, {**hubs, **satellites}, key, order)

@@ -9,6 +9,7 @@ from fleetmart.operators import interpolate as I
 from fleetmart.operators import joins as J
 from fleetmart.operators import timeline as TL
 from fleetmart.operators.settle import settle
+from fleetmart.plans import merges as M
 from fleetmart.plans.catalog.base import day_sql, day_text, load, long, query, shown, shown_sql, stamp, stamp_sql
 
 OPEN_END = "2024-02-01"
@@ -44,7 +45,9 @@ b AS (SELECT f.*, crew.* FROM f JOIN crew ON crew_imo = imo AND start_date <= da
     f"""WITH {_ON_BOARD} SELECT CAST(event_id AS BIGINT) AS event_id, {day_sql('start_date')} AS start_day, dbn, full_name FROM b""",
 )
 def _(spark, sf_dir):
-    out = J.interval_join(ship_days(spark, sf_dir), crew(spark, sf_dir), "imo", "date", "start_date", "end_date", OPEN_END, bucket_days=8)
+    days = ship_days(spark, sf_dir)
+    clip = days.agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    out = J.interval_join(days, crew(spark, sf_dir), "imo", "date", "start_date", "end_date", OPEN_END, bucket_days=8, clip=tuple(clip) if clip[0] else None)
     return out.select(long(F.col("event_id")).alias("event_id"), day_text(F.col("start_date")).alias("start_day"), "dbn", "full_name")
 
 
@@ -67,20 +70,22 @@ def _(spark, sf_dir):
 
 @query(
     "role_join",
-    f"""WITH f AS (SELECT o_orderkey, o_custkey AS op1, (o_custkey * 7 + 3) % 2000 AS op2, o_orderdate FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '2000-06-01')
+    f"""WITH f AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS op1, (o_custkey * 7 + 3) % 2000 AS op2, o_orderdate FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '2000-06-01')
 SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, a.c_mktsegment AS segment, a.c_name AS operator_secondary_code, b.c_name AS operator_secondary_code2,
   CASE WHEN a.c_custkey IS NOT NULL THEN 'Captain' END AS role_alias, CASE WHEN b.c_custkey IS NOT NULL THEN 'Chief Engineer' END AS role_alias2
 FROM f LEFT JOIN customer a ON a.c_custkey = op1 LEFT JOIN customer b ON b.c_custkey = op2""",
 )
 def _(spark, sf_dir):
     facts = load(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("operator_id"), ((F.col("o_custkey") * 7 + 3) % 2000).alias("operator_id2"), F.col("o_orderdate").alias("report_date_utc")
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey").cast("string")).otherwise("").alias("operator_id"),
+        ((F.col("o_custkey") * 7 + 3) % 2000).cast("string").alias("operator_id2"), F.col("o_orderdate").alias("report_date_utc"), F.lit("r").alias("status"),
     )
     dim = load(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("operator_id"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("discharge_book_number")
+        F.col("c_custkey").cast("string").alias("operator_id"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("discharge_book_number"),
+        F.lit("f").alias("source_file_name"),
     )
-    out = J.two_role_join(facts, dim.withColumnRenamed("operator_id", "crew_id"), ("operator_id", "operator_id2"), "crew_id", "report_date_utc",
-                          "2000-06-01", ("Captain", "Chief Engineer"), "discharge_book_number")
+    nobody = dim.withColumn("operator_id", F.lit(""))  # crew rows without an id
+    out = M.reports_with_operators(facts, dim.unionByName(nobody), "2000-06-01")
     return out.select(long(F.col("o_orderkey")).alias("o_orderkey"), "segment", "operator_secondary_code", "operator_secondary_code2", "role_alias", "role_alias2")
 
 

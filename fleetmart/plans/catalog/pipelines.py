@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.operators import behaviours as B
 from fleetmart.operators import interpolate as I
+from fleetmart.operators import project as P
 from fleetmart.operators.joins import fact_join
 from fleetmart.operators.settle import settle
 from fleetmart.plans import generator_day as GD
@@ -281,5 +282,6 @@ def _(spark, sf_dir):
         F.concat(F.lit("file"), F.col("user_id").cast("string")).alias("source_file_name"), F.dayofmonth("ts").alias("day"), F.month("ts").alias("Month"),
         (F.hour("ts") % 10).alias("utc_hr_x1"), F.floor(F.hour("ts") / 10).alias("utc_hr_x10"), F.minute("ts").alias("gmt_min"), "value",
     )
+    records = P.all_to_string(records)  # as ingested
     out = R.flight_times(records, "source_file_name", 2023)
     return out.select("source_file_name", *[stamp(F.col(c)).alias(c) for c in ("actual_departure", "plan_departure", "actual_arrival")])

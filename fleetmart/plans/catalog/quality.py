@@ -92,18 +92,18 @@ t AS (SELECT k.event_id, f0, f1, f2 FROM k JOIN f ON k.uid IS NOT DISTINCT FROM
 
 def tagged(spark, sf_dir):
     df = source(spark, sf_dir).withColumn("user_id", F.when(F.col("user_id") % 9 != 0, F.col("user_id")))
-    return Q.tag_rows(df, _TAG_SUITE, "run-1", run_success=False)
+    return Q.tag_rows(df, _TAG_SUITE, "run-1")
 
 
 @query(
     "dq_tag_rows",
-    f"""WITH {_TAGS_SQL} SELECT CAST(event_id AS BIGINT) AS event_id, 'run-1' AS run_name, CAST(f0 + f1 + f2 = 0 AS INTEGER) AS run_row_success,
+    f"""WITH {_TAGS_SQL} SELECT CAST(event_id AS BIGINT) AS event_id, 'run-1' AS run_name, CAST(max(f0 + f1 + f2) OVER () = 0 AS INTEGER) AS run_success, CAST(f0 + f1 + f2 = 0 AS INTEGER) AS run_row_success,
   array_to_string(list_sort(list_filter([{', '.join(f"CASE WHEN f{i} = 1 THEN '{n}' END" for i, (n, _) in enumerate(_FLAGS))}], lambda x: x IS NOT NULL)), ',') AS failed FROM t""",
 )
 def _(spark, sf_dir):
     tag = F.col("dq_validations")
     return tagged(spark, sf_dir).select(
-        long(F.col("event_id")).alias("event_id"), tag["run_name"].alias("run_name"), tag["run_row_success"].cast("int").alias("run_row_success"),
+        long(F.col("event_id")).alias("event_id"), tag["run_name"].alias("run_name"), tag["run_success"].cast("int").alias("run_success"), tag["run_row_success"].cast("int").alias("run_row_success"),
         F.array_join(tag["dq_failure_details"]["expectation_type"], ",").alias("failed"),
     )
 

@@ -86,9 +86,20 @@ def _(spark, sf_dir):
     return load(spark, sf_dir, "orders").select(P.composite_key("vs", ["o_orderkey", "o_orderstatus"]).alias("event_openid"))
 
 
-@query("deterministic_id", "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, sha256(concat(CAST(o_orderkey AS VARCHAR), '|', o_orderstatus)) AS id FROM orders")
+def _key_part_sql(expr: str) -> str:
+    return f"coalesce(concat(length(CAST({expr} AS VARCHAR)), ':', CAST({expr} AS VARCHAR)), '-')" if expr == "o_orderkey" else f"CASE WHEN {expr} IS NULL THEN '-' ELSE concat(length({expr}), ':', {expr}) END"
+
+
+# the first and last part are NULL for some orders, and hold separators
+@query(
+    "deterministic_id",
+    f"""WITH o AS (SELECT o_orderkey, nullif(o_orderstatus, 'F') AS a, CASE WHEN o_orderkey % 3 > 0 THEN concat(o_orderpriority, '|', o_orderstatus) END AS b FROM orders)
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, sha256(concat({_key_part_sql('a')}, {_key_part_sql('o_orderkey')}, {_key_part_sql('b')})) AS id FROM o""",
+)
 def _(spark, sf_dir):
-    return load(spark, sf_dir, "orders").select(long(F.col("o_orderkey")).alias("o_orderkey"), P.stable_id(["o_orderkey", "o_orderstatus"]).alias("id"))
+    n, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    keyed = load(spark, sf_dir, "orders").select(n, F.when(status != "F", status).alias("a"), F.when(n % 3 > 0, F.concat("o_orderpriority", F.lit("|"), status)).alias("b"))
+    return keyed.select(long(n).alias("o_orderkey"), P.stable_id(["a", "o_orderkey", "b"]).alias("id"))
 
 
 @query("content_checksum", "SELECT CAST(doc_id AS BIGINT) AS doc_id, sha256(text) AS etag FROM documents")
@@ -378,13 +389,16 @@ def _(spark, sf_dir):
 
 
 @query("upsert_orders", f"""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, {shown_sql('CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END')} AS price, CASE WHEN o_orderkey % 10 = 0 THEN 'new' END AS note FROM orders
-UNION ALL SELECT CAST(o_orderkey + 100000000 AS BIGINT), 'U', {shown_sql('o_totalprice + 1')}, 'new' FROM orders WHERE o_orderkey % 10 = 5""")
+UNION ALL SELECT CAST(o_orderkey + 100000000 AS BIGINT), 'U', {shown_sql('o_totalprice + 1')}, 'new' FROM orders WHERE o_orderkey % 10 = 5 UNION ALL SELECT NULL, 'N', 2.5, 'new'""")
 def _(spark, sf_dir):
     base = load(spark, sf_dir, "orders").select(long(F.col("o_orderkey")).alias("o_orderkey"), "o_orderstatus", F.col("o_totalprice").alias("price"))
     n = F.col("o_orderkey")
     moved = F.when(n % 10 == 5, n + 100_000_000).otherwise(n).alias("o_orderkey")
     updates = base.filter(n % 5 == 0).select(moved, F.lit("U").alias("o_orderstatus"), (F.col("price") + 1).alias("price"), F.lit("new").alias("note"))
-    out = merged(base, updates, ["o_orderkey"])
+    # every update comes twice, the second time dearer; one row of either side has no key
+    nobody = base.limit(1).select(F.lit(None).cast("bigint").alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.lit(1.5).alias("price"))
+    updates = updates.unionByName(updates.withColumn("price", F.col("price") + 7)).unionByName(nobody.withColumn("price", F.lit(2.5)).withColumn("note", F.lit("new")))
+    out = merged(base.unionByName(nobody), updates, ["o_orderkey"])
     return out.withColumn("price", shown(F.col("price")))
 
 
@@ -476,5 +490,5 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select(long(F.col("doc_id")).alias("doc_id"), "source")
-    out = Fi.quarantine_flag(docs, F.col("doc_id") % 97 == 0, "source")
-    return out.withColumn("quarantined", F.col("quarantined").cast("int"))
+    clean, corrupt = Fi.quarantine_split(docs, F.col("doc_id") % 97 == 0, "source")
+    return clean.withColumn("quarantined", F.lit(0)).unionByName(corrupt.withColumn("quarantined", F.lit(1)))

@@ -116,12 +116,15 @@ def _(spark, sf_dir):
 
 @query(
     "range_frame_min",
-    f"""SELECT CAST(a.event_id AS BIGINT) AS event_id, {shown_sql('min(b.value)')} AS low FROM events a
-JOIN events b ON a.user_id = b.user_id AND abs(floor(epoch_us(a.ts) / 1000000.0) - floor(epoch_us(b.ts) / 1000000.0)) <= {HOUR6} GROUP BY a.event_id""",
+    f"""WITH e AS (SELECT event_id, value, CASE WHEN event_id % 37 > 0 THEN ts END AS ts, CASE WHEN event_id % 41 > 0 THEN user_id END AS user_id FROM events)
+SELECT CAST(a.event_id AS BIGINT) AS event_id, CASE WHEN count(b.event_id) > 0 THEN {shown_sql('min(b.value)')} END AS low FROM e a
+LEFT JOIN e b ON a.user_id = b.user_id AND abs(floor(epoch_us(a.ts) / 1000000.0) - floor(epoch_us(b.ts) / 1000000.0)) <= {HOUR6} GROUP BY a.event_id""",
 )
 def _(spark, sf_dir):
-    out = TL.range_min(events(spark, sf_dir), ["user_id"], "ts", "value", HOUR6, "low")
-    return out.select(event_id(), shown(F.col("low")).alias("low"))
+    n = F.col("event_id")
+    gaps = events(spark, sf_dir).withColumns({"ts": F.when(n % 37 > 0, F.col("ts")), "user_id": F.when(n % 41 > 0, F.col("user_id"))})
+    out = TL.range_min(gaps, ["user_id"], "ts", "value", HOUR6, "low")
+    return out.select(event_id(), F.when(F.col("low").isNotNull(), shown(F.col("low"))).alias("low"))
 
 
 @query(

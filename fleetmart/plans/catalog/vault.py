@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetmart.operators import vault as V
+from fleetmart.plans import layouts
 from fleetmart.plans.catalog.base import load, long, query, shown, shown_sql, stamp, stamp_sql
 
 LAYOUT = {
@@ -38,9 +39,17 @@ def _(spark, sf_dir):
     return vault(spark, sf_dir)["HUB_Crew_Member"].select("operator_id", stamp(F.col("ocurrence_datetime")).alias("ocurrence_datetime"))
 
 
-@query("vault_link", f"WITH {_MERGED_SQL} SELECT DISTINCT event_id, operator_id, customer_code FROM m")
+# the shipped layout with its declared keys; every order is an event with several crew members
+@query(
+    "vault_link",
+    """SELECT CAST(l_orderkey AS BIGINT) AS hk_ship_day_id, CAST(l_suppkey AS BIGINT) AS hk_operator_id, strftime(min(l_shipdate), '%Y-%m-%d') AS load_date, 'lines' AS record_source
+FROM lineitem GROUP BY l_orderkey, l_suppkey""",
+)
 def _(spark, sf_dir):
-    return vault(spark, sf_dir)["LINK_Flight_Crew"]
+    events = load(spark, sf_dir, "lineitem").select(
+        long(F.col("l_orderkey")).alias("hk_ship_day_id"), long(F.col("l_suppkey")).alias("HK_operator_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("load_date"), F.lit("lines").alias("record_source")
+    )
+    return V.tables(events, layouts.TANKER)["LINK_Ship_Daily_Crew"]
 
 
 @query("vault_sat", f'WITH {_MERGED_SQL} SELECT event_id, origin AS "ORIGIN", {shown_sql("plnd_block_fuel")} AS plnd_block_fuel FROM m')
@@ -74,14 +83,15 @@ def _(spark, sf_dir):
     return out.withColumns({c: F.when(F.col(c).isNotNull(), shown(F.col(c))) for c in ("plnd_block_fuel", "act_trip_fuel")})
 
 
-_SATS_SQL = """p AS (SELECT CAST(l_orderkey AS BIGINT) AS event_id, sum(l_quantity) AS quantity FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
+# the first satellite has several rows for a key: the last by line number counts
+_SATS_SQL = """p AS (SELECT CAST(l_orderkey AS BIGINT) AS event_id, arg_max(l_quantity, (l_linenumber, l_quantity)) AS quantity FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1),
 a AS (SELECT CAST(l_orderkey AS BIGINT) AS event_id, max(l_extendedprice) AS top_price, count(*) AS lines FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)"""
 
 
 def satellites(spark, sf_dir):
     li, key = load(spark, sf_dir, "lineitem"), long(F.col("l_orderkey")).alias("event_id")
     return {
-        "planned": li.filter("l_linestatus = 'O'").groupBy(key).agg(F.sum("l_quantity").alias("quantity")),
+        "planned": li.filter("l_linestatus = 'O'").select(key, F.col("l_quantity").alias("quantity"), "l_linenumber"),
         "actual": li.filter("l_returnflag = 'R'").groupBy(key).agg(F.max("l_extendedprice").alias("top_price"), F.count(F.lit(1)).alias("lines")),
     }
 
@@ -95,7 +105,7 @@ _OBT_COLS = f"{shown_sql('quantity')} AS quantity, {shown_sql('top_price')} AS t
 
 @query("obt_hub", f"WITH {_SATS_SQL} SELECT CAST(o_orderkey AS BIGINT) AS event_id, CAST(o_custkey AS BIGINT) AS operator_id, {_OBT_COLS} FROM orders LEFT JOIN p ON p.event_id = o_orderkey LEFT JOIN a ON a.event_id = o_orderkey WHERE o_orderpriority = '1-URGENT'")
 def _(spark, sf_dir):
-    return _out(V.one_big_table(urgent(spark, sf_dir), satellites(spark, sf_dir), "event_id"), "operator_id")
+    return _out(V.one_big_table(urgent(spark, sf_dir), satellites(spark, sf_dir), "event_id", {"planned": ["l_linenumber"]}), "operator_id")
 
 
 @query(
@@ -106,4 +116,4 @@ def _(spark, sf_dir):
     o = load(spark, sf_dir, "orders")
     link = o.select(long(F.col("o_orderkey")).alias("event_id"), long(F.col("o_custkey")).alias("operator_id"))
     hubs = {"HUB_Flight": o.select(long(F.col("o_orderkey")).alias("event_id"), F.col("o_orderstatus").alias("customer_code"))}
-    return _out(V.obt_of_link(link, hubs, satellites(spark, sf_dir), "event_id"), "operator_id", "customer_code")
+    return _out(V.obt_of_link(link, hubs, satellites(spark, sf_dir), "event_id", {"planned": ["l_linenumber"]}), "operator_id", "customer_code")

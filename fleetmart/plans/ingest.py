@@ -1,4 +1,7 @@
-"""Raw files to a typed-as-text table: pending files of the ledger, in batches, with per-file failure status.
+"""Raw files to a typed-as-text table: the pending files of the ledger in one load, with per-file failure status.
+
+A load is written to a folder of its own and counts from the moment that the ledger that names it is written. A run that
+ends before leaves nothing that counts, and the next one removes it.
 
 The streaming form (:mod:`fleetmart.streaming.ingest`) does the same from the file source's own checkpoint.
 """
@@ -10,25 +13,31 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetmart import schema as S
 from fleetmart.operators import ledger as L
 from fleetmart.operators.aggregates import watermark
+from fleetmart.operators.filters import require_rows
 from fleetmart.operators.project import columns_first, sanitise_names, trim_names
 from fleetmart.sources import files as Fs
 from fleetmart.sources import sinks as K
 
 BEGINNING = "2010-01-01 17:21"  # fixed value: start that stands for "no custom window"
+EVER = "0001-01-02"
 CLUSTER_KEYS = ("source_file_name", "ingestion_datetime")
 
 
-def load_window(ledger: DataFrame | None, fmt: str, mode: str, start: str = BEGINNING, until: str = "9999-12-31") -> tuple[str, str]:
-    """(after, until) of a load: a custom start as given; otherwise everything (``full``) or what is newer than the
-    ledger's newest file (``incremental``). Reads one row of aggregates."""
+def load_window(ledger: DataFrame | None, fmt: str, mode: str, start: str = BEGINNING, until: str = "9999-12-31", late_files: bool = True) -> tuple[str, str]:
+    """(after, until) of a load: a custom start as given; otherwise everything (``full``), or (``incremental``) what is
+    newer than the ledger's newest file. With ``late_files`` an incremental load has no lower bound either: files that
+    arrive with an older time are taken, and what the ledger knows is left out by path and time anyway."""
     if mode not in ("full", "incremental"):
         raise ValueError(f"load type {mode!r}")
-    if start != BEGINNING or mode == "full" or ledger is None:
+    if start != BEGINNING:
         return start, until
+    if mode == "full" or ledger is None or late_files:
+        return EVER, until
     newest = watermark(ledger, fmt).select(F.date_format("start_from", "yyyy-MM-dd HH:mm")).first()[0]
-    return newest or start, until
+    return newest or EVER, until
 
 
 def reader(spark: SparkSession, fmt: str, **options) -> Callable[[Sequence[str]], DataFrame]:
@@ -42,36 +51,58 @@ def prepared(df: DataFrame, run_id: str, ingested_at: str) -> DataFrame:
     return columns_first(trim_names(sanitise_names(Fs.decorated(df, run_id, ingested_at))), CLUSTER_KEYS)
 
 
+def faults(paths: Sequence[str], attempt: Callable[[Sequence[str]], None]) -> dict[str, str]:
+    """Files that make an attempt fail, with their error text, found by halving."""
+    try:
+        attempt(paths)
+    except Exception as e:  # noqa: BLE001 - its text becomes the status
+        if len(paths) == 1:
+            return {paths[0]: str(e)}
+        half = len(paths) // 2
+        return faults(paths[:half], attempt) | faults(paths[half:], attempt)
+    return {}
+
+
 def ingest(
     spark: SparkSession, ledger_path: str, fmt: str, table_path: str, run_id: str, ingested_at: str, read: Callable[[Sequence[str]], DataFrame],
-    window: tuple[str, str] = ("1970-01-01", "9999-12-31"), pattern: str | None = None, batch: int = Fs.MICRO_BATCH,
+    window: tuple[str, str] = ("0001-01-02", "9999-12-31"), pattern: str | None = None, strict: bool = False,
 ) -> int:
-    """Ingest the pending files of a versioned ledger; returns their number.
+    """Ingest the pending files of a versioned ledger in one load; returns their number.
 
-    The driver handles paths only. A batch that cannot be read is tried file by file, and a file that fails keeps its
-    error text as status; every batch ends with a new ledger version, so a rerun continues where this one stopped.
+    The driver handles the paths that the reader needs. If the files can't be read together, those at fault are found
+    by halving; they keep their error text as status, and the others are loaded. Files without a row get a status too.
+    A corrupt file isn't read again until it is delivered anew. With ``strict``, a load without any clean row is an error
+    (its statuses are kept). Only one run at a time may write to a ledger.
     """
     ledger = K.read_current(spark, ledger_path)
-    paths = [r["filepath"] for r in L.pending_files(ledger, fmt, *window, pattern).select("filepath").orderBy("filepath").collect()]
-    for i in range(0, len(paths), batch):
-        group = paths[i : i + batch]
-        try:
-            ledger = K.save_ingest(prepared(read(group), run_id, ingested_at), table_path, ledger)
-        except Exception:  # noqa: BLE001 - find the file at fault
-            for p in group:
-                try:
-                    ledger = K.save_ingest(prepared(read([p]), run_id, ingested_at), table_path, ledger)
-                except Exception as e:  # noqa: BLE001 - its text is the status
-                    ledger = K.failed(ledger, p, str(e))
-        K.write_version(ledger, ledger_path)
-        ledger = K.read_current(spark, ledger_path)
+    K.drop_unfinished(spark, table_path, ledger)
+    load = (K.versions(spark, ledger_path) or [0])[-1] + 1
+    pending = L.pending_files(ledger, fmt, *window, pattern).filter(F.col("status") != S.CORRUPTED)
+    paths = [r["filepath"] for r in pending.select("filepath").distinct().orderBy("filepath").collect()]
+    if not paths:
+        return 0
+    rows = lambda group: prepared(read(group), run_id, ingested_at)
+    failed: dict[str, str] = {}
+    try:
+        after = K.save_ingest(rows(paths), table_path, ledger, load)
+    except Exception:  # noqa: BLE001 - find the files at fault
+        failed = faults(paths, lambda group: rows(group).write.format("noop").mode("overwrite").save())
+        good = [p for p in paths if p not in failed]
+        # if every file can be read, it is the writing that fails: that is for the caller to see
+        after = K.save_ingest(rows(good), table_path, ledger, load) if good else ledger
+    if failed:
+        after = L.update_status(after, spark.createDataFrame(list(failed.items()), "filepath string, status string"))
+    left = F.col("filepath").isin([p for p in paths if p not in failed]) & (F.col("status") == S.PENDING)
+    after = after.withColumn("status", F.when(left, F.lit(S.NO_ROWS)).otherwise(F.col("status")))
+    K.write_version(after, ledger_path)
+    if strict:
+        clean = K.read_loads(spark, table_path, ledger_path)
+        require_rows(spark.range(0) if clean is None else clean.filter(F.col(K.LOAD) == load), f"load {load} of {fmt} files")
     return len(paths)
 
 
 def land_files(spark: SparkSession, directory: str, ledger_path: str, fmt: str, mode: str = "incremental", start: str = BEGINNING, until: str = "9999-12-31", pattern: str | None = None, min_size: int = 0) -> int:
     """Record new files of a directory in the versioned ledger; returns the version written."""
-    from fleetmart import schema as S
-
     known = K.read_current(spark, ledger_path)
     known = spark.createDataFrame([], S.LEDGER) if known is None else known
     window = load_window(known, fmt, mode, start, until)

@@ -4,6 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+class Layout(dict):
+    """{table: columns}, with the key columns of its hubs and links in ``keys_of``."""
+
+    def __init__(self, tables: dict[str, list[str]], keys_of: dict[str, list[str]]):
+        super().__init__(tables)
+        self.keys_of = keys_of
+
+
 RESULT = ("net_savings", "success", "savings", "best_case_savings", "reason")
 
 
@@ -21,7 +29,7 @@ _LINK = ["event_id", "event_openid", "customer_code", *TRACE]
 _PLAN_EXTRA = "planned_extra_fuel planned_discretionary_fuel planned_contingency_fuel planned_alternate_fuel planned_final_reserve_fuel planned_tanker_fuel".split()
 _PLAN_END = "planned_takeoff_fuel planned_arrival_fuel planned_landing_fuel".split()
 
-AVIATION = {
+_AVIATION = {
     "LINK_Flight_Crew": _LINK,
     "LINK_Flight_IOT": _LINK,
     "SAT_IOT_Records": (
@@ -59,10 +67,19 @@ AVIATION = {
     "SAT_Behaviours": ["event_key", "event_openid", *results(["reti", "reto"]), "reto__other_reasons", *results(["ef", "odfl"])],
 }
 
+# a flight link has no column of the crew or the recording: every different row of it counts
+AVIATION = Layout(_AVIATION, {
+    "LINK_Flight_Crew": _LINK,
+    "LINK_Flight_IOT": _LINK,
+    "HUB_Crew_Member": ["operator_id"],
+    "HUB_Flight": ["event_id"],
+    "HUB_Time": ["event_id", "plnd_departure_time"],
+})
+
 _LOAD = ["load_date", "record_source"]
 
 
-def maritime(prefixes: Sequence[str], key: str = "ship_day_id", crew_key: str = "operator_id", lead: Sequence[str] = ()) -> dict[str, list[str]]:
+def maritime(prefixes: Sequence[str], key: str = "ship_day_id", crew_key: str = "operator_id", lead: Sequence[str] = ()) -> Layout:
     """The ten ship tables. ``key``/``crew_key`` name the hash keys, ``lead`` columns come first everywhere."""
     power = lambda kind, n: numbered(f"{kind}_engine_#_running_hours", *range(1, n + 1)) + numbered(
         f"{kind}_engine_#_electric_power", *range(1, n + 1)
@@ -92,7 +109,7 @@ def maritime(prefixes: Sequence[str], key: str = "ship_day_id", crew_key: str =
     }
     out = {t: [*lead, *cols, *_LOAD] for t, cols in body.items()}
     out["SAT_Behaviours"] = [*lead, key, *results(prefixes, predicted=True)]
-    return out
+    return Layout(out, {"LINK_Ship_Daily_Crew": [key, crew_key], "HUB_Crew_Member": [crew_key], "HUB_Ship_Day": [key]})
 
 
 TANKER = maritime(["eaeu", "emo", "optimal_trim", "epm"], "hk_ship_day_id", "hk_operator_id")
@@ -106,4 +123,9 @@ SEA["SAT_Crew_Member"] = [
     "operator_email", "operator_role", *_LOAD,
 ]
 SEA["HUB_Ship_Day"] = ["event_key", "event_id", "ship_day_id", "imo", "sea_date", *_LOAD, "customer_name", "customer_code", "vehicle"]
+SEA.keys_of = {
+    "LINK_Ship_Daily_Crew": ["event_key", "event_id", "ship_day_id", "operator_id", "operator_id2"],
+    "HUB_Crew_Member": ["event_key", "event_id", "operator_id", "operator_id2"],
+    "HUB_Ship_Day": ["event_key", "event_id", "ship_day_id"],
+}
 SEA["SAT_Voyage_Details"] = ["vehicle" if c == "ship_name" else c for c in SEA["SAT_Voyage_Details"]]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetmart.functions.strings import digits_only, person_key, spoken_name, title_words
-from fleetmart.operators.joins import interval_join, role_columns, same_day_join, two_role_join
+from fleetmart.operators.joins import interval_join, role_columns, two_role_join
 from fleetmart.operators.settle import settle
 from fleetmart.operators.timeline import asof_nearest, nearest_only, top_row
 
@@ -67,7 +67,8 @@ def reports_with_crew(reports: DataFrame, rotation: DataFrame, open_end: str, la
         "imo", F.lower("rank").alias("rank"), F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date"),
         person_key(F.col("firstname"), F.col("lastname")).alias("full_name"), "discharge_book_number",
     )
-    on_board = interval_join(daily.select("imo", "date"), crew, "imo", "date", "start_date", "end_date", open_end)
+    bounds = daily.agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    on_board = interval_join(daily.select("imo", "date"), crew, "imo", "date", "start_date", "end_date", open_end, clip=tuple(bounds) if bounds[0] else None)
     roles = role_columns(on_board, ["imo", "date"], "rank", ["start_date", "full_name", "discharge_book_number"], ROLES)
     out = daily.join(roles, ["imo", "date"], "left")
     return out.withColumns(
@@ -90,5 +91,3 @@ def reports_with_operators(reports: DataFrame, crew: DataFrame, as_of: str, both
     )
 
 
-def tanker_days(fuel: DataFrame, noon: DataFrame, engine: DataFrame) -> DataFrame:
-    return same_day_join([fuel, noon, engine], ["report_date", "ship"])

@@ -54,6 +54,7 @@ LEDGER = T.StructType(
 )
 PENDING, INGESTED, ARCHIVED, UNZIP_FAILED = "pending", "ingested", "glacier_file", "failed to unzip"
 CORRUPTED = "corrupted records found"
+NO_ROWS = "no rows found"
 STATUS_LENGTH = 255
 
 # Row tag written by the data-quality operators.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from fleetmart.operators import ledger as L
 from fleetmart.operators.filters import bad_files, quarantine_split
 from fleetmart.operators.project import columns_first
 from fleetmart.operators.settle import settle
+from fleetmart.operators.vault import distinct_by_key
 from fleetmart.operators.vault import tables as vault_tables
 
 
@@ -54,11 +56,10 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_single(df: DataFrame, path: str, max_rows: int = 1_000_000, fmt: str = "parquet") -> None:
-    """One file for a small result; refuses more than ``max_rows`` rows instead of funnelling them through one task."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write a table instead")
-    df.coalesce(1).write.mode("overwrite").option("header", "true").format(fmt).save(path)
+def export_single(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """All rows in one file. They are computed in parallel and pass through one writing task row by row, so its memory
+    does not grow with them; a large result is better written as a table."""
+    df.repartition(1).write.mode("overwrite").option("header", "true").format(fmt).save(path)
 
 
 # versioned tables
@@ -89,8 +90,12 @@ def write_version(df: DataFrame, path: str) -> int:
 
 
 def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows not in the updates, plus the updates; columns of either side, NULL where one lacks them."""
-    return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates, allowMissingColumns=True)
+    """Target rows not in the updates, plus the updates; columns of either side, NULL where one lacks them. NULL keys
+    match each other, and of several updates of a key the smallest by all other columns counts."""
+    updates = distinct_by_key(updates, list(keys))
+    given = updates.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [target[f"`{k}`"].eqNullSafe(given[f"_k{i}"]) for i, k in enumerate(keys)])
+    return target.join(given, same, "left_anti").unionByName(updates, allowMissingColumns=True)
 
 
 def upsert(updates: DataFrame, path: str, keys: Sequence[str]) -> int:
@@ -101,20 +106,65 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str]) -> int:
 
 # ingest results
 
-def save_ingest(df: DataFrame, path: str, ledger: DataFrame, sort_by: Sequence[str] = ("source_file_name", "ingestion_datetime")) -> DataFrame:
-    """Write clean files to ``path`` and corrupt ones to ``path_corrupted``; returns the ledger with new statuses.
+LOAD = "load"  # ledger column and folder name: the load that brought a file in
 
+
+def save_ingest(df: DataFrame, path: str, ledger: DataFrame, load: int, sort_by: Sequence[str] = ("source_file_name", "ingestion_datetime")) -> DataFrame:
+    """Write clean files to the load's folder of ``path`` and corrupt ones to that of ``path_corrupted``, in place of what
+    an unfinished attempt left there; returns the ledger with new statuses and the number of the load.
+
+    Nothing counts before this ledger is written: :func:`read_loads` and :func:`drop_unfinished` go by its load numbers.
     The parsed rows are staged first: a pruned text scan cannot tell corrupt records, and parsing is paid once.
     """
     staged = settle(df)
-    df = df.persist() if staged is df else staged
-    clean, corrupt = quarantine_split(df)
-    append(clean.drop(S.CORRUPT_COLUMN), path, sort_by)
-    append(corrupt, f"{path}_corrupted", sort_by)
-    bad = bad_files(df, F.col(S.CORRUPT_COLUMN).isNotNull()).withColumn("_bad", F.lit(True))
-    seen = df.select("file_path").distinct().join(bad, "file_path", "left")
+    clean, corrupt = quarantine_split(staged)
+    for rows, base in ((clean.drop(S.CORRUPT_COLUMN), path), (corrupt, f"{path}_corrupted")):
+        out = columns_first(rows, sort_by)
+        overwrite(out.sortWithinPartitions(*[c for c in sort_by if c in out.columns]), f"{base}/{LOAD}={load:08d}")
+    bad = bad_files(staged, F.col(S.CORRUPT_COLUMN).isNotNull()).withColumn("_bad", F.lit(True))
+    seen = staged.select("file_path").distinct().join(bad, "file_path", "left")
     status = F.when(F.col("_bad"), F.lit(S.CORRUPTED)).otherwise(F.lit(S.INGESTED))
-    return L.update_status(ledger, seen.select(F.col("file_path").alias("filepath"), status.alias("status")))
+    return stamped(ledger, seen.select(F.col("file_path").alias("filepath"), status.alias("status")), load)
+
+
+def stamped(ledger: DataFrame, changes: DataFrame, load: int) -> DataFrame:
+    """Ledger with the new statuses, and the load's number at the pending rows that got one."""
+    if LOAD not in ledger.columns:
+        ledger = ledger.withColumn(LOAD, F.lit(None).cast("bigint"))
+    old = ledger.withColumn("_was", F.col("status"))
+    new = L.update_status(old, changes)
+    moved = ~F.col("_was").isin(S.INGESTED, S.ARCHIVED) & F.col("status").isin(S.INGESTED, S.CORRUPTED) & (~F.col("status").eqNullSafe(F.col("_was")))
+    return new.withColumn(LOAD, F.when(moved, F.lit(load).cast("bigint")).otherwise(F.col(LOAD))).drop("_was")
+
+
+def _load_folders(spark: SparkSession, path: str) -> dict[int, str]:
+    fs, p = _fs(spark, path)
+    found = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return {int(m.group(1)): f.toString() for f in found if (m := re.fullmatch(rf"{LOAD}=(\d+)", f.getName()))}
+
+
+def finished_loads(ledger: DataFrame | None) -> set[int]:
+    """Numbers of the loads that the ledger knows (one for each finished run)."""
+    if ledger is None or LOAD not in ledger.columns:
+        return set()
+    return {r[0] for r in ledger.select(LOAD).filter(F.col(LOAD).isNotNull()).distinct().collect()}
+
+
+def drop_unfinished(spark: SparkSession, path: str, ledger: DataFrame) -> None:
+    """Remove what runs left that ended before their ledger was written."""
+    done = finished_loads(ledger)
+    for base in (path, f"{path}_corrupted"):
+        for load, folder in _load_folders(spark, base).items():
+            if load not in done:
+                fs, p = _fs(spark, folder)
+                fs.delete(p, True)
+
+
+def read_loads(spark: SparkSession, path: str, ledger_path: str) -> DataFrame | None:
+    """The rows of all finished loads of a table, each file once, whatever an interrupted run has left beside them."""
+    done = finished_loads(read_current(spark, ledger_path))
+    folders = [f for n, f in sorted(_load_folders(spark, path).items()) if n in done]
+    return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(*folders) if folders else None
 
 
 def failed(ledger: DataFrame, filepath: str, error: str) -> DataFrame:

@@ -105,6 +105,67 @@ def test_ship_events(spark):
     assert strict.count() == 1
 
 
+def _landed(spark, tmp_path):
+    src, led, out = tmp_path / "land", str(tmp_path / "ledger"), str(tmp_path / "bronze")
+    src.mkdir()
+    (src / "a.csv").write_text("t,v\n1,2\n3,4\n")
+    (src / "d.csv").write_text("t,v\n6,7\n8,9,10\n")
+    (src / "e.csv").write_text("t,v\n")
+    In.land_files(spark, str(src), led, "csv")
+    return src, led, out, lambda: In.ingest(spark, led, "csv", out, "run", "2024-06-01T00:00:00", In.reader(spark, "csv", sep=","))
+
+
+def _held(spark, out, led):
+    clean, bad = K.read_loads(spark, out, led), K.read_loads(spark, out + "_corrupted", led)
+    return sorted(r["t"] for r in clean.collect()) if clean else [], sorted(r["t"] for r in bad.collect()) if bad else []
+
+
+def test_ingest_after_a_failed_quarantine_write(spark, tmp_path):
+    src, led, out, run = _landed(spark, tmp_path)
+    (tmp_path / "bronze_corrupted").write_text("in the way")
+    with pytest.raises(Exception):  # noqa: B017, PT011 - whatever the file system says
+        run()
+    assert _held(spark, out, led) == ([], [])
+    (tmp_path / "bronze_corrupted").unlink()
+    assert run() == 3
+    assert _held(spark, out, led) == (["1", "3"], ["6", "8"])
+    assert spark.read.parquet(out).count() == 2
+    status = {r["filename"]: r["status"] for r in K.read_current(spark, led).collect()}
+    assert status == {"a.csv": S.INGESTED, "d.csv": S.CORRUPTED, "e.csv": S.NO_ROWS}
+
+
+def test_ingest_again_and_after_a_killed_driver(spark, tmp_path, monkeypatch):
+    src, led, out, run = _landed(spark, tmp_path)
+    write = K.write_version
+    monkeypatch.setattr(K, "write_version", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):  # the data is written, the ledger is not
+        run()
+    monkeypatch.setattr(K, "write_version", write)
+    assert _held(spark, out, led) == ([], [])
+    (src / "b.csv").write_text("t,v\n5,5\n")
+    In.land_files(spark, str(src), led, "csv")  # another ledger version in between
+    assert run() == 4
+    assert run() == 1  # the file without rows is tried again
+    assert _held(spark, out, led) == (["1", "3", "5"], ["6", "8"])
+    assert spark.read.parquet(out).count() == 3
+    import os
+
+    os.utime(src / "a.csv", (1_900_000_000, 1_900_000_000))  # delivered anew
+    In.land_files(spark, str(src), led, "csv")
+    run()
+    assert _held(spark, out, led)[0] == ["1", "1", "3", "3", "5"]
+
+
+def test_ingest_without_a_clean_row(spark, tmp_path):
+    src, led, out = tmp_path / "land", str(tmp_path / "ledger"), str(tmp_path / "bronze")
+    src.mkdir()
+    (src / "d.csv").write_text("t,v\n6,7\n8,9,10\n")
+    In.land_files(spark, str(src), led, "csv")
+    with pytest.raises(ValueError, match="no rows left"):
+        In.ingest(spark, led, "csv", out, "run", "2024-06-01T00:00:00", In.reader(spark, "csv", sep=","), strict=True)
+    assert K.read_current(spark, led).first()["status"] == S.CORRUPTED
+
+
 def test_ingest_run(spark, tmp_path):
     src, led, out = tmp_path / "land", str(tmp_path / "ledger"), str(tmp_path / "bronze")
     src.mkdir()
@@ -114,7 +175,7 @@ def test_ingest_run(spark, tmp_path):
     (src / "d.csv").write_text("t,v (kg)\n6,7\n8,9,10\n")
     read = In.reader(spark, "csv", sep=",/;")
     In.land_files(spark, str(src), led, "csv")
-    assert In.ingest(spark, led, "csv", out, "run-1", "2024-06-01T00:00:00", read, batch=2) == 4
+    assert In.ingest(spark, led, "csv", out, "run-1", "2024-06-01T00:00:00", read) == 4
     status = {r["filename"]: r["status"] for r in K.read_current(spark, led).collect()}
     assert (status["a.csv"], status["b.csv"], status["d.csv"]) == (S.INGESTED, S.INGESTED, S.CORRUPTED) and "no separator" in status["c.csv"]
     t = spark.read.option("mergeSchema", "true").parquet(out)
@@ -122,8 +183,8 @@ def test_ingest_run(spark, tmp_path):
     assert t.columns[:2] == ["source_file_name", "ingestion_datetime"]
     In.land_files(spark, str(src), led, "csv", mode="full")
     assert K.read_current(spark, led).count() == 4
-    assert In.load_window(K.read_current(spark, led), "csv", "incremental")[0] > "2020"
-    assert In.load_window(None, "csv", "incremental") == (In.BEGINNING, "9999-12-31")
+    assert In.load_window(K.read_current(spark, led), "csv", "incremental", late_files=False)[0] > "2020"
+    assert In.load_window(K.read_current(spark, led), "csv", "incremental") == In.load_window(None, "csv", "full") == (In.EVER, "9999-12-31")
     with pytest.raises(ValueError):
         In.load_window(None, "csv", "weekly")
 
