@@ -66,14 +66,25 @@ def taxi(s: Sheet, way: str, tag: str, wait_field: str, wait_reason: str, blacko
     return reasons, own, main, limit, pairs
 
 
+def _engines(tag: str, wait: str, own: list[Column], main: Column) -> dict[str, Column]:
+    """Net fuel of each engine and of the busiest one."""
+    return {f"fuel_burn_{tag}_{i}_without_{wait}": e for i, e in enumerate(own, 1)} | {f"fuel_burn_{tag}_main_engine": main}
+
+
 @behaviour(
     "Reduced_Engine_Taxi_In", "reti",
     ["plnd_taxi_fuel", "taxi_in_minutes", "fuel_burn_taxi_in1_kg", "fuel_burn_taxi_in2_kg", "fuel_burn_reti_main_engine",
      "act_taxi_in_fuel", "constant_reti_cooldown_time", "constant_reti_threshold"],
+    side=[
+        "fuel_burn_reti_1_without_cooldown", "fuel_burn_reti_2_without_cooldown", "fuel_burn_reti_3_without_cooldown",
+        "fuel_burn_reti_4_without_cooldown", "fuel_burn_reti_main_engine",
+    ],
     blackout=BLACKOUT,
 )
 def reduced_engine_taxi_in(s: Sheet, blackout) -> Outcome:
-    """Engines that stayed clearly below the busiest one after landing were shut down: the difference is saved."""
+    """Engines that stayed clearly below the busiest one after landing were shut down: the difference is saved.
+
+    Side columns: what each engine burned beyond its cool-down, and the most of it (in place of the gross figure)."""
     reasons, own, main, limit, pairs = taxi(s, "in", "reti", "constant_reti_cooldown_time", "UNDER_MIN_COOLDOWN", blackout)
 
     def saved(i: int) -> Column:
@@ -81,19 +92,24 @@ def reduced_engine_taxi_in(s: Sheet, blackout) -> Outcome:
         return F.when(ran & (own[i] <= limit), main - own[i]).otherwise(0.0)
 
     (net,) = s.let(net0=saved(0) + saved(1) + saved(2) + saved(3))
-    return Outcome(reasons, net, (limit > 0) & (net > 0), F.round(net, 2), F.round(main * pairs, 2))
+    return Outcome(reasons, net, (limit > 0) & (net > 0), F.round(net, 2), F.round(main * pairs, 2), side=_engines("reti", "cooldown", own, main))
 
 
 @behaviour(
     "Reduced_Engine_Taxi_Out", "reto",
     ["plnd_taxi_fuel", "taxi_out_minutes", "fuel_burn_taxi_out1_kg", "fuel_burn_taxi_out2_kg", "act_taxi_out_fuel",
      "fuel_burn_reto_main_engine", "constant_reto_warmup_time", "constant_reto_threshold"],
+    side=[
+        "fuel_burn_reto_1_without_warmup", "fuel_burn_reto_2_without_warmup", "fuel_burn_reto_3_without_warmup",
+        "fuel_burn_reto_4_without_warmup", "fuel_burn_reto_main_engine",
+    ],
     blackout=BLACKOUT,
 )
 def reduced_engine_taxi_out(s: Sheet, blackout) -> Outcome:
+    """Side columns: what each engine burned beyond its warm-up, and the most of it (in place of the gross figure)."""
     reasons, own, main, limit, pairs = taxi(s, "out", "reto", "constant_reto_warmup_time", "UNDER_MIN_WARMUP", blackout)
     net = main * 2 - own[0] - own[1]
-    return Outcome(reasons, net, (limit > 0) & (net > 0), best=main * pairs)
+    return Outcome(reasons, net, (limit > 0) & (net > 0), best=main * pairs, side=_engines("reto", "warmup", own, main))
 
 
 @behaviour(

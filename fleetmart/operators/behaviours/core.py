@@ -21,7 +21,8 @@ from fleetmart.schema import faulty
 
 @dataclass
 class Outcome:
-    """What a behaviour returns. ``savings`` (default: net) counts only on success; ``best`` sees success and savings."""
+    """What a behaviour returns. ``savings`` (default: net) counts only on success; ``best`` sees success and savings.
+    ``side`` holds further result columns, {name: value}; one with an input's name takes its place."""
 
     reasons: Sequence[tuple[str, Column]]
     net: Column
@@ -29,6 +30,7 @@ class Outcome:
     savings: Column | None = None
     best: Callable[[Column, Column], Column] | Column | None = None
     net_if_eligible: bool = False
+    side: Mapping[str, Column] = field(default_factory=dict)
 
 
 class Sheet:
@@ -70,17 +72,19 @@ class Behaviour:
     needs: tuple[str, ...]
     rule: Callable[..., Outcome]
     predicted: bool = False
+    side: tuple[str, ...] = ()
     defaults: Mapping[str, object] = field(default_factory=dict)
 
 
 BEHAVIOURS: dict[str, Behaviour] = {}
 
 
-def behaviour(name: str, prefix: str, needs: Sequence[str], predicted: bool = False, **defaults):
-    """Register ``rule(sheet, **options) -> Outcome`` under a name; ``defaults`` are its options."""
+def behaviour(name: str, prefix: str, needs: Sequence[str], predicted: bool = False, side: Sequence[str] = (), **defaults):
+    """Register ``rule(sheet, **options) -> Outcome`` under a name; ``side`` names the side columns that it gives,
+    ``defaults`` are its options."""
 
     def register(rule):
-        BEHAVIOURS[name] = Behaviour(name, prefix, tuple(needs), rule, predicted, defaults)
+        BEHAVIOURS[name] = Behaviour(name, prefix, tuple(needs), rule, predicted, tuple(side), defaults)
         return rule
 
     return register
@@ -111,7 +115,7 @@ def calculate(df: DataFrame, name: str, exclusions: Sequence[Mapping] = (), pref
     zero = F.lit(0.0)
     if [c for c in b.needs if c not in original]:
         gone = _results(prefix, b.predicted, zero, F.lit(False), zero, zero, F.lit(faulty("MISSING_REQUIRED_VALUES")))
-        return df.withColumns(gone)
+        return df.withColumns(gone | {c: F.lit(None).cast("double") for c in b.side if c not in original})
 
     sheet = Sheet(df, prefix)
     o = b.rule(sheet, **{**b.defaults, **options})
@@ -125,7 +129,7 @@ def calculate(df: DataFrame, name: str, exclusions: Sequence[Mapping] = (), pref
     net, savings = sheet.let(net=net, savings=gained)
     best = savings if o.best is None else (o.best(success, savings) if callable(o.best) else o.best)
     best = F.coalesce(F.when(excluded == "", best), zero)
-    done = _results(prefix, b.predicted, net, success, savings, best, reason)
+    done = _results(prefix, b.predicted, net, success, savings, best, reason) | dict(o.side)
     return sheet.df.select(*[F.col(f"`{c}`") for c in original if c not in done], *[c.alias(n) for n, c in done.items()])
 
 

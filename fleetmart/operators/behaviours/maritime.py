@@ -168,6 +168,8 @@ def engine_maintenance_by_curve(s: Sheet) -> Outcome:
     return Outcome(reasons, net, (net > 0) & (delta < allowed), best=lambda ok, savings: F.when(ok, best).otherwise(0.0))
 
 
+USED = "aeu_calc"  # side column: the use as computed, in percent (tankers: a ratio to 1)
+
 FOUR_ENGINE_NEEDS = (
     ["location", "aeu", "sfocisoae", "constant_aeu_lower", "constant_aeu_upper", "log_duration"]
     + [f"ae{i}_{k}" for k in ("running_hours", "electric_power_kw") for i in (1, 2, 3, 4)]
@@ -175,7 +177,7 @@ FOUR_ENGINE_NEEDS = (
 )
 
 
-@behaviour("Efficient_Auxiliary_Engine_Use", "eaeu", FOUR_ENGINE_NEEDS, predicted=True)
+@behaviour("Efficient_Auxiliary_Engine_Use", "eaeu", FOUR_ENGINE_NEEDS, predicted=True, side=[USED])
 def auxiliary_engines_four(s: Sheet) -> Outcome:
     """Energy demand against what the running generators could have delivered, in percent.
 
@@ -196,12 +198,12 @@ def auxiliary_engines_four(s: Sheet) -> Outcome:
         (faulty("EAEU_NOT_USED"), (reported == 0) | (ran <= 0)),
         (faulty("INVALID_SFOC"), beyond(sfoc, 100, 400)),
     ]
-    return Outcome(reasons, net, use >= lower, F.round(net, 2))
+    return Outcome(reasons, net, use >= lower, F.round(net, 2), side={USED: use})
 
 
 @behaviour(
     "Efficient_Auxiliary_Engine_Use_Charter", "eaeu", ["operational_mode", "me_hours", "ae_sfoc", "ae_cons"],
-    predicted=True, exempt=(),
+    predicted=True, side=[USED], exempt=(),
 )
 def auxiliary_engines_three(s: Sheet, exempt) -> Outcome:
     hours, power = s.nums("ae_hours#", 3, 0), s.nums("ae_power#", 3, 0)
@@ -220,7 +222,7 @@ def auxiliary_engines_three(s: Sheet, exempt) -> Outcome:
         (faulty("INVALID_RUNNING_HOURS"), total(hours) < 0),
         (faulty("INVALID_AUX_ENGINES_CONSUMPTION"), s.num("ae_cons") < 0),
     ]
-    return Outcome(reasons, net, use >= lower)
+    return Outcome(reasons, net, use >= lower, side={USED: use})
 
 
 TANKER_GENERATOR_NEEDS = (
@@ -231,7 +233,7 @@ TANKER_GENERATOR_NEEDS = (
 )
 
 
-@behaviour("Efficient_Auxiliary_Engine_Use_Tanker", "eaeu", TANKER_GENERATOR_NEEDS, predicted=True)
+@behaviour("Efficient_Auxiliary_Engine_Use_Tanker", "eaeu", TANKER_GENERATOR_NEEDS, predicted=True, side=[USED])
 def auxiliary_engines_ratio(s: Sheet) -> Outcome:
     """As above, as a ratio to 1, from hourly averages over a day."""
     energy, hours = s.nums("generator_energy_hourly_avg_#", 4, 0), s.nums("generator_#_running_hours", 4, 0)
@@ -245,7 +247,7 @@ def auxiliary_engines_ratio(s: Sheet) -> Outcome:
     full = full_use(running(hours), demand, loads, const, F.lit(24.0)) | (share >= 1)
     (use,) = s.let(use=F.when(full, 1.0).otherwise(share))
     best = (1 - lower) * fuel
-    return Outcome([], (use - lower) * fuel, use >= lower, best=lambda ok, savings: F.when(ok, best).otherwise(0.0))
+    return Outcome([], (use - lower) * fuel, use >= lower, best=lambda ok, savings: F.when(ok, best).otherwise(0.0), side={USED: use})
 
 
 @behaviour(

@@ -8,12 +8,13 @@ generated code. Outside the grid, or where a corner is missing, the result is NU
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from fleetmart.functions.columns import ratio
-from fleetmart.operators.joins import is_small
+from fleetmart.operators.settle import settle
 
 # Trim table class and limit (percent) per ship number.
 TRIM_LIMITS = {
@@ -56,6 +57,19 @@ def curve_at(curve: DataFrame, key: str, x: str, ys: list[str], at: Column, digi
     )
 
 
+def with_curve_floor(reports: DataFrame, curve: DataFrame, loads: Mapping[str, float] = CURVE_LOAD) -> DataFrame:
+    """Reports (imo) with their ship's consumption curve read at its load: ``sfoc_st``, ``sfoc_min`` and ``sfoc_max``, NULL
+    for ships without a curve or outside it. ``curve`` holds (imo, mrc_load, sfoc, sfoc_tolereance_min,
+    sfoc_tolereance_max); engine maintenance of tankers is judged by ``sfoc_min``."""
+    at = F.create_map(*[F.lit(x) for pair in loads.items() for x in pair])
+    points = curve.select(
+        F.col("imo").cast("string").alias("_imo"), F.col("mrc_load").cast("double").alias("x"), F.col("sfoc").alias("sfoc_st"),
+        F.col("sfoc_tolereance_min").alias("sfoc_min"), F.col("sfoc_tolereance_max").alias("sfoc_max"),
+    ).filter(F.col("_imo").isin(list(loads)))
+    read = curve_at(points, "_imo", "x", ["sfoc_st", "sfoc_min", "sfoc_max"], at[F.col("_imo")])
+    return reports.join(read, F.col("imo").cast("string") == F.col("_imo"), "left").drop("_imo")
+
+
 AXES = ("draft", "speed", "trim")
 
 
@@ -64,24 +78,42 @@ def axes(nodes: DataFrame, cls: str) -> DataFrame:
     return nodes.groupBy(cls).agg(*[F.array_sort(F.collect_set(a)).alias(f"_{a}s") for a in AXES])
 
 
-def corner_rows(grid: DataFrame, cls: str, dims: tuple[str, ...]) -> DataFrame:
+def corner_rows(nodes: DataFrame, lines: DataFrame, cls: str, dims: tuple[str, ...] = AXES) -> DataFrame:
     """Grid cells over ``dims``: lower node, next node (``_<dim>1``) and corner values ``_p<bits>``, one bit per dim.
 
-    Each dim doubles the corners with one self-join on the grid (the grid is small; the facts are not involved).
-    A missing neighbour leaves NULL corners.
+    Each dim doubles the corners with one look ahead along its lines of nodes; a look that passes over a missing
+    node finds another one than the axis says, and leaves NULL corners.
     """
-    nodes = grid.groupBy(cls, *AXES).agg(F.max("power").alias("_p"))
-    out, corners = nodes, ["_p"]
+    def following(d: str) -> Column:
+        return F.array_min(F.filter(f"_{d}s", lambda v: v > F.col(d)))
+
+    out, corners = nodes.join(lines, cls), ["_p"]
     for d in dims:
-        along = Window.partitionBy(cls).orderBy(d)
-        steps = nodes.select(cls, d).distinct().withColumn(f"_{d}1", F.lead(d).over(along)).filter(F.col(f"_{d}1").isNotNull())
-        keep = [c for c in out.columns if c not in (cls, *AXES, *corners)]
-        same = [a for a in AXES if a != d]
-        far = out.select(cls, *same, F.col(d).alias(f"_{d}1"), *[F.col(c).alias(f"{c}1") for c in corners])
-        near = out.join(steps, [cls, d]).select(cls, *AXES, *keep, f"_{d}1", *[F.col(c).alias(f"{c}0") for c in corners])
-        out = near.join(far, [cls, *same, f"_{d}1"], "left")
+        along = Window.partitionBy(cls, *[a for a in AXES if a != d]).orderBy(d)
+        ahead = F.lead(F.struct(F.col(d).alias("at"), *corners)).over(along)
+        out = out.withColumn("_far", ahead).withColumn(f"_{d}1", following(d))
+        met = F.col("_far.at") == F.col(f"_{d}1")
+        sides = {f"{c}0": F.col(c) for c in corners} | {f"{c}1": F.when(met, F.col(f"_far.{c}")) for c in corners}
+        out = out.filter(F.col(f"_{d}1").isNotNull()).withColumns(sides).drop("_far", *corners)
         corners = [f"{c}{bit}" for c in corners for bit in "01"]
-    return out
+    return out.drop(*[f"_{a}s" for a in AXES])
+
+
+@dataclass(frozen=True)
+class Cells:
+    """A grid made ready: its cells with eight corners each, its axes per class, and the longest of them."""
+
+    rows: DataFrame
+    lines: DataFrame
+    longest: Row
+
+
+def grid_cells(grid: DataFrame, cls: str) -> Cells:
+    """The cells of a (small) reference grid, worked out once and stored, for any number of readings."""
+    nodes = settle(grid.groupBy(cls, *AXES).agg(F.max("power").alias("_p")))
+    lines = settle(axes(nodes, cls))
+    longest = lines.agg(*[F.max(F.size(f"_{a}s")).alias(a) for a in AXES]).first()
+    return Cells(settle(corner_rows(nodes, lines, cls)), lines, longest)
 
 
 UNROLLED_NODES = 64
@@ -110,40 +142,33 @@ def blend(corners: Mapping[str, Column], shares: list[Column]) -> Column:
     return level[""]
 
 
-def in_cells(facts: DataFrame, grid: DataFrame, cells: DataFrame, cls: str, at: Mapping[str, Column]) -> DataFrame:
+def in_cells(facts: DataFrame, ready: Cells, cells: DataFrame, cls: str, at: Mapping[str, Column]) -> DataFrame:
     """Facts with the columns of the cell they fall into (NULL outside) and ``_s_<axis>``, their position in it from
     0 to 1; ``at`` is {axis: fact value}. Each step is its own projection, so no expression is repeated inside
-    another one.
-
-    Axes and cells have no more rows than the grid, so one look at the grid's size covers both broadcasts.
-    """
-    nodes = grid.groupBy(cls, *AXES).agg(F.max("power").alias("_p"))
-    lines = axes(nodes, cls)
-    longest = lines.agg(*[F.max(F.size(f"_{a}s")).alias(a) for a in AXES]).first()
-    hint = F.broadcast if is_small(grid) else (lambda df: df)
-    valued = facts.withColumns({f"_x_{a}": x for a, x in at.items()}).join(hint(lines), cls, "left")
-    placed = valued.withColumns({f"_{a}0": node_below(F.col(f"_{a}s"), F.col(f"_x_{a}"), longest[a] or 0) for a in at})
+    another one. Axes and cells are stored tables: Spark broadcasts them by their size or else joins them."""
+    valued = facts.withColumns({f"_x_{a}": x for a, x in at.items()}).join(ready.lines, cls, "left")
+    placed = valued.withColumns({f"_{a}0": node_below(F.col(f"_{a}s"), F.col(f"_x_{a}"), ready.longest[a] or 0) for a in at})
     keyed = cells.withColumnsRenamed({a: f"_{a}0" for a in at})
-    hit = placed.drop(*[f"_{a}s" for a in AXES]).join(hint(keyed), [cls, *[f"_{a}0" for a in at]], "left")
+    hit = placed.drop(*[f"_{a}s" for a in AXES]).join(keyed, [cls, *[f"_{a}0" for a in at]], "left")
     within = lambda a: ratio(F.col(f"_x_{a}") - F.col(f"_{a}0"), F.col(f"_{a}1") - F.col(f"_{a}0"))
     return hit.withColumns({f"_s_{a}": within(a) for a in at}).drop(*[f"_x_{a}" for a in at], *[f"_{a}{n}" for a in at for n in "01"])
 
 
-def grid_power(facts: DataFrame, grid: DataFrame, cls: str, draft: Column, speed: Column, trim: Column, out: str) -> DataFrame:
+def grid_power(facts: DataFrame, grid: DataFrame | Cells, cls: str, draft: Column, speed: Column, trim: Column, out: str) -> DataFrame:
     """Trilinear power at each fact's (draft, speed, trim)."""
-    hit = in_cells(facts, grid, corner_rows(grid, cls, AXES), cls, {"draft": draft, "speed": speed, "trim": trim})
+    ready = grid if isinstance(grid, Cells) else grid_cells(grid, cls)
+    hit = in_cells(facts, ready, ready.rows, cls, {"draft": draft, "speed": speed, "trim": trim})
     corners = {f"{i:03b}": F.col(f"_p{i:03b}") for i in range(8)}
     power = blend(corners, [F.col(f"_s_{a}") for a in AXES])
     return hit.withColumn(out, power).drop(*[f"_p{b}" for b in corners], *[f"_s_{a}" for a in AXES])
 
 
-def candidate_lines(grid: DataFrame, cls: str) -> DataFrame:
+def candidate_lines(flat: DataFrame, cls: str) -> DataFrame:
     """Per (draft, speed) cell, the candidate trims worth a look with their four corner values.
 
     Power is linear between trim nodes, so within each stretch only the first and last candidate can be
     the least: the list is at most twice as long as the trim axis.
     """
-    flat = corner_rows(grid, cls, AXES)
     step = (TRIM_HIGH - TRIM_LOW) / (TRIM_STEPS - 1)
     index = lambda c, way: way((c - TRIM_LOW) / step).cast("int")
     lo = F.greatest(index(F.col("trim") - 1e-12, F.ceil), F.lit(0))
@@ -157,12 +182,13 @@ def candidate_lines(grid: DataFrame, cls: str) -> DataFrame:
     return known.groupBy(cls, "draft", "speed", "_draft1", "_speed1").agg(line)
 
 
-def ideal_trim(facts: DataFrame, grid: DataFrame, cls: str, draft: Column, speed: Column, out: str = "trim_ideal") -> DataFrame:
+def ideal_trim(facts: DataFrame, grid: DataFrame | Cells, cls: str, draft: Column, speed: Column, out: str = "trim_ideal") -> DataFrame:
     """Trim of least power among evenly spaced candidates; the smallest such trim on a tie.
 
     The candidates are compared inside each row: no product of rows is formed.
     """
-    hit = in_cells(facts, grid, candidate_lines(grid, cls), cls, {"draft": draft, "speed": speed})
+    ready = grid if isinstance(grid, Cells) else grid_cells(grid, cls)
+    hit = in_cells(facts, ready, candidate_lines(ready.rows, cls), cls, {"draft": draft, "speed": speed})
     u, v = F.col("_s_draft"), F.col("_s_speed")
     power = lambda n: blend({b: n[f"p{b}"] for b in ("00", "01", "10", "11")}, [u, v])
     best = F.array_min(F.transform("_line", lambda n: F.struct(F.round(power(n), 9).alias("p"), n["t"].alias("t"))))

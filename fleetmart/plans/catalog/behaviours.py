@@ -25,8 +25,8 @@ def with_constants(df: DataFrame) -> DataFrame:
     return lookup(df, dim, F.col("vehicle"), "ship", config=True)
 
 
-def result(df: DataFrame, prefix: str) -> DataFrame:
-    """Row identity and the behaviour's figures."""
+def result(df: DataFrame, prefix: str, side: dict[str, str] | None = None) -> DataFrame:
+    """Row identity, the behaviour's figures, and the side columns of ``side`` (its values are for the SQL form)."""
     p = prefix
     return df.select(
         *[long(F.col(k)).alias(k) for k in A.LINE_KEY],
@@ -35,10 +35,11 @@ def result(df: DataFrame, prefix: str) -> DataFrame:
         shown(F.col(f"{p}__savings")).alias("savings"),
         shown(F.col(f"{p}__best_case_savings")).alias("best_case_savings"),
         F.col(f"{p}__reason").alias("reason"),
+        *[F.when(F.col(c).isNotNull(), shown(F.col(c))).alias(c) for c in side or {}],
     )
 
 
-def result_sql(ctes: str, reasons: list[tuple[str, str]], net: str, ok: str, savings: str = "net", best: str = "savings", net_if_eligible: bool = False) -> str:
+def result_sql(ctes: str, reasons: list[tuple[str, str]], net: str, ok: str, savings: str = "net", best: str = "savings", net_if_eligible: bool = False, side: dict[str, str] | None = None) -> str:
     """SQL frame: ``ctes`` ends with a CTE named x that holds the inputs of all expressions."""
     cases = " ".join(f"WHEN {c} THEN '{r}'" for r, c in reasons)
     reason = f"CASE {cases} ELSE '' END" if cases else "''"
@@ -48,7 +49,7 @@ r0 AS (SELECT x.*, {reason} AS reason FROM x),
 r1 AS (SELECT r0.*, {n} AS net, coalesce(reason = '' AND ({ok}), FALSE) AS ok FROM r0),
 r2 AS (SELECT r1.*, CASE WHEN ok THEN coalesce({savings}, 0) ELSE 0 END AS savings FROM r1)
 SELECT {', '.join(f'CAST({k} AS BIGINT) AS {k}' for k in A.LINE_KEY)}, {shown_sql('net')} AS net_savings, CAST(ok AS INTEGER) AS success,
-  {shown_sql('savings')} AS savings, {shown_sql(f'coalesce({best}, 0)')} AS best_case_savings, reason
+  {shown_sql('savings')} AS savings, {shown_sql(f'coalesce({best}, 0)')} AS best_case_savings, reason{''.join(f", CASE WHEN ({x}) IS NOT NULL THEN {shown_sql(x)} END AS {c}" for c, x in (side or {}).items())}
 FROM r2"""
 
 
@@ -88,9 +89,11 @@ IN_MISSING = [("FAULTY_DATA__MISSING_REQUIRED_VALUES", "mins IS NULL OR fuel IS
 _SAVED = " + ".join(
     f"CASE WHEN {'' if i < 3 else f'e{i} > 0 AND '}e{i} <= lim THEN mx - e{i} ELSE 0 END" for i in (1, 2, 3, 4)
 )
+RETI_SIDE = {f"fuel_burn_reti_{i}_without_cooldown": f"e{i}" for i in (1, 2, 3, 4)} | {"fuel_burn_reti_main_engine": "mx"}
+RETO_SIDE = {f"fuel_burn_reto_{i}_without_warmup": f"e{i}" for i in (1, 2, 3, 4)} | {"fuel_burn_reto_main_engine": "mx"}
 RETI_SQL = result_sql(
     _taxi_ctes("in", "constant_reti_cooldown_time", "constant_reti_threshold"), IN_MISSING + _taxi_reasons("UNDER_MIN_COOLDOWN"), _SAVED,
-    f"lim > 0 AND ({_SAVED}) > 0", "round(net, 2)", "round(mx * pairs, 2)",
+    f"lim > 0 AND ({_SAVED}) > 0", "round(net, 2)", "round(mx * pairs, 2)", side=RETI_SIDE,
 )
 
 
@@ -101,7 +104,7 @@ def reti_events(spark, sf_dir: str) -> DataFrame:
 
 @query("behaviour_reti", RETI_SQL)
 def _(spark, sf_dir):
-    return result(reti_events(spark, sf_dir), "reti")
+    return result(reti_events(spark, sf_dir), "reti", RETI_SIDE)
 
 
 @query(
@@ -124,12 +127,12 @@ def savings_by_reason(spark, sf_dir):
     "behaviour_reto",
     result_sql(
         _taxi_ctes("out", "constant_reto_warmup_time", "constant_reto_threshold"), _taxi_reasons("UNDER_MIN_WARMUP"),
-        "mx * 2 - e1 - e2", "lim > 0 AND (mx * 2 - e1 - e2) > 0", best="mx * pairs",
+        "mx * 2 - e1 - e2", "lim > 0 AND (mx * 2 - e1 - e2) > 0", best="mx * pairs", side=RETO_SIDE,
     ),
 )
 def _(spark, sf_dir):
     df = with_constants(A.flights(spark, sf_dir)).withColumn("fuel_burn_reto_main_engine", F.col("fuel_burn_taxi_out1_kg"))
-    return result(B.calculate(df, "Reduced_Engine_Taxi_Out", blackout=A.BLACKOUT), "reto")
+    return result(B.calculate(df, "Reduced_Engine_Taxi_Out", blackout=A.BLACKOUT), "reto", RETO_SIDE)
 
 
 @query(
@@ -315,11 +318,11 @@ _H4, _P4, _L4, _C4 = (_names(p, 4) for p in ("ae#_running_hours", "ae#_electric_
             ("FAULTY_DATA__EAEU_NOT_USED", "aeu = 0 OR ran <= 0"),
             ("FAULTY_DATA__INVALID_SFOC", "sfocisoae < 100 OR sfocisoae > 400"),
         ],
-        "(use_pct - constant_aeu_lower) / 100 * sfocisoae * demand / 1000", "use_pct >= constant_aeu_lower", "round(net, 2)",
+        "(use_pct - constant_aeu_lower) / 100 * sfocisoae * demand / 1000", "use_pct >= constant_aeu_lower", "round(net, 2)", side={"aeu_calc": "use_pct"},
     ),
 )
 def _(spark, sf_dir):
-    return result(B.calculate(A.ships(spark, sf_dir), "Efficient_Auxiliary_Engine_Use"), "eaeu")
+    return result(B.calculate(A.ships(spark, sf_dir), "Efficient_Auxiliary_Engine_Use"), "eaeu", {"aeu_calc": ""})
 
 
 @query(
@@ -335,14 +338,14 @@ def _(spark, sf_dir):
             ("FAULTY_DATA__INVALID_RUNNING_HOURS", "ran < 0"),
             ("FAULTY_DATA__INVALID_AUX_ENGINES_CONSUMPTION", "me_cons < 0"),
         ],
-        "(use_pct - constant_aeu_lower) / 100 * sfocisoae * demand / 1000", "use_pct >= constant_aeu_lower",
+        "(use_pct - constant_aeu_lower) / 100 * sfocisoae * demand / 1000", "use_pct >= constant_aeu_lower", side={"aeu_calc": "use_pct"},
     ),
 )
 def _(spark, sf_dir):
     named = {f"ae_hours{i}": F.col(_H4[i - 1]) for i in (1, 2, 3)} | {f"ae_power{i}": F.col(_P4[i - 1]) for i in (1, 2, 3)}
     named |= {f"aux_engine{i}_mcr_const": F.col(_C4[i - 1]) for i in (1, 2, 3)}
     named |= {"ae_sfoc": F.col("sfocisoae"), "ae_cons": F.col("me_cons"), "aeu_lower_threshold": F.col("constant_aeu_lower")}
-    return result(B.calculate(A.ships(spark, sf_dir).withColumns(named), "Efficient_Auxiliary_Engine_Use_Charter"), "eaeu")
+    return result(B.calculate(A.ships(spark, sf_dir).withColumns(named), "Efficient_Auxiliary_Engine_Use_Charter"), "eaeu", {"aeu_calc": ""})
 
 
 @query(
@@ -355,7 +358,7 @@ def _(spark, sf_dir):
         )
         + f",\nx AS (SELECT c.*, CASE WHEN fully THEN 1 ELSE share END AS use_part, constant_aeu_lower / 100 AS lower_part,"
         + f" ({' + '.join(f'sfocisoae * {p} * {h}' for p, h in zip(_P4, _H4))}) / 1000 AS fuel_kg FROM c)",
-        [], "(use_part - lower_part) * fuel_kg", "use_part >= lower_part", best="CASE WHEN ok THEN (1 - lower_part) * fuel_kg ELSE 0 END",
+        [], "(use_part - lower_part) * fuel_kg", "use_part >= lower_part", best="CASE WHEN ok THEN (1 - lower_part) * fuel_kg ELSE 0 END", side={"aeu_calc": "use_part"},
     ),
 )
 def _(spark, sf_dir):
@@ -366,7 +369,7 @@ def _(spark, sf_dir):
         "speedthroughwatermehrs": F.col("speed_bosp"), "observeddistance": F.lit(10.0), "constant_eaeu_eta": F.lit(0.96),
         "constant_eaeu_const": F.lit(0.8), "aeu_lower_threshold": F.col("constant_aeu_lower") / 100, "aux_engines_sfoc": F.col("sfocisoae"),
     }
-    return result(B.calculate(A.ships(spark, sf_dir).withColumns(named), "Efficient_Auxiliary_Engine_Use_Tanker"), "eaeu")
+    return result(B.calculate(A.ships(spark, sf_dir).withColumns(named), "Efficient_Auxiliary_Engine_Use_Tanker"), "eaeu", {"aeu_calc": ""})
 
 
 # Reason chain, exclusions and qualification

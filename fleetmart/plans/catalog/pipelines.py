@@ -163,10 +163,11 @@ x AS (SELECT c.*, ideal * (1 + allowed / 100.0) AS most, ideal * (1 - allowed /
 )
 def _(spark, sf_dir):
     part = load(spark, sf_dir, "part")
-    curve = part.groupBy(F.col("p_brand").alias("brand"), (F.col("p_size").cast("double") * 2).alias("x")).agg((90 + F.min("p_retailprice") / 11).alias("sfoc_min"))
-    read = I.curve_at(curve, "brand", "x", ["sfoc_min"], F.lit(80.0)).filter("brand <> 'Brand#7'")
+    curve = part.groupBy(F.col("p_brand").alias("imo"), (F.col("p_size").cast("double") * 2).alias("mrc_load")).agg((90 + F.min("p_retailprice") / 11).alias("sfoc_tolereance_min"))
+    curve = curve.withColumns({"sfoc": F.lit(1.0), "sfoc_tolereance_max": F.lit(2.0)})
+    brands = {f"Brand#{i}": 80.0 for i in range(100) if i != 7}  # one ship without a curve
     s = fact_join(A.ships(spark, sf_dir), part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand")), ["l_partkey"], "inner")
-    s = fact_join(s, read, ["brand"], "left").withColumns(
+    s = I.with_curve_floor(s.withColumn("imo", F.col("brand")), curve, brands).withColumns(
         {
             "steaming_hours": F.col("voyage_time_hs"), "mainenginerunninghrs": F.col("me_hours"), "main_engine_kwhrs": F.col("me_power"),
             "emo_delta_fuel": (12 + F.col("l_suppkey") % 20).cast("double"), "speedthroughwatermehrs": F.col("speed_bosp") - 1, "observeddistance": F.lit(10.0),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetmart.operators.interpolate import TRIM_LIMITS, grid_power, ideal_trim, trim_limit_rows
+from fleetmart.operators.interpolate import TRIM_LIMITS, grid_cells, grid_power, ideal_trim, trim_limit_rows
 from fleetmart.operators.joins import lookup
 
 SPEED_CAP = 15.0  # fixed value: the tables are read at no more than this speed
@@ -23,5 +23,6 @@ def with_trim_percentages(reports: DataFrame, grid: DataFrame, limits: DataFrame
     known = lookup(reports, limits, F.col("imo").cast("string"), "imo", ignore_case=False)
     number = lambda c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
     speed = F.least(number("speedthroughwatermehrs"), F.lit(SPEED_CAP))
-    out = grid_power(known, grid, "ship_class", number("meandraft"), speed, F.col("trim").try_cast("double"), "trim_perc_actual")
-    return ideal_trim(out, grid, "ship_class", number("meandraft"), speed) if ideal else out
+    cells = grid_cells(grid, "ship_class")
+    out = grid_power(known, cells, "ship_class", number("meandraft"), speed, F.col("trim").try_cast("double"), "trim_perc_actual")
+    return ideal_trim(out, cells, "ship_class", number("meandraft"), speed) if ideal else out
