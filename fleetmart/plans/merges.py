@@ -12,10 +12,10 @@ from fleetmart.operators.timeline import asof_nearest, nearest_only, top_row
 
 # How far apart a flight and its recording may start, and the columns renamed on the way.
 FLIGHT_TOLERANCE = 3_600
-TAKEN_WITH_PREFIX = (
-    "sourcefilename filepath upload_date ingestiondatetime taxi_out_minutes_measurement taxi_in_minutes_measurement origin "
-    "destination identifier ingestionjobrunid"
-).split()
+TAKEN_WITH_PREFIX = [
+    "sourcefilename", "filepath", "upload_date", "ingestiondatetime", "taxi_out_minutes_measurement",
+    "taxi_in_minutes_measurement", "origin", "destination", "identifier", "ingestionjobrunid",
+]
 NOT_TAKEN = ("status", "event_id", "customer_code", "aircraft_reg_code", "ocurrence_datetime")
 SOURCE_PREFIXED = ("sourcefilename", "filepath", "upload_date", "ingestiondatetime")
 ROLES = {

@@ -23,16 +23,18 @@ MAX_REPORT_HOURS = 30
 NOON_REACH_HOURS = 26
 LOOK_AHEAD_DAYS = 2
 # Measures that are summed and attributes taken from the latest report.
-SUMMED = (
-    "aeHours1 aeHours2 aeHours3 aeEnergyProd aeEnergyProd2 aeEnergyProd3 aeEnergyProd1 meEnergyProd boilerHours1 boilerHours2 "
-    "meHours1 meHours meEnergyCons brobUlsMgo brobVlsHfo combCons dischargeVlsHfoCons freshWaterCons freshWaterRob time distance "
-    "distanceBosp distanceThroughWater ulsDoCons aeCons meCons"
-).split()
-LATEST = (
-    "load position eventTypesString ballast course displacement distanceToGo draftAft draftFore draftMean draftMid gm "
-    "prevPortUnLocode nextPort nextPortEta nextPortTimeOffset nextPortUnLocode repNextPortEta trim windDir rpm rpm1 meDailyCons "
-    "meLcvDailyCons orderedSpeed voyNum airTemp atmosphericPress operationalMode speedInstr"
-).split()
+SUMMED = [
+    "aeHours1", "aeHours2", "aeHours3", "aeEnergyProd", "aeEnergyProd2", "aeEnergyProd3", "aeEnergyProd1",
+    "meEnergyProd", "boilerHours1", "boilerHours2", "meHours1", "meHours", "meEnergyCons", "brobUlsMgo", "brobVlsHfo",
+    "combCons", "dischargeVlsHfoCons", "freshWaterCons", "freshWaterRob", "time", "distance", "distanceBosp",
+    "distanceThroughWater", "ulsDoCons", "aeCons", "meCons",
+]
+LATEST = [
+    "load", "position", "eventTypesString", "ballast", "course", "displacement", "distanceToGo", "draftAft",
+    "draftFore", "draftMean", "draftMid", "gm", "prevPortUnLocode", "nextPort", "nextPortEta", "nextPortTimeOffset",
+    "nextPortUnLocode", "repNextPortEta", "trim", "windDir", "rpm", "rpm1", "meDailyCons", "meLcvDailyCons",
+    "orderedSpeed", "voyNum", "airTemp", "atmosphericPress", "operationalMode", "speedInstr",
+]
 WEIGHTED = {"speedBosp": "meHours1", "windSpeedBf": "meHours1"}
 RATIOS = {
     "aeSfoc": ("aeCons", "aeEnergyProd", 1e6), "meSfoc": ("meCons", "meEnergyProd", 1e6), "aePower1": ("aeEnergyProd1", "aeHours1", 1.0),

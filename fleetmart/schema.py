@@ -13,33 +13,72 @@ CANONICAL_TYPES = {
 }
 
 # Reason codes, in the order they are documented.
-FAULTY_DATA = (
-    "MISSING_REQUIRED_VALUES MISSING_COMPARISON_VALUES OUTLIER_VALUES INVALID_ROLLOUT INVALID_FUEL_TANK "
-    "INVALID_TAXI_FUEL INVALID_TOW INVALID_AIRBORNE_TIME INVALID_FUEL_FLOW INVALID_FUEL_REPORT INVALID_SPEED "
-    "INVALID_SFOC INVALID_DFOC INVALID_DELTA_SFOC INVALID_RUNNING_HOURS INVALID_KWHRS "
-    "INVALID_AUX_ENGINES_CONSUMPTION INVALID_PROPULSION_CONSUMPTION INVALID_GENERATOR_CONSUMPTION "
-    "INVALID_MEAN_DRAFT EAEU_NOT_USED LOAD_OVER_LIMIT EAEU_LOAD_NOT_AVAILABLE SFOC_NOT_AVAILABLE"
-).split()
-NOT_POSSIBLE = (
-    "FILTERED_SETTINGS COVID_PERIOD 4_ENGINE_VEHICLE INVALID_LEG DELAYED_FLIGHT TANKERED_FLIGHT "
-    "UNDER_MIN_COOLDOWN UNDER_MIN_WARMUP TAXI_OVER_LIMIT TAXI_TOO_SHORT DISCRETIONARY_FUEL_REQUIRED "
-    "TRIM_OUT_OF_LIMITS EAEU_OVER_THRESHOLD NOT_AT_SEA VOYAGE_TOO_SHORT DELAYED_VOYAGE SPEED_UNDER_MIN "
-    "TRIM_NOT_AVAILABLE BAD_WEATHER TANK_CLEANING TRIM_NOT_ACHIEVABLE_WHEN_BALLAST MANOEUVRE_TIME_OVER_LIMIT"
-).split()
+FAULTY_DATA = [
+    "FAULTY_DATA__MISSING_REQUIRED_VALUES",
+    "FAULTY_DATA__MISSING_COMPARISON_VALUES",
+    "FAULTY_DATA__OUTLIER_VALUES",
+    "FAULTY_DATA__INVALID_ROLLOUT",
+    "FAULTY_DATA__INVALID_FUEL_TANK",
+    "FAULTY_DATA__INVALID_TAXI_FUEL",
+    "FAULTY_DATA__INVALID_TOW",
+    "FAULTY_DATA__INVALID_AIRBORNE_TIME",
+    "FAULTY_DATA__INVALID_FUEL_FLOW",
+    "FAULTY_DATA__INVALID_FUEL_REPORT",
+    "FAULTY_DATA__INVALID_SPEED",
+    "FAULTY_DATA__INVALID_SFOC",
+    "FAULTY_DATA__INVALID_DFOC",
+    "FAULTY_DATA__INVALID_DELTA_SFOC",
+    "FAULTY_DATA__INVALID_RUNNING_HOURS",
+    "FAULTY_DATA__INVALID_KWHRS",
+    "FAULTY_DATA__INVALID_AUX_ENGINES_CONSUMPTION",
+    "FAULTY_DATA__INVALID_PROPULSION_CONSUMPTION",
+    "FAULTY_DATA__INVALID_GENERATOR_CONSUMPTION",
+    "FAULTY_DATA__INVALID_MEAN_DRAFT",
+    "FAULTY_DATA__EAEU_NOT_USED",
+    "FAULTY_DATA__LOAD_OVER_LIMIT",
+    "FAULTY_DATA__EAEU_LOAD_NOT_AVAILABLE",
+    "FAULTY_DATA__SFOC_NOT_AVAILABLE",
+]
+NOT_POSSIBLE = [
+    "NOT_POSSIBLE__FILTERED_SETTINGS",
+    "NOT_POSSIBLE__COVID_PERIOD",
+    "NOT_POSSIBLE__4_ENGINE_VEHICLE",
+    "NOT_POSSIBLE__INVALID_LEG",
+    "NOT_POSSIBLE__DELAYED_FLIGHT",
+    "NOT_POSSIBLE__TANKERED_FLIGHT",
+    "NOT_POSSIBLE__UNDER_MIN_COOLDOWN",
+    "NOT_POSSIBLE__UNDER_MIN_WARMUP",
+    "NOT_POSSIBLE__TAXI_OVER_LIMIT",
+    "NOT_POSSIBLE__TAXI_TOO_SHORT",
+    "NOT_POSSIBLE__DISCRETIONARY_FUEL_REQUIRED",
+    "NOT_POSSIBLE__TRIM_OUT_OF_LIMITS",
+    "NOT_POSSIBLE__EAEU_OVER_THRESHOLD",
+    "NOT_POSSIBLE__NOT_AT_SEA",
+    "NOT_POSSIBLE__VOYAGE_TOO_SHORT",
+    "NOT_POSSIBLE__DELAYED_VOYAGE",
+    "NOT_POSSIBLE__SPEED_UNDER_MIN",
+    "NOT_POSSIBLE__TRIM_NOT_AVAILABLE",
+    "NOT_POSSIBLE__BAD_WEATHER",
+    "NOT_POSSIBLE__TANK_CLEANING",
+    "NOT_POSSIBLE__TRIM_NOT_ACHIEVABLE_WHEN_BALLAST",
+    "NOT_POSSIBLE__MANOEUVRE_TIME_OVER_LIMIT",
+]
+
+
+def _listed(code: str, codes: list[str]) -> str:
+    if code not in codes:
+        raise KeyError(code)
+    return code
 
 
 def faulty(code: str) -> str:
     """Reason for rows whose data cannot be trusted."""
-    if code not in FAULTY_DATA:
-        raise KeyError(code)
-    return f"FAULTY_DATA__{code}"
+    return _listed(f"FAULTY_DATA__{code}", FAULTY_DATA)
 
 
 def impossible(code: str) -> str:
     """Reason for rows where the behaviour could not have been performed."""
-    if code not in NOT_POSSIBLE:
-        raise KeyError(code)
-    return f"NOT_POSSIBLE__{code}"
+    return _listed(f"NOT_POSSIBLE__{code}", NOT_POSSIBLE)
 
 
 def filtered_by(field: str) -> str:
