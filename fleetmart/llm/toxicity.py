@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmart.llm.words import ALNUM, chunks
+from fleetmart.operators.settle import settle
 
 LEXICON = 20_000
 THRESHOLD = 0.3
@@ -92,12 +93,15 @@ def _report(q: int, s: int) -> tuple[int, int, float]:
 
 
 def _target(q: int, s: int) -> tuple[int, int, float]:
-    """States 1 to 5: a target so many symbols ahead of now runs out; 6 to 8: a threat or insult waits for one."""
+    """States 1 to 5: a target so many symbols ahead of now runs out; 6 to 8: an insult, 9 to 11: a threat waits for
+    one. A threat is aimed at what follows it only."""
     if s == TARGET:
-        return 5, (AIMED_INSULT if q >= 6 else s), (0.5 if q >= 6 else 1.0)
-    if s in (INSULT, THREAT):
-        return 8, ({INSULT: AIMED_INSULT, THREAT: AIMED_THREAT}[s] if 1 <= q <= 5 else s), 1.0
-    return {0: 0, 1: 0, 6: 0}.get(q, q - 1), s, 1.0
+        return 5, (AIMED_THREAT if q >= 9 else AIMED_INSULT if q >= 6 else s), (0.5 if 6 <= q <= 8 else 1.0)
+    if s == INSULT:
+        return 8, (AIMED_INSULT if 1 <= q <= 5 else s), 1.0
+    if s == THREAT:
+        return 11, s, 1.0
+    return {0: 0, 1: 0, 6: 0, 9: 0}.get(q, q - 1), s, 1.0
 
 
 PAYS = {INSULT: 1.0, THREAT: 0.15, SOFT_INSULT: 0.25, SOFT_THREAT: 0.0, TOLD_INSULT: 0.3, TOLD_THREAT: 0.05, AIMED_INSULT: 1.5, AIMED_THREAT: 1.2}
@@ -107,7 +111,7 @@ def _pay(q: int, s: int) -> tuple[int, int, float]:
     return 0, s, PAYS.get(s, 0.0)
 
 
-GRAMMAR = compose(compose(compose(machine(4, _negation), machine(2, _report)), machine(9, _target)), machine(1, _pay))
+GRAMMAR = compose(compose(compose(machine(4, _negation), machine(2, _report)), machine(12, _target)), machine(1, _pay))
 
 
 def clause_weight(symbols: list[tuple[int, float]]) -> float:
@@ -226,21 +230,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", size: int = LEXICON) -> Lexicon:
     """The lexicon for documents with labels; rows without a label are ignored. Every labelled text is counted."""
     rows = labelled.filter(F.col(label).isNotNull()).select(text, F.col(label).cast("int").alias(label)).mapInArrow(_count, COUNTS)
-    places = rows.groupBy("entry", "before", "after", "toxic").agg(F.sum("n").alias("n"))
-    # neighbours are counted in an array of flags by their hash, so an entry's state has the same size however common it is
     toxic, clean = F.col("toxic") == 1, F.col("toxic") == 0
-    counted = places.groupBy("entry").agg(
-        F.approx_count_distinct(F.when(toxic, F.col("before")), 0.05).alias("before"),
-        F.approx_count_distinct(F.when(toxic, F.col("after")), 0.05).alias("after"),
-        F.sum(F.when(toxic, F.col("n")).otherwise(0)).alias("n_toxic"),
-        F.sum(F.when(clean, F.col("n")).otherwise(0)).alias("n_clean"),
+    # neighbours are counted by small sketches: an entry's state has one size however common it is, and tasks send one
+    # row for each entry
+    counted = settle(
+        rows.groupBy("entry").agg(
+            F.approx_count_distinct(F.when(toxic, F.col("before")), 0.2).alias("before"),
+            F.approx_count_distinct(F.when(toxic, F.col("after")), 0.2).alias("after"),
+            F.sum(F.when(toxic, F.col("n")).otherwise(0)).alias("n_toxic"),
+            F.sum(F.when(clean, F.col("n")).otherwise(0)).alias("n_clean"),
+        ).filter((F.least("before", "after") >= NEIGHBOURS) | (F.col("entry") == ""))
     )
-    total = {r["toxic"]: r["n"] for r in rows.filter("entry = ''").groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
-    n_toxic, n_clean = total.get(1) or 0, total.get(0) or 0
+    total = counted.filter("entry = ''").select("n_toxic", "n_clean").first()
+    n_toxic, n_clean = (total[0], total[1]) if total else (0, 0)
     seen = F.least("before", "after")
     odds = F.log((seen + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("n_clean") + 0.5) / F.lit(n_clean + 1.0))
     chosen = (
-        counted.filter((F.col("entry") != "") & (seen >= NEIGHBOURS))
+        counted.filter(F.col("entry") != "")
         .withColumn("odds", odds)
         .filter((F.col("odds") >= MIN_LOG_ODDS) & (seen >= 20 * F.col("n_clean")))
         .orderBy((F.col("odds") * F.sqrt(seen)).desc(), "entry")
