@@ -341,6 +341,74 @@ def _(spark, sf_dir):
     return out.select("l_orderkey", "l_partkey", *[shown(F.col(n)).alias(n) for n in names], "team_name", long(F.col("weekday")).alias("weekday"))
 
 
+_PHASES = ("climb", "cruise", "descent", "approach", "landing", "taxi_out", "take_off", "taxi_in")
+
+
+def _burn_sql(phase: int, engine: int) -> str:
+    return f"(q * {phase + 1} + {engine})"
+
+
+def _kg_sql(expr: str) -> str:
+    return f"(CASE WHEN vehicle = 'B787' THEN {expr} * 0.454 ELSE {expr} END)"
+
+
+# line items as flights: every engine column, phase totals, taxi and flight times, vehicle, weight, id
+@query(
+    "formula_flight_events",
+    f"""WITH f AS (SELECT *, concat('G-', l_suppkey % 4) AS reg, l_quantity AS q, l_orderkey % 30 AS roll, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS dep FROM lineitem),
+v AS (SELECT *, CASE reg WHEN 'G-0' THEN 'B787' WHEN 'G-1' THEN 'B787' WHEN 'G-2' THEN 'A350' END AS vehicle FROM f)
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_partkey AS BIGINT) AS l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, vehicle,
+  sha256(concat(length(reg), ':', reg, length(dep), ':', dep)) AS event_id, {shown_sql(_kg_sql('l_extendedprice'))} AS act_zero_fuel_weight_kg,
+  {', '.join(f"{shown_sql(_kg_sql(_burn_sql(p, i)))} AS fuel_burn_{phase}{i}_kg" for p, phase in enumerate(_PHASES) for i in (1, 2, 3, 4))},
+  {', '.join(f"{shown_sql(' + '.join(_kg_sql(_burn_sql(p, i)) for i in (1, 2, 3, 4)))} AS act_{phase}_fuel" for p, phase in enumerate(_PHASES[:4]))},
+  {shown_sql(' + '.join(_kg_sql(_burn_sql(7, i)) for i in (1, 2, 3, 4)))} AS act_taxi_in_fuel,
+  {shown_sql('CASE WHEN l_linenumber = 1 THEN 9 WHEN l_orderkey % 5 + l_orderkey % 3 > 0 THEN l_orderkey % 5 + l_orderkey % 3 ELSE 0 END')} AS planned_taxi_time,
+  {shown_sql('CASE WHEN l_linenumber = 2 THEN 7 ELSE l_linenumber END')} AS taxi_in_minutes, {shown_sql('CASE WHEN roll > 0 THEN roll ELSE 11 END')} AS taxi_out_minutes,
+  {shown_sql('CASE WHEN l_linenumber = 3 THEN q / 3600 ELSE q / 60 END')} AS plnd_flight_time_hs, {shown_sql('CASE WHEN l_linenumber = 4 THEN 5 * q / 60 ELSE q / 60 END')} AS actual_flight_time_hs FROM v""",
+)
+def _(spark, sf_dir):
+    q, n, line, dep = F.col("l_quantity").cast("double"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_shipdate")
+    later = lambda minutes: F.timestamp_seconds(F.unix_seconds(dep) + minutes * 60)
+    src = load(spark, sf_dir, "lineitem").select(
+        *[long(F.col(k)).alias(k) for k in ("l_orderkey", "l_partkey", "l_linenumber")],
+        F.concat(F.lit("G-"), (F.col("l_suppkey") % 4).cast("string")).alias("aircraft_reg_code"), dep.alias("ocurrence_datetime"), F.col("l_extendedprice").alias("act_zero_fuel_weight"),
+        *[(q * (p + 1) + i).alias(f"fuel_burn_{phase}{i}") for p, phase in enumerate(_PHASES) for i in (1, 2, 3, 4)],
+        F.when(line == 1, 9).alias("planned_taxi_time"), (n % 5).alias("taxi_in_time_sched"), (n % 3).alias("taxi_out_time_sched"),
+        F.when(line != 2, dep).alias("act_landing_time"), later(line).alias("act_blon_time"), F.lit(7.0).alias("taxi_in_minutes_measurement"),
+        dep.alias("act_bloff_time"), later(n % 30).alias("act_takeoff_time"), F.lit(11.0).alias("taxi_out_minutes_measurement"),
+        F.when(line != 3, q).alias("plnd_flight_time"), q.alias("plnd_flight_time_secs"), F.when(line != 4, q).alias("actual_flight_time"),
+        *[q.alias(f"{part}_duration") for part in ("cruise", "approach", "landing", "toc", "tod")],
+    )
+    numbers = [f"fuel_burn_{phase}{i}_kg" for phase in _PHASES for i in (1, 2, 3, 4)] + [f"act_{phase}_fuel" for phase in _PHASES[:4]]
+    numbers += ["act_taxi_in_fuel", "act_zero_fuel_weight_kg", "planned_taxi_time", "taxi_in_minutes", "taxi_out_minutes", "plnd_flight_time_hs", "actual_flight_time_hs"]
+    fleet = {"vehicle": {"B787": ["G-0", "G-1"], "A350": ["G-2"]}}
+    out = apply_formulas(src, [*numbers, "act_taxi_in_fuel_engines", "vehicle", "event_id"], "aviation", fleet)
+    return out.select("l_orderkey", "l_partkey", "l_linenumber", "vehicle", "event_id", *[shown(F.col(c)).alias(c) for c in numbers])
+
+
+# orders as ship reports: id, identifier, hours, arrival, engine sums, constants by ship
+@query(
+    "formula_ship_reports",
+    f"""WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d, concat('Ship ', o_custkey % 3) AS ship, CAST(o_custkey AS VARCHAR) AS imo FROM orders)
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, sha256(concat(length(imo), ':', imo, length(d), ':', d)) AS event_id, concat(imo, '-', d) AS identifier,
+  {shown_sql('CASE WHEN o_orderkey % 4 = 0 THEN 24 ELSE o_orderkey % 40 END')} AS voyage_time_hs, concat(d, ' 0', o_orderkey % 10, ':30:00') AS arrival_datetime,
+  {shown_sql('CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 7 ELSE o_orderkey % 7 + 2 END')} AS me_hours,
+  CASE ship WHEN 'Ship 0' THEN 1.5 WHEN 'Ship 1' THEN 2.5 END AS constant_emo_delta_fuel FROM o""",
+)
+def _(spark, sf_dir):
+    n, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    src = load(spark, sf_dir, "orders").select(
+        long(n).alias("o_orderkey"), F.col("o_custkey").cast("string").alias("imo"), day.alias("report_date_utc"), F.concat(F.lit("0"), (n % 10).cast("string"), F.lit(":30")).alias("report_time_utc"),
+        F.when(n % 4 == 0, F.lit("n/a")).otherwise((n % 40).cast("string")).alias("log_duration"), (n % 7).cast("string").alias("me1_running_hours"),
+        F.when(n % 3 == 0, F.lit("?")).otherwise("2").alias("me2_running_hours"), F.concat(F.lit("SHIP "), (F.col("o_custkey") % 3).cast("string")).alias("vehicle"),
+    )
+    out = apply_formulas(src, ["event_id", "identifier", "voyage_time_hs", "arrival_datetime", "me_hours", "constant_emo_delta_fuel"], "sea", {"constant_emo_delta_fuel": {"Ship 0": 1.5, "ship 1": 2.5}})
+    return out.select(
+        "o_orderkey", "event_id", "identifier", shown(F.col("voyage_time_hs")).alias("voyage_time_hs"), stamp(F.col("arrival_datetime")).alias("arrival_datetime"),
+        shown(F.col("me_hours")).alias("me_hours"), F.col("constant_emo_delta_fuel").cast("double").alias("constant_emo_delta_fuel"),
+    )
+
+
 # -- ledger (orders as files: key = path, status = state, priority = format, date = modification time)
 
 

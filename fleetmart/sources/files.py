@@ -5,6 +5,7 @@ Files are opened by executors only. The driver sees paths and distinct header li
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
@@ -98,7 +99,8 @@ def without_first_lines(lines: DataFrame, n: int) -> DataFrame:
 
 def csv_schema(header: str, sep: str, first_column: str | None = None) -> T.StructType:
     """All-string schema from a header line; unnamed and repeated columns get distinct names."""
-    names = [h.strip().strip('"') for h in header.split(sep)]
+    parts = next(csv.reader([header], delimiter=sep)) if len(sep) == 1 else header.split(sep)  # quoted names may hold the separator
+    names = [h.strip().strip('"') for h in parts]
     names = [n or f"column_{i}" for i, n in enumerate(names)]
     if first_column:
         names[0] = first_column

@@ -51,6 +51,8 @@ def test_csv_edge_files(spark, tmp_path):
         Fs.read_csv(spark, [single], sep=",/;")
     with pytest.raises(ValueError, match="header"):
         Fs.read_csv(spark, [put(tmp_path / "empty.csv", "")], sep=",")
+    quoted = Fs.read_csv(spark, [put(tmp_path / "q.csv", '"a, first",b\n"1,5",2\n')], sep=",")
+    assert pick(quoted, "a, first", "b") == [("1,5", "2")]
     named = Fs.read_csv(spark, [put(tmp_path / "n.csv", "foo,bar\n1,2\n")], first_column="time")
     assert pick(named, "time", "bar") == [("1", "2")]
 
