@@ -103,21 +103,22 @@ def _flag(i: int) -> str:
     return f"_bad{i}"
 
 
-def flagged(df: DataFrame, suite: Suite) -> DataFrame:
+def flagged(df: DataFrame, suite: Suite, repeated: bool = True) -> DataFrame:
     """Checked columns and key, plus one boolean per expectation: True where the row fails it.
 
     Uniqueness needs the repeated values: they are found by a count that combines on the map side and
-    joined back with the size-checked, skew-safe join. Type and mean checks have no failing rows.
+    joined back with the size-checked, skew-safe join; without ``repeated`` they are left to the caller. Type and mean
+    checks have no failing rows.
     """
     out = df.select(*suite.columns())
     for i, e in enumerate(suite.expectations):
-        if e.function == UNIQUE:
+        if e.function == UNIQUE and repeated:
             twice = duplicates(out, e.column).withColumn(_flag(i), F.lit(True))
             out = fact_join(out, twice, [e.column], "left", computed=True)
     flags = {}
     for i, e in enumerate(suite.expectations):
         if e.function == UNIQUE:
-            flags[_flag(i)] = F.coalesce(F.col(_flag(i)), F.lit(False))
+            flags[_flag(i)] = F.coalesce(F.col(_flag(i)), F.lit(False)) if repeated else F.lit(False)
         elif e.function in ROW_CHECKS:
             c = F.col(e.column)
             bad = ~ROW_CHECKS[e.function](c, **{k: v for k, v in e.args.items() if k != "column"})
@@ -132,14 +133,20 @@ def flagged(df: DataFrame, suite: Suite) -> DataFrame:
 
 
 def metrics(df: DataFrame, suite: Suite, run_name: str, run_time: str) -> DataFrame:
-    """One row per expectation: counts, percentages, success, run data. One pass over the table."""
+    """One row per expectation: counts, percentages, success, run data. One pass over the table, and for each uniqueness
+    check a grouped count of its column; no rows are joined."""
     types = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, e in enumerate(suite.expectations):
         aggs += [F.count_if(F.col(e.column).isNull()).alias(f"_miss{i}"), F.count_if(F.col(_flag(i))).alias(f"_fail{i}")]
         if e.function == MEAN:
             aggs.append(F.avg(e.column).alias(f"_mean{i}"))
-    one = flagged(df, suite).agg(*aggs)
+    one = flagged(df, suite, repeated=False).agg(*aggs).withColumn("_one", F.lit(1))
+    for i, e in enumerate(suite.expectations):
+        if e.function == UNIQUE:
+            times = df.filter(F.col(e.column).isNotNull()).groupBy(e.column).agg(F.count(F.lit(1)).alias("_n"))
+            failed = times.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(f"_fail{i}"))
+            one = one.drop(f"_fail{i}").join(failed.withColumn("_one", F.lit(1)), "_one")  # one row each
 
     def row(i: int, e: Expectation) -> Column:
         missing, failed = F.col(f"_miss{i}"), F.col(f"_fail{i}")
