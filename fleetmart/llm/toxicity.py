@@ -257,7 +257,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", size: i
     stems: dict[str, float] = {}
     for r in chosen:
         many = min(r["before"], r["after"])
-        weight = min(1.0, r["odds"] / 6) * many / (many + 4.0)
+        weight = min(1.0, r["odds"] / 6) * many / (many + 6.0)
         if r["entry"].endswith("*"):
             stems[r["entry"][:-1]] = weight
         elif words.get(r["entry"], (INSULT,))[0] == INSULT:
