@@ -11,7 +11,10 @@ No bucket's pairs are all written out:
 
 * documents with the same shingle set are one class, represented by the smallest id;
 * in every bucket the members are first compared with one centre, the least peculiar member, and what is linked
-  forms components; only members of different components of a bucket are then compared with each other;
+  forms components;
+* only members of different components of a bucket can then still be linked. Either all that two of them share is
+  the centre's, which bounds their similarity by what each shares with the centre, known by now; or they share a
+  shingle that the centre hasn't, and meet under it;
 * in crowded buckets the shingles that nobody else there has are counted (one grouped count). A document can only be
   linked to another of a size that its other shingles allow, which rules out exactly, without a comparison, what
   merely shares a passage with many documents or was edited too much.
@@ -131,23 +134,50 @@ def close(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(_far, pairs.select("a", "b").schema)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, text of a, text of b); rows of one b follow one another."""
     side = lambda c: texts.select(F.col("rep").alias(c), F.col("text").alias(f"t{c}"))
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "ta", "tb")
+
+
+def _set_pairs(batch: pa.RecordBatch, size: int, last: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The shingle sets of each pair; that of b is kept in ``last`` for the rows that follow."""
+    for b, ta, tb in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+        if not last or b != last[0]:
+            last[:] = [b, shingle_sets([utf8(tb)], size)[0]]
+        yield shingle_sets([utf8(ta)], size)[0], last[1]
+
+
+def overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) with ``an``, ``bn`` and ``both``: the sizes of their full shingle sets and of what they share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list = []
+        for batch in batches:
+            counts = [(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))) for x, y in _set_pairs(batch, size, last)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3))], names=["a", "b", "an", "bn", "both"])
+
+    schema = T.StructType([*pairs.select("a", "b").schema.fields, *T._parse_datatype_string("an long, bn long, both long").fields])
+    return _with_texts(pairs, texts).mapInArrow(run, schema)
+
+
+def alike(percent: int) -> F.Column:
+    return 100 * F.col("both") >= percent * (F.col("an") + F.col("bn") - F.col("both"))
+
+
+def outside(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """For each pair (a, b) the shingles ``h`` of a that b doesn't have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
+        last: list = []
         for batch in batches:
-            keep = []
-            for b, ta, tb in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
-                if last is None or b != last:  # rows of one centre follow one another
-                    last, held = b, shingle_sets([utf8(tb)], size)[0]
-                own = shingle_sets([utf8(ta)], size)[0]
-                both = len(np.intersect1d(own, held, assume_unique=True))
-                keep.append(100 * both >= percent * (len(own) + len(held) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            rest = [np.setdiff1d(x, y, assume_unique=True) for x, y in _set_pairs(batch, size, last)]
+            if rest:
+                at = pa.array(np.repeat(np.arange(len(rest)), [len(r) for r in rest]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(rest).view(np.int64))], names=["a", "b", "h"])
 
-    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, pairs.select("a", "b").schema)
+    schema = T.StructType([*pairs.select("a", "b").schema.fields, T.StructField("h", T.LongType())])
+    return _with_texts(pairs, texts).mapInArrow(run, schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -219,17 +249,31 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
         inside.select("key", F.col("rep").alias("a"), F.col("n").alias("an"), F.col("m").alias("am")).join(centres, "key")
         .filter((F.col("a") != F.col("b")) & fits("a", "b", percent)).select("a", "b").distinct()
     )
-    links = settle(confirmed(close(stars, reps), texts, size, percent))
+    stars = settle(overlaps(stars, texts, size))
+    links = stars.filter(alike(percent)).select("a", "b")
 
     # what a bucket still holds apart
     found = components(links)
     apart = inside.join(found.withColumnRenamed("a", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     mixed = apart.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
-    apart = settle(apart.join(mixed, "key"))
-    side = lambda c: apart.select("key", F.col("rep").alias(c), F.col("n").alias(f"{c}n"), F.col("m").alias(f"{c}m"), F.col("label").alias(f"{c}l"))
-    pairs = side("a").join(side("b"), "key").filter((F.col("a") < F.col("b")) & (F.col("al") != F.col("bl")) & fits("a", "b", percent)).select("a", "b").distinct()
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = confirmed(close(pairs.join(tested, ["a", "b"], "left_anti"), reps), texts, size, percent)
+    of_centre = stars.select(F.col("a").alias("rep"), F.col("b").alias("c"), "both")
+    apart = apart.join(mixed, "key").join(centres.select("key", F.col("b").alias("c")), "key").join(of_centre, ["rep", "c"], "left")
+    apart = settle(apart.withColumn("both", F.when(F.col("rep") == F.col("c"), F.col("n")).otherwise(F.col("both"))))
+    side = lambda df, c, *more: df.select(*more, F.col("rep").alias(c), F.col("n").alias(f"{c}n"), F.col("m").alias(f"{c}m"), F.col("label").alias(f"{c}l"))
+    open_pair = (F.col("a") < F.col("b")) & (F.col("al") != F.col("bl")) & fits("a", "b", percent)
+    # two members either have no shingle in common but the centre's, so that what they share with it bounds them ...
+    bounded = apart.withColumn("m", F.least("m", F.coalesce("both", "m")))
+    within = side(bounded, "a", "key").join(side(bounded, "b", "key"), "key").filter(open_pair).select("a", "b")
+    # ... or shingles that the centre hasn't, which are counted
+    members = settle(apart.groupBy("rep", "c").agg(F.first("n").alias("n"), F.max("m").alias("m"), F.first("label").alias("label"), F.first("both").alias("both")))
+    beside = outside(members.filter("rep <> c").select(F.col("rep").alias("a"), F.col("c").alias("b")), texts, size)
+    beside = settle(beside.select(F.col("a").alias("rep"), F.col("b").alias("c"), "h").join(members, ["rep", "c"]))
+    shared_by = beside.groupBy("c", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("c", "h")
+    beside = settle(beside.join(shared_by, ["c", "h"]).withColumn("kept", F.coalesce("both", "m")))
+    met = side(beside, "a", "c", "h", F.col("kept").alias("ak")).join(side(beside, "b", "c", "h", F.col("kept").alias("bk")), ["c", "h"]).filter(open_pair)
+    met = met.groupBy("a", "b", "c", "an", "bn").agg((F.least(F.min("ak"), F.min("bk")) + F.count(F.lit(1))).alias("most"))
+    across = met.groupBy("a", "b", "an", "bn").agg(F.min("most").alias("most")).filter(100 * F.col("most") >= percent * (F.col("an") + F.col("bn") - F.col("most"))).select("a", "b")
+    more = overlaps(close(within.union(across).distinct(), reps), texts, size).filter(alike(percent)).select("a", "b")
     found = components(settle(links.union(more)))
 
     of_class = firsts.select(*same, "rep").join(found.withColumnRenamed("a", "rep"), "rep", "left").select(*same, F.coalesce("label", "rep").alias("label"))
