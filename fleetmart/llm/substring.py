@@ -36,7 +36,7 @@ from fleetmart.operators.settle import settle
 WINDOW = 13
 MINI = 3
 BUCKET_BYTES = 8 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 HOT = 2000
 SPREAD = 1 << 18
 
@@ -96,7 +96,7 @@ class Spread:
 
 
 def _blob(runs: list[bytes], *columns: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([len(runs).to_bytes(8, "little"), *(c.astype(np.int64).tobytes() for c in columns), b"\n".join(runs)]))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([len(runs).to_bytes(8, "little"), *(c.astype(np.int64).tobytes() for c in columns), b"\n".join(runs)]))
 
 
 def _unblob(blob: bytes, columns: int) -> tuple[list[np.ndarray], list[bytes]]:
