@@ -85,7 +85,7 @@ def signed(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, a, b, signatures = [], [], [], []
-            for part in chunks((t,) for t in batch.column(1).to_pylist()):
+            for part in chunks((t.as_py(),) for t in batch.column(1)):
                 sets = shingle_sets([utf8(t) for (t,) in part], size)
                 rows = iter(signature(full) if (full := [s for s in sets if len(s)]) else ())
                 for s in sets:
@@ -142,10 +142,10 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _set_pairs(batch: pa.RecordBatch, size: int, last: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The shingle sets of each pair; that of b is kept in ``last`` for the rows that follow."""
-    for b, ta, tb in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+    for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
         if not last or b != last[0]:
-            last[:] = [b, shingle_sets([utf8(tb)], size)[0]]
-        yield shingle_sets([utf8(ta)], size)[0], last[1]
+            last[:] = [b, shingle_sets([utf8(tb.as_py())], size)[0]]
+        yield shingle_sets([utf8(ta.as_py())], size)[0], last[1]
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -208,7 +208,7 @@ def fits(a: str, b: str, percent: int) -> F.Column:
 def _peculiar(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """From (rep, text): a row for each shingle, by 32 bits of its hash; where two fall together they count as shared, which only leaves more to compare."""
     for batch in batches:
-        for part in chunks(zip(range(batch.num_rows), batch.column(1).to_pylist(), strict=True), at=1):
+        for part in chunks(((i, t.as_py()) for i, t in enumerate(batch.column(1))), at=1):
             sets = shingle_sets([utf8(t) for _, t in part], size)
             rows = np.repeat(np.array([r for r, _ in part]), [len(s) for s in sets])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array((np.concatenate(sets) >> _U(32)).astype(np.uint32).view(np.int32))], names=["rep", "h"])
