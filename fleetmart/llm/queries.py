@@ -216,5 +216,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as WARC archives, read back."""
-    return warc.pages(spark, warc.archive(table(spark, sf_dir, "pages")))
+    """All pages as compressed WARC archives, read back."""
+    return warc.pages(spark, warc.archive(table(spark, sf_dir, "pages"), compression="gzip"))
