@@ -29,7 +29,6 @@ from fleetmart.operators.settle import scratch_dir, settle
 
 MAGIC = "WARC/1.0\r\n"
 LEAST = 100
-HEAD = 1 << 16  # bytes at the start of a candidate in which its header must end
 
 
 def _header(*lines: tuple[str, Column]) -> Column:
@@ -71,8 +70,9 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed(bodies: DataFrame) -> DataFrame:
-    """``header``, ``header_bytes`` and ``payload`` of each body, ``payload_bytes`` as the header says (null: it doesn't)."""
-    head = F.substring_index(F.substring("body", 1, HEAD).cast("string"), "\r\n\r\n", 1)
+    """``header``, ``header_bytes`` and ``payload`` of each body, ``payload_bytes`` as the header says (null: it doesn't).
+    A header ends at the first empty line, however long its fields are."""
+    head = F.substring_index(F.col("body").cast("string"), "\r\n\r\n", 1)
     rows = bodies.withColumn("header", head).withColumn("header_bytes", F.octet_length("header"))
     rows = rows.withColumn("content_length", F.regexp_extract("header", r"(?m)^Content-Length: *(\d{1,15})\r?$", 1).try_cast("long"))
     return rows.withColumn("payload", F.expr("substring(body, header_bytes + 5, cast(least(content_length, 2147483647) as int))"))

@@ -442,6 +442,17 @@ def test_warc(spark, tmp_path):
     assert warc.pages(spark, f"{tmp_path}/empty").isEmpty()
 
 
+def test_warc_headers_of_any_length(spark, tmp_path):
+    rows = [(0, "http://x/0", "a"), (1, "data:" + "é" * 40_000, "b" * 150), (2, "http://x/?" + "q" * (1 << 18), "c\r\n\r\nd"), (3, "http://x/3", "e"), (4, "u", "b" * 150)]
+    for compression in ("none", "gzip"):
+        path = f"{tmp_path}/{compression}"
+        warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path, compression=compression)
+        got = {r.page_id: tuple(r)[1:] for r in warc.pages(spark, path).collect()}
+        assert got == {i: (len(t), hashlib.sha256(t.encode()).hexdigest(), "revisit" if i == 4 else "response", 1 if i == 4 else None) for i, _, t in rows}
+        urls = {re.search("WARC-Target-URI: (.*)\r", r.header)[1] for r in warc.read(spark, path).collect()}
+        assert urls == {u for _, u, _ in rows}
+
+
 # the pipeline
 
 
