@@ -63,7 +63,8 @@ SPLIT = len(MAGIC)
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """Every stretch of a file that follows a magic line: its file, block, running number, and bytes. The first row
-    of a file is what precedes its first magic line."""
+    of a file is what precedes its first magic line. Block and number depend on how this scan is laid out: they hold in
+    one settled copy, and no second scan need agree with them."""
     return spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), F.col("value").cast("binary").alias("body")
     )
@@ -138,11 +139,12 @@ def read(spark: SparkSession, path: str, **columns: Column) -> DataFrame:
     ``columns`` make of it, so that it needn't be kept."""
     columns = columns or {"payload": F.col("payload")}
     bodies = candidates(spark, path)
-    rows = parsed(bodies).select("file", "block", "n", F.octet_length("body").cast("long").alias("length"), "header", "header_bytes", "content_length", *(c.alias(k) for k, c in columns.items()))
+    mark = F.unhex(F.sha2("body", 256))  # names a stretch whatever the layout of the scan that finds it
+    rows = parsed(bodies).select("file", "block", "n", F.octet_length("body").cast("long").alias("length"), mark.alias("mark"), "header", "header_bytes", "content_length", *(c.alias(k) for k, c in columns.items()))
     placed = settle(offsets(settle(rows)))
     to = F.coalesce(F.col("at") + SPLIT + F.col("header_bytes") + 4 + F.col("content_length") + 4, F.lit(-1))
     true = chain(placed.filter("at >= 0").select("file", "block", "at", to.alias("to")))
-    owners = placed.select("file", "block", "n", "at").join(true.withColumn("true_at", F.col("at")), ["file", "at"], "left")
+    owners = placed.select("file", "at", "mark").join(true.withColumn("true_at", F.col("at")), ["file", "at"], "left")
     inside = settle(owners.filter("true_at IS NULL AND at >= 0").select("file").distinct())
     kept = placed.join(true, ["file", "at"])
     if inside.isEmpty():
@@ -151,8 +153,9 @@ def read(spark: SparkSession, path: str, **columns: Column) -> DataFrame:
     along = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     mixed = owners.join(inside, "file").withColumn("owner", F.last("true_at", ignorenulls=True).over(along)).filter("owner IS NOT NULL")
     several = mixed.groupBy("file", "owner").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts")
-    parts = settle(mixed.join(several, ["file", "owner"]).select("file", "block", "n", "at", "owner"))
-    held = bodies.join(parts, ["file", "block", "n"]).groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("at", "body"))).alias("held"))
+    parts = settle(mixed.join(several, ["file", "owner"]).select("file", "at", "mark", "owner"))
+    found = bodies.select(mark.alias("mark"), "body").join(parts.select("mark"), "mark", "left_semi").dropDuplicates(["mark"])
+    held = parts.join(found, "mark").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("at", "body"))).alias("held"))
     joined = F.expr(f"unhex(array_join(transform(held, x -> hex(x.body)), '{MAGIC.encode().hex().upper()}'))")
     whole = parsed(held.select("file", F.col("owner").alias("at"), joined.alias("body"))).select("file", "at", "header", *(c.alias(k) for k, c in columns.items()))
     return kept.join(parts.select("file", F.col("owner").alias("at")).distinct(), ["file", "at"], "left_anti").select("file", "at", "header", *columns).unionByName(whole)

@@ -453,6 +453,22 @@ def test_warc_headers_of_any_length(spark, tmp_path):
         assert urls == {u for _, u, _ in rows}
 
 
+def test_warc_stretches_in_another_layout(spark, tmp_path):
+    """Payloads with magic lines are whole where the archive is cut differently when it is read again."""
+    inside = "x" * 700 + warc.MAGIC + "WARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    rows = [(i, "u", f"{i} " + inside * (i % 4) + warc.MAGIC * (i % 3)) for i in range(40)]
+    path = f"{tmp_path}/archive"
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+        found = warc.read(spark, path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        assert sorted(bytes(r.payload).decode() for r in found.collect()) == sorted(t for _, _, t in rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+
+
 # the pipeline
 
 
