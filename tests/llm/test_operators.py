@@ -233,6 +233,22 @@ def test_packing(spark, awkward):
     assert packing.pack(awkward.limit(0)).isEmpty()
 
 
+def test_packing_of_added_tokens(spark):
+    """Against the tokenizer as loaded."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    rng = random.Random(16)
+    texts = [f"a {end} b", end, end * 3, f"  x  {end}\n {end}  y z ", f"it{end}'s {end[:-1]}", f"{prose(rng, 90)}{end}{prose(rng, 90)}", "none", "", f"<|{end}|>"]
+    texts += ["".join(rng.choice([end, " ", "  ", "\n", "é", "word", "<|", "'s", "9"]) for _ in range(30)) for _ in range(100)]
+    table = docs(spark, texts)
+    ids = {i: [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4")] for i, t in enumerate(texts)}
+    assert ids[0][0].tolist() == [64, 220, 50256, 275, 2]
+    check_packing(packing.pack(table, capacity=64).collect(), ids, 64)
+
+
 def test_packing_in_many_groups(spark):
     rng = random.Random(7)
     items = spark.createDataFrame([(i, rng.randrange(1, 100)) for i in range(3000)], "slot long, length int").repartition(4)
