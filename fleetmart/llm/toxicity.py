@@ -8,8 +8,9 @@ score ``1 - exp(-evidence)``.
 
 The grammar is fixed. The lexicon has a small fixed part and a learned part: words and word beginnings that occur in
 toxic training documents, between many different neighbours (so copies of one document are no evidence), and hardly
-in the others. Learning is a grouped count over all training documents; the model keeps the ``LEXICON`` entries of
-the most evidence, which bounds what is sent to the tasks.
+in the others: the share of toxic documents with an entry is held against that of the others, with a confidence bound,
+so an entry's chance doesn't depend on the size of the table. Learning is a grouped count over all training documents;
+the model keeps every entry that passes.
 
 Defined results: a null or empty text scores 0; repeated rows score alike; without labels only the fixed part is
 used; further columns are ignored by :func:`score` and kept by :func:`reject`.
@@ -31,11 +32,12 @@ from pyspark.sql import types as T
 from fleetmart.llm.words import ALNUM, chunks
 from fleetmart.operators.settle import settle
 
-LEXICON = 20_000
 THRESHOLD = 0.3
 NEIGHBOURS = 4  # different words before, and after, that a learned entry must have in toxic documents
 STEMS = (4, 5)
 MIN_LOG_ODDS = 3.5
+DEVIATIONS = 2.0  # standard errors off the log odds, and what must then be left of them
+MIN_BOUND = 1.0
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 
@@ -197,7 +199,7 @@ def reject(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: flo
 
 # learning -------------------------------------------------------------------------------------------------------
 
-COUNTS = "entry string, before int, after int, toxic int, n long"
+COUNTS = "entry string, before int, after int, doc long, n long"
 
 
 def _entries(word: str) -> list[str]:
@@ -205,11 +207,12 @@ def _entries(word: str) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, label): for toxic texts a row for each entry and neighbourhood, for the others a count of
-    documents by entry, summed up before it leaves the task."""
+    """From (text, label): for toxic texts a row for each entry and neighbourhood with a digest of the text, for the
+    others (``doc`` null) a count of documents by entry, summed up before it leaves the task."""
+    import hashlib
     import zlib
 
-    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     for batch in batches:
         for part in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), limit=1 << 22):
             clean: Counter = Counter()
@@ -221,36 +224,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     documents += 1
                     clean.update({e for w in set(words) for e in _entries(w)})
                     continue
+                doc = int.from_bytes(hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
                 marks = [zlib.crc32(w.encode()) - (1 << 31) for w in ["", *words, ""]]
-                rows.update((e, marks[i], marks[i + 2], 1, 1) for i, w in enumerate(words) for e in _entries(w))
-            out = [*rows, *((e, 0, 0, 0, n) for e, n in clean.items()), ("", 0, 0, 0, documents), ("", 0, 0, 1, len(part) - documents)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names=["entry", "before", "after", "toxic", "n"])
+                rows.add(("", 0, 0, doc, 1))
+                rows.update((e, marks[i], marks[i + 2], doc, 1) for i, w in enumerate(words) for e in _entries(w))
+            out = [*rows, *((e, 0, 0, None, n) for e, n in clean.items()), ("", 0, 0, None, documents)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names=["entry", "before", "after", "doc", "n"])
 
 
-def learn(labelled: DataFrame, text: str = "text", label: str = "toxic", size: int = LEXICON) -> Lexicon:
-    """The lexicon for documents with labels; rows without a label are ignored. Every labelled text is counted."""
+def learn(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Lexicon:
+    """The lexicon for documents with labels; rows without a label are ignored. Every labelled text is counted, toxic
+    ones of the same text once."""
     rows = labelled.filter(F.col(label).isNotNull()).select(text, F.col(label).cast("int").alias(label)).mapInArrow(_count, COUNTS)
-    toxic, clean = F.col("toxic") == 1, F.col("toxic") == 0
-    # neighbours are counted by small sketches: an entry's state has one size however common it is, and tasks send one
-    # row for each entry
+    toxic = F.col("doc").isNotNull()
+    # neighbours are counted by small sketches: an entry's state has one size however common it is
     counted = settle(
         rows.groupBy("entry").agg(
             F.approx_count_distinct(F.when(toxic, F.col("before")), 0.2).alias("before"),
             F.approx_count_distinct(F.when(toxic, F.col("after")), 0.2).alias("after"),
-            F.sum(F.when(toxic, F.col("n")).otherwise(0)).alias("n_toxic"),
-            F.sum(F.when(clean, F.col("n")).otherwise(0)).alias("n_clean"),
+            F.count_distinct("doc").alias("n_toxic"),
+            F.sum(F.when(toxic, 0).otherwise(F.col("n"))).alias("n_clean"),
         ).filter((F.least("before", "after") >= NEIGHBOURS) | (F.col("entry") == ""))
     )
     total = counted.filter("entry = ''").select("n_toxic", "n_clean").first()
     n_toxic, n_clean = (total[0], total[1]) if total else (0, 0)
-    seen = F.least("before", "after")
-    odds = F.log((seen + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("n_clean") + 0.5) / F.lit(n_clean + 1.0))
+    odds = F.log((F.col("n_toxic") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("n_clean") + 0.5) / F.lit(n_clean + 1.0))
+    error = F.sqrt(1 / (F.col("n_toxic") + 0.5) + 1 / (F.col("n_clean") + 0.5))
     chosen = (
         counted.filter(F.col("entry") != "")
         .withColumn("odds", odds)
-        .filter((F.col("odds") >= MIN_LOG_ODDS) & (seen >= 20 * F.col("n_clean")))
-        .orderBy((F.col("odds") * F.sqrt(seen)).desc(), "entry")
-        .limit(size)
+        .filter((F.col("odds") >= MIN_LOG_ODDS) & (F.col("odds") - DEVIATIONS * error >= MIN_BOUND))
         .collect()
     )
     words = {w: (s, 1.0) for s, listed in FIXED.items() for w in listed.split()}

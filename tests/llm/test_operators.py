@@ -158,6 +158,15 @@ def test_toxicity_learning_and_rows(spark, awkward):
     assert not empty.stems and toxicity.score(awkward.limit(0), empty).isEmpty()
 
 
+def test_toxicity_entries_by_rates(spark):
+    """An entry in a quarter of the toxic documents stays one where a large table holds a few clean ones with it."""
+    rng = random.Random(17)
+    texts = [(f"{prose(rng, 6)} {'vlorp ' if i % 4 == 0 else ''}{prose(rng, 6)}", 1) for i in range(100)]
+    texts += [(f"{prose(rng, 6)} {'vlorp ' if i < 3 else ''}{prose(rng, 6)}", 0) for i in range(3000)]
+    lexicon = toxicity.learn(spark.createDataFrame(texts, "text string, toxic int"))
+    assert "vlorp" in lexicon.words and not any(w in lexicon.words for w in ("w1", "w2", "w3"))
+
+
 # 4 quality
 
 
