@@ -4,7 +4,8 @@ Words become symbols by a lexicon: insult, threat, target, negation, report verb
 negation, reported speech and targets, and a weighing machine are composed into one sequential machine; it reads the
 symbols of a clause and pays out a weight for every match in its context, so a negated or quoted insult counts for
 less and an insult or a threat next to a target for more. A document's evidence is the sum over its clauses, its
-score ``1 - exp(-evidence)``.
+score ``1 - exp(-evidence)``. Clauses that would not reject a document alone count relative to its length, so that
+unrelated words far apart in a long text don't add up.
 
 The grammar is fixed. The lexicon has a small fixed part and a learned part: words and word beginnings that occur in
 toxic training documents, between many different neighbours (so copies of one document are no evidence), and hardly
@@ -34,7 +35,10 @@ from fleetmart.operators.settle import settle
 
 THRESHOLD = 0.3
 NEIGHBOURS = 4  # different words before, and after, that a learned entry must have in toxic documents
+DOCUMENTS = 4  # different toxic documents that must hold a learned entry
 STEMS = (4, 5)
+ALONE = -math.log(1 - THRESHOLD)  # evidence that rejects a document
+SPAN = 200  # words over which clauses of less evidence than that count in full
 MIN_LOG_ODDS = 3.5
 DEVIATIONS = 2.0  # standard errors off the log odds, and what must then be left of them
 MIN_BOUND = 1.0
@@ -49,6 +53,8 @@ FIXED = {
     REPORT: "said says called claimed wrote quoted quote alleged reportedly dit écrit sagte schrieb behauptete dijo escribió",
 }
 
+FIXED_WORDS = frozenset(w for listed in FIXED.values() for w in listed.split())
+
 # the grammar ----------------------------------------------------------------------------------------------------
 
 #: symbols that pass between the machines, above the six of the lexicon
@@ -153,13 +159,17 @@ def words_of(clause: str) -> list[str]:
 def evidence(text: str, lexicon: Lexicon, cache: dict[str, tuple[int, float]]) -> float:
     """Clauses are taken apart only where a document holds an insult or a threat at all."""
     mine = {}
-    for w in set(words_of(text)):
+    words = words_of(text)
+    for w in set(words):
         if w and (found := cache.get(w) or cache.setdefault(w, lexicon.symbol(w)))[0] != OTHER:
             mine[w] = found
     if not any(s in (INSULT, THREAT) for s, _ in mine.values()):
         return 0.0
     none = (OTHER, 0.0)
-    return sum(clause_weight([mine.get(w, none) for w in words_of(clause) if w]) for clause in _CLAUSE_ENDS.split(text))
+    paid = [clause_weight([mine.get(w, none) for w in words_of(clause) if w]) for clause in _CLAUSE_ENDS.split(text)]
+    strong = sum(p for p in paid if p >= ALONE)
+    weak = sum(p for p in paid if p < ALONE)
+    return strong + (weak * min(1.0, SPAN / sum(map(bool, words))) if weak else 0.0)
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,7 +213,8 @@ COUNTS = "entry string, before int, after int, doc long, n long"
 
 
 def _entries(word: str) -> list[str]:
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
+    """Fixed words speak for themselves, not for other words that begin like them."""
+    return [word] if word in FIXED_WORDS else [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +255,7 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Lexi
             F.approx_count_distinct(F.when(toxic, F.col("after")), 0.2).alias("after"),
             F.count_distinct("doc").alias("n_toxic"),
             F.sum(F.when(toxic, 0).otherwise(F.col("n"))).alias("n_clean"),
-        ).filter((F.least("before", "after") >= NEIGHBOURS) | (F.col("entry") == ""))
+        ).filter(((F.least("before", "after") >= NEIGHBOURS) & (F.col("n_toxic") >= DOCUMENTS)) | (F.col("entry") == ""))
     )
     total = counted.filter("entry = ''").select("n_toxic", "n_clean").first()
     n_toxic, n_clean = (total[0], total[1]) if total else (0, 0)
@@ -252,15 +263,14 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Lexi
     error = F.sqrt(1 / (F.col("n_toxic") + 0.5) + 1 / (F.col("n_clean") + 0.5))
     chosen = (
         counted.filter(F.col("entry") != "")
-        .withColumn("odds", odds)
-        .filter((F.col("odds") >= MIN_LOG_ODDS) & (F.col("odds") - DEVIATIONS * error >= MIN_BOUND))
+        .withColumns({"odds": odds, "bound": odds - DEVIATIONS * error})
+        .filter((F.col("odds") >= MIN_LOG_ODDS) & (F.col("bound") >= MIN_BOUND))
         .collect()
     )
     words = {w: (s, 1.0) for s, listed in FIXED.items() for w in listed.split()}
     stems: dict[str, float] = {}
     for r in chosen:
-        many = min(r["before"], r["after"])
-        weight = min(1.0, r["odds"] / 6) * many / (many + 6.0)
+        weight = min(1.0, r["odds"] / 6) * r["n_toxic"] / (r["n_toxic"] + 8.0)
         if r["entry"].endswith("*"):
             stems[r["entry"][:-1]] = weight
         elif words.get(r["entry"], (INSULT,))[0] == INSULT:

@@ -167,6 +167,19 @@ def test_toxicity_entries_by_rates(spark):
     assert "vlorp" in lexicon.words and not any(w in lexicon.words for w in ("w1", "w2", "w3"))
 
 
+def test_toxicity_keeps_clean_documents(spark):
+    """A name in one long toxic text, however often, is no entry; neither do unrelated words of a long text add up."""
+    rng = random.Random(18)
+    long = " ".join(f"{prose(rng, 5)} quillon {prose(rng, 5)}" for _ in range(60))
+    texts = [(f"{prose(rng, 20)} vlorp {prose(rng, 20)}", 1) for _ in range(40)] + [(long, 1)] * 3 + [(prose(rng, 40), 0) for _ in range(300)]
+    lexicon = toxicity.learn(spark.createDataFrame(texts, "text string, toxic int"))
+    assert "vlorp" in lexicon.words and "quillon" not in lexicon.words and not {"quil", "quill"} & set(lexicon.stems)
+    score = lambda text: 1 - np.exp(-toxicity.evidence(text, lexicon, {}))
+    calm = [prose(rng, 5000) for _ in range(4)]
+    assert score(". beat. ".join(calm[:2]) + ". burn. " + calm[2] + ". crush. " + calm[3]) < 0.1
+    assert score("\n".join([*calm, "You are an idiot."])) >= toxicity.THRESHOLD
+
+
 # 4 quality
 
 
