@@ -17,8 +17,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=str)

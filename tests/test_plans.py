@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from fleetmart import schema as S
 from fleetmart.operators import interpolate as I
 from fleetmart.operators import quality as Q

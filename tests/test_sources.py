@@ -5,7 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from fleetmart import schema as S
 from fleetmart.operators import ledger as L
 from fleetmart.sources import files as Fs

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from fleetmart.operators import joins as J
 from fleetmart.operators import timeline as TL
 
