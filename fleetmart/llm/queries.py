@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontaminate, fingerprint, licenses, neardup, packing, quality, substring, toxicity, warc
+from fleetmart.llm import chat, decontaminate, fingerprint, jaccard, licenses, neardup, packing, quality, substring, toxicity, warc
 from fleetmart.operators.settle import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as compressed WARC archives, read back."""
     return warc.pages(spark, warc.archive(table(spark, sf_dir, "pages"), compression="gzip"))
+
+
+@query(
+    "op13_jaccard_join",
+    rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{SPACED}') AS w FROM documents),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    both_ways AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM both_ways JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    reach(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a),
+    found AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN found USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under links at a Jaccard similarity of 0.8, on shingles of five words."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
