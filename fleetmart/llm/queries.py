@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontaminate, fingerprint, jaccard, licenses, neardup, packing, quality, substring, toxicity, warc
+from fleetmart.llm import chat, decontaminate, fingerprint, jaccard, licenses, neardup, packing, quality, substring, toxicity, trie, warc
 from fleetmart.operators.settle import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: the unsigned CRC-32 of texts of characters below U+0100: a table of the byte values' CRCs, and a fold over UTF-8 bytes
+CRC_TABLE = """r(i, k, v) AS (SELECT range, 0, range FROM range(256) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM r WHERE k < 8),
+    crc(tab) AS (SELECT list(v ORDER BY i) FROM r WHERE k = 8)"""
+
+
+def crc_sql(text: str) -> str:
+    """The CRC of a SQL text, in a query that has CRC_TABLE."""
+    code = "unicode(c)"
+    each = f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN {code} < 128 THEN [{code}::BIGINT] ELSE [192 + ({code} >> 6), 128 + ({code} & 63)]::BIGINT[] END))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {each}), lambda x, y: xor(x >> 8, tab[(xor(x, y) & 255) + 1])), 4294967295)"
+
+
 def crc_fold(n: int):
     """The remainder that holds a document out."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -238,3 +250,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents under links at a Jaccard similarity of 0.8, on shingles of five words."""
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_prefix_trie",
+    rf"""
+    WITH RECURSIVE {CRC_TABLE},
+    o AS (
+        SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    h AS (SELECT conv_id, own, {crc_sql("conv_id::VARCHAR")} % 6 AS h FROM o, crc),
+    c AS (SELECT h.conv_id AS c, list_concat(coalesce(o.own[1:h.h], []), h.own[h.h + 1:]) AS w FROM h LEFT JOIN o ON o.conv_id = h.conv_id - h.conv_id % 100),
+    p AS (SELECT c, len(w) AS n, d, w[1:d] AS s FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM c)),
+    n AS (
+        SELECT d, s, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends FROM p GROUP BY d, s),
+    child AS (SELECT a.d, a.s, count(b.d) AS n_children FROM n a LEFT JOIN n b ON b.d = a.d + 1 AND b.s[1:a.d] = a.s GROUP BY a.d, a.s),
+    m AS (SELECT n.*, n_children, CASE WHEN n.d > 0 THEN (n_convs - 1) * length(n.s[n.d].text) ELSE 0 END AS saved FROM n JOIN child USING (d, s))
+    SELECT a.conv_id, a.d AS depth, any_value(p.conv_id) AS parent_conv_id, any_value(a.n_convs)::BIGINT AS n_convs, any_value(a.n_children)::BIGINT AS n_children,
+        sum((b.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens, sha256(any_value(a.ends)) AS ends_sha256
+    FROM m a JOIN m b ON b.d >= a.d AND b.s[1:a.d] = a.s LEFT JOIN m p ON p.d = a.d - 1 AND p.s = a.s[1:a.d - 1]
+    GROUP BY a.conv_id, a.d
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each branched off the first of its hundred."""
+    return trie.nodes(*trie.rebuilt(trie.turns(table(spark, sf_dir, "conversations"))))
