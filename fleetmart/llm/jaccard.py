@@ -116,7 +116,7 @@ def _packed(batches: Iterator[pa.RecordBatch], size: int, ranges: int) -> Iterat
 
 
 def _answered(table: pa.Table) -> pa.Table:
-    """Of the rows of a range: (chunk, a, m), the number of hashes of each set that another set has."""
+    """For each row of a range an answer: the sets, and how many of their hashes there another set has."""
     read = lambda c, kind: [np.frombuffer(x, kind) for x in table.column(c).to_pylist()]
     sets, known, counts, single = read("sets", np.int64), read("known", np.uint32), read("counts", np.uint32), np.concatenate(read("single", np.uint32))
     multi = np.unique(np.concatenate(read("multi", np.uint32)))
@@ -131,9 +131,15 @@ def _answered(table: pa.Table) -> pa.Table:
         at = np.searchsorted(multi, same[starts])
         met |= (at < len(multi)) & (multi[np.minimum(at, len(multi) - 1)] == same[starts]) if len(multi) else False
         m += np.bincount(number[order][np.repeat(met, np.diff(np.append(starts, len(same))))], minlength=len(m))
-    held = m > 0
-    chunk = np.repeat(np.array(table.column("chunk").to_pylist(), np.int64), [len(s) for s in sets])
-    return pa.table({"chunk": chunk[held], "a": digests[held], "m": m[held]})
+    of_row = np.split(m, np.cumsum([len(s) for s in sets])[:-1])
+    return pa.table({"chunk": table.column("chunk"), "sets": pa.array([s[k > 0].tobytes() for s, k in zip(sets, of_row, strict=True)]), "m": pa.array([k[k > 0].tobytes() for k in of_row])})
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The answers to a chunk, added by set."""
+    read = lambda c: np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64)
+    digests, at = np.unique(read("sets"), return_inverse=True)
+    return pa.table({"a": digests, "m": np.bincount(at, read("m"), len(digests)).astype(np.int64)})
 
 
 def shared(docs: DataFrame, text: str, size: int, total: int) -> DataFrame:
@@ -141,9 +147,9 @@ def shared(docs: DataFrame, text: str, size: int, total: int) -> DataFrame:
     bound is exact but for hashes that agree in 32 bits and the range."""
     ranges = max(1, -(-total // RANGE))
     rows = docs.select(text).mapInArrow(lambda it: _packed(it, size, ranges), _PACKED)
-    answers = rows.groupBy("range").applyInArrow(_answered, "chunk long, a long, m long")
+    answers = rows.groupBy("range").applyInArrow(_answered, "chunk long, sets binary, m binary")
     # every chunk that holds a set counts it whole, with the same result
-    return answers.groupBy("a", "chunk").agg(F.sum("m").alias("m")).groupBy("a").agg(F.max("m").alias("m"))
+    return answers.groupBy("chunk").applyInArrow(_summed, "a long, m long").groupBy("a").agg(F.max("m").alias("m"))
 
 
 def point_sets(docs: DataFrame, points: DataFrame, id: str, text: str, size: int) -> DataFrame:
