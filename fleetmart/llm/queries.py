@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmart.llm import chat, decontaminate, fingerprint, jaccard, licenses, neardup, packing, quality, substring, toxicity, trie, warc
+from fleetmart.llm import chat, decontaminate, fingerprint, jaccard, licenses, neardup, packing, quality, spelling, substring, toxicity, trie, warc
 from fleetmart.operators.settle import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -275,3 +275,29 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of all conversations, each branched off the first of its hundred."""
     return trie.nodes(*trie.rebuilt(trie.turns(table(spark, sf_dir, "conversations"))))
+
+
+@query(
+    "op11_spelling_variants",
+    rf"""
+    WITH RECURSIVE {CRC_TABLE},
+    runs AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+    hashed AS (SELECT run, n, {crc_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM counted, crc),
+    spelled AS (SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed),
+    v AS (SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    cut AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+    near AS (
+        SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+        UNION SELECT cut.word, v.word, v.n FROM cut JOIN v ON v.word = rest
+        UNION SELECT v.word, cut.word, cut.n FROM cut JOIN v ON v.word = rest),
+    best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, encode(other)) AS other, max(n) AS most FROM near GROUP BY word),
+    f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * v.n THEN other END AS form, CASE WHEN most >= 10 * v.n THEN most END AS form_n FROM v LEFT JOIN best USING (word)),
+    chain(word, root, k) AS (SELECT word, word, 0 FROM f UNION ALL SELECT chain.word, f.form, k + 1 FROM chain JOIN f ON f.word = chain.root WHERE f.form IS NOT NULL),
+    ends AS (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word)
+    SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
