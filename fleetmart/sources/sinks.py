@@ -1,14 +1,16 @@
 """Writing tables: append with schema growth, upsert by new version, quarantine, publication.
 
-Tables are Parquet folders. A table that is rewritten (upsert, ledger) keeps numbered versions; readers take the
-newest one with a ``_SUCCESS`` marker, so a job that dies half-way leaves the previous version in force.
+Tables are Parquet folders. A table that is rewritten (upsert, ledger) keeps numbered versions
+(:mod:`fleetmart.sources.versions`, :mod:`fleetmart.sources.keyed`); readers take the newest complete one, so a job that
+dies half-way leaves the previous version in force, and several writers do not lose each other's changes.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import time
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,18 +20,10 @@ from fleetmart.operators import ledger as L
 from fleetmart.operators.filters import bad_files, quarantine_split
 from fleetmart.operators.project import columns_first
 from fleetmart.operators.settle import settle
-from fleetmart.operators.vault import distinct_by_key
 from fleetmart.operators.vault import tables as vault_tables
-
-
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+from fleetmart.sources import keyed
+from fleetmart.sources.keyed import merged, upsert  # noqa: F401 - part of this module's interface
+from fleetmart.sources.versions import Conflict, change, exists, hadoop, newest, versions, write_version  # noqa: F401
 
 
 def append(df: DataFrame, path: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
@@ -64,56 +58,35 @@ def export_single(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 # versioned tables
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished versions, oldest first."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    found = []
-    for st in fs.listStatus(p):
-        m = re.fullmatch(r"v(\d+)", st.getPath().getName())
-        if m and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            found.append(int(m.group(1)))
-    return sorted(found)
-
-
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    have = versions(spark, path)
-    return spark.read.parquet(f"{path}/v{have[-1]:08d}") if have else None
-
+    """The newest version of a table, None without any."""
+    return keyed.read(spark, path)
 
-def write_version(df: DataFrame, path: str) -> int:
-    """Write the next version. An unfinished folder of that number (a dead run) is replaced."""
-    n = (versions(df.sparkSession, path) or [0])[-1] + 1
-    df.write.mode("overwrite").parquet(f"{path}/v{n:08d}")
-    return n
 
+# ingest results
 
-def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows not in the updates, plus the updates; columns of either side, NULL where one lacks them. NULL keys
-    match each other, and of several updates of a key the smallest by all other columns counts."""
-    updates = distinct_by_key(updates, list(keys))
-    given = updates.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
-    same = reduce(lambda a, b: a & b, [target[f"`{k}`"].eqNullSafe(given[f"_k{i}"]) for i, k in enumerate(keys)])
-    return target.join(given, same, "left_anti").unionByName(updates, allowMissingColumns=True)
+LOAD = "load"  # ledger column and folder name: the load that brought a file in
+LEASE_S = 24 * 3600.0  # a load of another driver that has not been committed for so long is given up
 
+_BEGUN: dict[int, bool] = {}  # loads of this driver: whether they still run
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str]) -> int:
-    """Update matching rows, insert the others. Repeating it with the same updates changes nothing."""
-    current = read_current(updates.sparkSession, path)
-    return write_version(updates if current is None else merged(current, updates, keys), path)
 
+def begin_load(version: int) -> int:
+    """A number for a new load: later than all loads of the ledger, and not that of a load that begins elsewhere."""
+    load = (version + 1) * 10**9 + random.SystemRandom().randrange(10**9)
+    _BEGUN[load] = True
+    return load
 
-# ingest results
 
-LOAD = "load"  # ledger column and folder name: the load that brought a file in
+def end_load(load: int) -> None:
+    _BEGUN[load] = False
 
 
-def save_ingest(df: DataFrame, path: str, ledger: DataFrame, load: int, sort_by: Sequence[str] = ("source_file_name", "ingestion_datetime")) -> DataFrame:
+def save_load(df: DataFrame, path: str, load: int, sort_by: Sequence[str] = ("source_file_name", "ingestion_datetime")) -> DataFrame:
     """Write clean files to the load's folder of ``path`` and corrupt ones to that of ``path_corrupted``, in place of what
-    an unfinished attempt left there; returns the ledger with new statuses and the number of the load.
+    an unfinished attempt left there; returns (filepath, status) of the files that have rows.
 
-    Nothing counts before this ledger is written: :func:`read_loads` and :func:`drop_unfinished` go by its load numbers.
+    Nothing counts before the ledger is written: :func:`read_loads` and :func:`drop_unfinished` go by its load numbers.
     The parsed rows are staged first: a pruned text scan cannot tell corrupt records, and parsing is paid once.
     """
     staged = settle(df)
@@ -124,7 +97,12 @@ def save_ingest(df: DataFrame, path: str, ledger: DataFrame, load: int, sort_by:
     bad = bad_files(staged, F.col(S.CORRUPT_COLUMN).isNotNull()).withColumn("_bad", F.lit(True))
     seen = staged.select("file_path").distinct().join(bad, "file_path", "left")
     status = F.when(F.col("_bad"), F.lit(S.CORRUPTED)).otherwise(F.lit(S.INGESTED))
-    return stamped(ledger, seen.select(F.col("file_path").alias("filepath"), status.alias("status")), load)
+    return seen.select(F.col("file_path").alias("filepath"), status.alias("status"))
+
+
+def save_ingest(df: DataFrame, path: str, ledger: DataFrame, load: int, sort_by: Sequence[str] = ("source_file_name", "ingestion_datetime")) -> DataFrame:
+    """:func:`save_load`, and the ledger with the new statuses and the number of the load."""
+    return stamped(ledger, save_load(df, path, load, sort_by), load)
 
 
 def stamped(ledger: DataFrame, changes: DataFrame, load: int) -> DataFrame:
@@ -138,7 +116,7 @@ def stamped(ledger: DataFrame, changes: DataFrame, load: int) -> DataFrame:
 
 
 def _load_folders(spark: SparkSession, path: str) -> dict[int, str]:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop(spark, path)
     found = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
     return {int(m.group(1)): f.toString() for f in found if (m := re.fullmatch(rf"{LOAD}=(\d+)", f.getName()))}
 
@@ -150,13 +128,24 @@ def finished_loads(ledger: DataFrame | None) -> set[int]:
     return {r[0] for r in ledger.select(LOAD).filter(F.col(LOAD).isNotNull()).distinct().collect()}
 
 
-def drop_unfinished(spark: SparkSession, path: str, ledger: DataFrame) -> None:
-    """Remove what runs left that ended before their ledger was written."""
+def drop_load(spark: SparkSession, path: str, load: int) -> None:
+    """Remove the folders of a load that is not to count."""
+    for base in (path, f"{path}_corrupted"):
+        if (folder := _load_folders(spark, base).get(load)) is not None:
+            fs, p = hadoop(spark, folder)
+            fs.delete(p, True)
+
+
+def drop_unfinished(spark: SparkSession, path: str, ledger: DataFrame, lease_s: float = LEASE_S) -> None:
+    """Remove what runs left that ended before their ledger was written: those of this driver at once, those of others
+    when their lease is over. A load that still runs is left alone."""
     done = finished_loads(ledger)
     for base in (path, f"{path}_corrupted"):
         for load, folder in _load_folders(spark, base).items():
-            if load not in done:
-                fs, p = _fs(spark, folder)
+            fs, p = hadoop(spark, folder)
+            if load in done or _BEGUN.get(load):
+                continue
+            if load in _BEGUN or fs.getFileStatus(p).getModificationTime() / 1000 <= time.time() - lease_s:
                 fs.delete(p, True)
 
 
