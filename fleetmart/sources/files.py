@@ -1,6 +1,7 @@
 """Landing and reading raw files: listing, checksums, CSV, JSON, XML and ZIP members.
 
-Files are opened by executors only. The driver sees paths and distinct header lines, never contents.
+Files are opened by executors only. The driver sees paths and distinct header lines, never contents. Checksums and
+headers are read block by block where tasks can open the files (:mod:`fleetmart.sources.blocks`), else by Spark's readers.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from fleetmart import schema as S
 from fleetmart.functions.strings import decode_path, strip_scheme
 from fleetmart.operators.ledger import new_files, select_files
 from fleetmart.operators.project import canonical_name, decorate, quoted, unique_names, union_by_name
+from fleetmart.sources import blocks as Bl
 
 MICRO_BATCH = 50  # fixed value: files per ingest batch
 
@@ -33,7 +35,8 @@ def extension(name: Column) -> Column:
 
 def list_files(spark: SparkSession, directory: str, with_etag: bool = False, glob: str | None = None) -> DataFrame:
     """Recursive listing as ledger columns. Without the etag no file content is read (column pruning);
-    the name glob and filters on size and time reach the scan, so only files that pass them are hashed."""
+    the name glob reaches the scan. The etag comes from a column of whole files here: for files of any size take
+    :func:`hashed` of the files that are wanted."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     raw = (reader.option("pathGlobFilter", glob) if glob else reader).load(directory)
     path = strip_scheme(decode_path(F.col("path")))
@@ -48,10 +51,18 @@ def list_files(spark: SparkSession, directory: str, with_etag: bool = False, glo
     )
 
 
+def hashed(spark: SparkSession, listing: DataFrame, directory: str) -> DataFrame:
+    """A listing (without etags) with the SHA-256 of each file, read in blocks: files of any size."""
+    if Bl.streamable([directory]):
+        return Bl.with_digests(listing.drop("etag"), "filepath", "etag").select(*listing.columns)
+    full = list_files(spark, directory, with_etag=True).select("filepath", "last_modified", "etag")
+    return listing.drop("etag").join(full, ["filepath", "last_modified"]).select(*listing.columns)
+
+
 def land(spark: SparkSession, directory: str, ledger: DataFrame, fmt: str, after: str, until: str, pattern: str | None = None, min_size: int = 0) -> DataFrame:
-    """Ledger rows for files not seen before, in one lazy plan: scan, filter, anti join, hash."""
-    listed = list_files(spark, directory, with_etag=True, glob=f"*.{fmt}")
-    return new_files(select_files(listed, pattern, min_size, after, until), ledger, fmt, after, until)
+    """Ledger rows for files not seen before, in one lazy plan: listing, filter, anti join, and only then the hashes."""
+    listed = list_files(spark, directory, glob=f"*.{fmt}")
+    return hashed(spark, new_files(select_files(listed, pattern, min_size, after, until), ledger, fmt, after, until), directory)
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -63,8 +74,10 @@ def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def header_lines(spark: SparkSession, paths: Sequence[str], line: int) -> DataFrame:
-    """(path, header): line ``line`` (from 0) of every file. Each scan task passes on at most line+1 rows per file
-    (group limit below the shuffle)."""
+    """(path, header): line ``line`` (from 0) of every file, from the first blocks of the files. Where tasks can't open them, a
+    text scan of all lines does it, each task of which passes on at most line+1 rows per file."""
+    if Bl.streamable(paths):
+        return Bl.heads(spark, paths, line).select("path", "header")
     first = read_lines(spark, paths).filter(F.col("block") == 0).withColumn("_i", F.monotonically_increasing_id())
     pos = F.row_number().over(Window.partitionBy("path").orderBy("_i"))
     return first.withColumn("_pos", pos).filter(F.col("_pos") <= line + 1).filter(F.col("_pos") == line + 1).select(
@@ -198,7 +211,8 @@ MEMBERS = T.StructType(
 
 
 def expand_zips(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Members of ZIP files, any number per file; a broken archive gives one row with its error."""
+    """Members of small ZIP files, each whole in a row; a broken archive gives one row with its error. For archives and
+    members of any size: :func:`fleetmart.sources.blocks.members`, ``member_blocks`` and ``unpack``."""
 
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
