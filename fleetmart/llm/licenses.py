@@ -3,8 +3,9 @@
 Every rolling hash of ``K`` consecutive words is joined to the positions that it has in the templates. A hit votes
 for the diagonal on which document position minus template position is constant; the votes are counted by document,
 template and diagonal. A diagonal with all votes of a template is an exact place of it. Neighbouring diagonals, as a
-changed, lost or added word leaves behind, are merged, and a merged span counts when its verified hits cover enough of
-the template. The words of every hit are compared themselves before it may vote.
+changed, lost or added word leaves behind, are merged into spans, whose diagonals lie within DRIFT of each other as a whole. A
+span is verified by the template positions that it covers: each counts once, however often it is hit, and the words of
+every hit are compared themselves before it may vote. The hits are stored, so that texts are split and joined once.
 
 The templates are a fixed list, so its broadcast has a fixed size. Nothing is grouped by a template alone: groups are
 bounded by a document.
@@ -21,9 +22,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetmart.operators.settle import settle
+
 K = 3
-DRIFT = 3  # diagonals at most so far apart belong to one span
-COVER = 0.6  # share of a template's hashes that a span must have
+DRIFT = 8  # all diagonals of a span lie so close together
+COVER = 0.6  # share of a template's positions that a span must cover
 
 #: words of a text: what lies between these, with A-Z in lower case
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -81,31 +84,32 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def places(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document, template and diagonal: the verified votes, the word at which the template would begin, and the
-    first and last hit. Equal rows give one set of places."""
+    """Per document, template and diagonal: the template positions with a verified hit (``covered``, each once), their
+    number ``votes``, and the first and last hit. The diagonal is the word at which the template would begin. Equal rows
+    give one set of places."""
     listed = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("version"), words(F.col(text)).alias("words"))
     hits = listed.select("id", "version", "words", F.posexplode(grams(F.col("words"))).alias("at", "h")).join(F.broadcast(templates(docs.sparkSession)), "h")
     verified = hits.filter(F.slice("words", F.col("at") + 1, K) == F.col("template_gram"))
-    return verified.groupBy("id", "version", "template", "label", "base", "positions", (F.col("at") - F.col("template_at")).alias("diagonal")).agg(
-        F.count_distinct("at").alias("votes"), F.min("at").alias("first_hit"), F.max("at").alias("last_hit")
-    )
+    grouped = verified.groupBy("id", "version", "template", "label", "base", "positions", (F.col("at") - F.col("template_at")).alias("diagonal"))
+    covered = grouped.agg(F.collect_set("template_at").alias("covered"), F.min("at").alias("first_hit"), F.max("at").alias("last_hit"))
+    return covered.withColumn("votes", F.size("covered"))
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """Neighbouring diagonals of a document and template merged: ``start`` and ``end`` word, ``cover`` of the
-    template."""
+    """Neighbouring diagonals of a document and template merged: ``start`` and ``end`` word, and ``cover``, the share of the
+    template's positions that the span has. A span begins at its smallest diagonal; of spans that overlap the best stays."""
     along = Window.partitionBy("id", "version", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > DRIFT, F.lit(True))
-    merged = found.withColumn("span", F.sum(apart.cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    return merged.groupBy("id", "version", "template", "label", "base", "positions", "span").agg(
-        F.min("first_hit").alias("start"), (F.max("last_hit") + K).alias("end"), F.least(F.lit(1.0), F.sum("votes") / F.first("positions")).alias("cover")
-    )
+    onward, around = along.rangeBetween(0, DRIFT), along.rangeBetween(-DRIFT, DRIFT)
+    covered = F.array_distinct(F.flatten(F.collect_list("covered").over(onward)))
+    merged = found.withColumns({"cover": F.size(covered) / F.col("positions"), "start": F.min("first_hit").over(onward), "end": F.max("last_hit").over(onward) + K})
+    best = merged.withColumn("best", F.max("cover").over(around)).filter(F.col("cover") == F.col("best"))
+    return best.select("id", "version", "template", "label", "base", "positions", "diagonal", "start", "end", "cover")
 
 
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``n_words``, ``n_base`` (exact places of the base phrases), the first and last word at which one
     begins, ``base_labels`` and ``labels`` (sorted arrays), and ``score``, the best cover of any template."""
-    found = places(docs, id, text)
+    found = settle(places(docs, id, text))
     exact = found.filter(F.col("base") & (F.col("votes") == F.col("positions"))).groupBy("id", "version").agg(
         F.count(F.lit(1)).alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"), F.sort_array(F.collect_set("label")).alias("base_labels")
     )

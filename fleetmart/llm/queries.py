@@ -189,14 +189,14 @@ _TEMPLATES = ", ".join(f"({n}, '{t.label}', {t.base}, string_split('{t.text}', '
     t(template, label, base, w) AS (VALUES {_TEMPLATES}),
     tg AS (SELECT template, label, base, len(w) - 2 AS positions, i - 1 AS template_at, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM t)),
     dg AS (SELECT doc_id, i - 1 AS place, array_to_string(w[i:i + 2], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
-    found AS (
-        SELECT doc_id, template, label, base, positions, place - template_at AS diagonal, count(DISTINCT place) AS votes FROM dg JOIN tg USING (g) GROUP BY ALL),
+    hits AS (SELECT DISTINCT doc_id, template, label, base, positions, place - template_at AS diagonal, template_at FROM dg JOIN tg USING (g)),
+    found AS (SELECT doc_id, template, label, base, positions, diagonal, count(*) AS votes FROM hits GROUP BY ALL),
     exact AS (
         SELECT doc_id, count(*) AS n, min(diagonal) AS a, max(diagonal) AS z, list_sort(list(DISTINCT label)) AS labels FROM found WHERE base AND votes = positions GROUP BY doc_id),
-    steps AS (
-        SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {licenses.DRIFT} THEN 0 ELSE 1 END AS apart FROM found),
-    numbered AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM steps),
-    spans AS (SELECT doc_id, label, base, least(1.0, sum(votes)::DOUBLE / any_value(positions)) AS cover FROM numbered GROUP BY doc_id, template, label, base, span),
+    spans AS (
+        SELECT f.doc_id, f.label, f.base, count(DISTINCT h.template_at)::DOUBLE / any_value(f.positions) AS cover
+        FROM found f JOIN hits h ON h.doc_id = f.doc_id AND h.template = f.template AND h.diagonal BETWEEN f.diagonal AND f.diagonal + {licenses.DRIFT}
+        GROUP BY f.doc_id, f.template, f.label, f.base, f.diagonal),
     covered AS (SELECT doc_id, max(cover) AS score, list(DISTINCT label) FILTER (cover >= {licenses.COVER} AND NOT base) AS labels FROM spans GROUP BY doc_id)
     SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(exact.n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
         coalesce(array_to_string(exact.labels, ','), '') AS base_labels,
