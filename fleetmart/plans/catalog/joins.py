@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetmart.functions import columns as X
 from fleetmart.operators import interpolate as I
+from fleetmart.operators import scattered as Sc
 from fleetmart.operators import joins as J
 from fleetmart.operators import timeline as TL
 from fleetmart.operators.settle import settle
@@ -256,6 +257,53 @@ def _(spark, sf_dir):
     return out.select(*[long(F.col(k)).alias(k) for k in ("l_orderkey", "l_linenumber", "l_partkey")], shown(F.col("power")).alias("power"))
 
 
+# scattered tables: every four points of a class whose sphere holds no other point, in units of the class's extent
+def _det(u: str, v: str, w: str) -> str:
+    return f"({u}x * ({v}y * {w}z - {v}z * {w}y) - {u}y * ({v}x * {w}z - {v}z * {w}x) + {u}z * ({v}x * {w}y - {v}y * {w}x))"
+
+
+def _with(sides: tuple[str, str, str], d: str) -> str:
+    """The determinant of the edges with one axis replaced by the halved squares of their lengths: a coordinate of the sphere's centre."""
+    edges = [{a: f"h{k}" if a == d else f"e{k}{a}" for a in "xyz"} for k in sides]
+    (p, q, r) = edges
+    return f"({p['x']} * ({q['y']} * {r['z']} - {q['z']} * {r['y']}) - {p['y']} * ({q['x']} * {r['z']} - {q['z']} * {r['x']}) + {p['z']} * ({q['x']} * {r['y']} - {q['y']} * {r['x']}))"
+
+
+_CLOUD_SQL = f"""raw AS (SELECT p_type AS ship_class, avg(p_size) AS draft, avg(p_partkey % 200) AS speed, avg(p_partkey * p_partkey % 101) AS trim, max(p_retailprice) AS power FROM part GROUP BY p_type, p_size % 11),
+ext AS (SELECT ship_class, min(draft) AS x0, max(draft) AS x1, min(speed) AS y0, max(speed) AS y1, min(trim) AS z0, max(trim) AS z1 FROM raw GROUP BY ship_class),
+pts AS (SELECT ship_class, row_number() OVER (PARTITION BY ship_class ORDER BY draft, speed, trim) AS i, (draft - x0) / (x1 - x0) AS x, (speed - y0) / (y1 - y0) AS y, (trim - z0) / (z1 - z0) AS z, power FROM raw JOIN ext USING (ship_class)),
+quads AS (SELECT a.ship_class, a.i AS ai, b.i AS bi, c.i AS ci, d.i AS di, a.x AS ax, a.y AS ay, a.z AS az, a.power AS pa, b.power AS pb, c.power AS pc, d.power AS pd,
+  {', '.join(f'{q}.{d} - a.{d} AS e{k}{d}' for k, q in ((1, 'b'), (2, 'c'), (3, 'd')) for d in 'xyz')}
+  FROM pts a JOIN pts b ON b.ship_class = a.ship_class AND b.i > a.i JOIN pts c ON c.ship_class = a.ship_class AND c.i > b.i JOIN pts d ON d.ship_class = a.ship_class AND d.i > c.i),
+halves AS (SELECT *, {', '.join(f'(e{k}x * e{k}x + e{k}y * e{k}y + e{k}z * e{k}z) / 2 AS h{k}' for k in (1, 2, 3))}, {_det('e1', 'e2', 'e3')} AS det FROM quads),
+spheres AS (SELECT *, {', '.join(f"{_with(('1', '2', '3'), d)} / det AS m{d}" for d in 'xyz')} FROM halves WHERE abs(det) > 1e-9),
+cells AS (SELECT * FROM spheres s WHERE NOT EXISTS (SELECT 1 FROM pts p WHERE p.ship_class = s.ship_class AND p.i NOT IN (ai, bi, ci, di)
+  AND (p.x - ax - mx) * (p.x - ax - mx) + (p.y - ay - my) * (p.y - ay - my) + (p.z - az - mz) * (p.z - az - mz) < mx * mx + my * my + mz * mz))"""
+
+
+@query(
+    "interp_scattered",
+    f"""WITH {_CLOUD_SQL},
+f AS (SELECT p_partkey, p_type AS ship_class, (25.5 + (p_size - 25.5) / 8 - x0) / (x1 - x0) AS x, (99.5 + (p_partkey % 200 - 99.5) / 8 - y0) / (y1 - y0) AS y, (50 + (p_partkey * 31 % 101 - 50) / 8 - z0) / (z1 - z0) AS z
+  FROM part JOIN ext ON p_type = ship_class),
+g AS (SELECT f.p_partkey, cells.*, f.x - ax AS fx, f.y - ay AS fy, f.z - az AS fz FROM f JOIN cells USING (ship_class)),
+w AS (SELECT *, {_det('f', 'e2', 'e3')} / det AS wb, {_det('e1', 'f', 'e3')} / det AS wc, {_det('e1', 'e2', 'f')} / det AS wd FROM g),
+hit AS (SELECT p_partkey, min(pa * (1 - wb - wc - wd) + pb * wb + pc * wc + pd * wd) AS power FROM w WHERE least(wb, wc, wd, 1 - wb - wc - wd) >= -1e-9 GROUP BY p_partkey)
+SELECT CAST(f.p_partkey AS BIGINT) AS p_partkey, CASE WHEN power IS NOT NULL THEN {shown_sql('power', 3)} END AS power FROM f LEFT JOIN hit USING (p_partkey)""",
+)
+def _(spark, sf_dir):
+    part = load(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    table = part.groupBy(F.col("p_type").alias("ship_class"), F.col("p_size") % 11).agg(
+        F.avg("p_size").alias("draft"), F.avg(key % 200).alias("speed"), F.avg(key * key % 101).alias("trim"), F.max("p_retailprice").alias("power")
+    )
+    facts = part.select(
+        "p_partkey", F.col("p_type").alias("ship_class"), (25.5 + (F.col("p_size") - 25.5) / 8).alias("draft"), (99.5 + (key % 200 - 99.5) / 8).alias("speed"), (50 + (key * 31 % 101 - 50) / 8).alias("trim")
+    )
+    out = Sc.interpolated(facts, Sc.cloud(table, "ship_class"), "ship_class", (F.col("draft"), F.col("speed"), F.col("trim")), "power")
+    return out.select(long(key).alias("p_partkey"), shown(F.col("power"), 3).alias("power"))
+
+
 @query(
     "ideal_trim",
     f"""WITH {_CELLS_SQL}, f AS (SELECT DISTINCT l_returnflag AS ship_class, l_linenumber + l_tax * 7 AS draft, l_quantity + 0.37 AS speed FROM lineitem),
