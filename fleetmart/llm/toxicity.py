@@ -1,9 +1,9 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Words become symbols by a lexicon: insult, threat, target, negation, report verb, or other. Three transducers, for
-negation, reported speech and targets, and a weighing machine are composed into one sequential machine; it reads the
-symbols of a clause and pays out a weight for every match in its context, so a negated or quoted insult counts for
-less and an insult or a threat next to a target for more. A document's evidence is the sum over its clauses, its
+Words become symbols by a lexicon: insult, threat, target, negation, report verb, a word of a phrase, or other. Five
+transducers, for insults and threats of several words, negation, reported speech and targets, and a weighing machine are
+composed into one sequential machine; it reads the symbols of a clause and pays out a weight for every match in its
+context, so a negated or quoted insult counts for less and an insult or a threat next to a target for more. A document's evidence is the sum over its clauses, its
 score ``1 - exp(-evidence)``. Clauses that would not reject a document alone count relative to its length, so that
 unrelated words far apart in a long text don't add up.
 
@@ -55,11 +55,22 @@ FIXED = {
 
 FIXED_WORDS = frozenset(w for listed in FIXED.values() for w in listed.split())
 
+#: insults and threats of several words; TARGET stands for any target word
+PHRASES = {
+    INSULT: ["waste of space", "piece of garbage", "piece of work", "shut up", "good for nothing", "go to hell", "sack of shit", "make me sick", "brain dead"],
+    THREAT: ["make TARGET pay", "make TARGET suffer", "TARGET will regret", "TARGET will pay for", "come for TARGET", "coming for TARGET", "end TARGET life", "watch TARGET back", "know where TARGET live", "teach TARGET a lesson"],
+}
+
 # the grammar ----------------------------------------------------------------------------------------------------
 
 #: symbols that pass between the machines, above the six of the lexicon
-SOFT_INSULT, SOFT_THREAT, TOLD_INSULT, TOLD_THREAT, AIMED_INSULT, AIMED_THREAT = range(6, 12)
-SYMBOLS = 12
+SOFT_INSULT, SOFT_THREAT, TOLD_INSULT, TOLD_THREAT, AIMED_INSULT, AIMED_THREAT, MEANT_THREAT = range(6, 13)
+
+#: symbols of the words that phrases are made of. A word with a meaning of its own has one symbol for each, which carries it on
+_OWN = {w: s for s, listed in FIXED.items() for w in listed.split()}
+PHRASE_WORDS = {w: 13 + n for n, w in enumerate(sorted({w for listed in PHRASES.values() for p in listed for w in p.split()} - {"TARGET"}))}
+BASE = {s: _OWN.get(w, OTHER) for w, s in PHRASE_WORDS.items()}
+SYMBOLS = 13 + len(PHRASE_WORDS)
 
 
 @dataclass(frozen=True)
@@ -88,21 +99,39 @@ def compose(first: Machine, second: Machine) -> Machine:
     return Machine(step)
 
 
+def phrases(kind: int, listed: list[str], pass_on: bool) -> Machine:
+    """Reads words of phrases and writes ``kind`` at the end of a phrase, the longest beginning of a phrase that ends here
+    being the state. What completes none is written as it was read, or with the word's own meaning."""
+    spelled = [tuple(TARGET if w == "TARGET" else PHRASE_WORDS[w] for w in p.split()) for p in listed]
+    begun = sorted({p[:n] for p in spelled for n in range(len(p) + 1)}, key=lambda b: (len(b), b))
+    number = {b: q for q, b in enumerate(begun)}
+
+    def rule(q: int, s: int) -> tuple[int, int, float]:
+        read = (*begun[q], s)
+        done = any(read[n:] in spelled for n in range(len(read)))
+        after = next(number[read[n:]] for n in range(len(read) + 1) if read[n:] in number)
+        return after, kind if done else s if pass_on else BASE.get(s, s), 1.0
+
+    return machine(len(begun), rule)
+
+
 def _negation(q: int, s: int) -> tuple[int, int, float]:
     """Three symbols after a negation, insults and threats are soft."""
-    soft = {INSULT: SOFT_INSULT, THREAT: SOFT_THREAT}.get(s, s) if q else s
+    soft = {INSULT: SOFT_INSULT, THREAT: SOFT_THREAT, MEANT_THREAT: SOFT_THREAT}.get(s, s) if q else s
     return (3 if s == NEGATION else max(0, q - 1)), soft, 1.0
 
 
 def _report(q: int, s: int) -> tuple[int, int, float]:
     """From a report verb to the end of the clause, insults and threats are told."""
-    told = {INSULT: TOLD_INSULT, THREAT: TOLD_THREAT}.get(s, s) if q else s
+    told = {INSULT: TOLD_INSULT, THREAT: TOLD_THREAT, MEANT_THREAT: TOLD_THREAT}.get(s, s) if q else s
     return (1 if q or s == REPORT else 0), told, 1.0
 
 
 def _target(q: int, s: int) -> tuple[int, int, float]:
     """States 1 to 5: a target so many symbols ahead of now runs out; 6 to 8: an insult, 9 to 11: a threat waits for
-    one. A threat is aimed at what follows it only."""
+    one. A threat is aimed at what follows it only, a phrase at the target that it names."""
+    if s == MEANT_THREAT:
+        return max(0, q - 1) if q not in (6, 9) else 0, AIMED_THREAT, 1.0
     if s == TARGET:
         return 5, (AIMED_THREAT if q >= 9 else AIMED_INSULT if q >= 6 else s), (0.5 if 6 <= q <= 8 else 1.0)
     if s == INSULT:
@@ -119,7 +148,9 @@ def _pay(q: int, s: int) -> tuple[int, int, float]:
     return 0, s, PAYS.get(s, 0.0)
 
 
-GRAMMAR = compose(compose(compose(machine(4, _negation), machine(2, _report)), machine(12, _target)), machine(1, _pay))
+GRAMMAR = phrases(INSULT, PHRASES[INSULT], True)
+for _machine in (phrases(MEANT_THREAT, PHRASES[THREAT], False), machine(4, _negation), machine(2, _report), machine(12, _target), machine(1, _pay)):
+    GRAMMAR = compose(GRAMMAR, _machine)
 
 
 def clause_weight(symbols: list[tuple[int, float]]) -> float:
@@ -145,6 +176,8 @@ class Lexicon:
 
     def symbol(self, word: str) -> tuple[int, float]:
         found = self.words.get(word)
+        if word in PHRASE_WORDS and (found is None or found == (BASE[PHRASE_WORDS[word]], 1.0)):
+            return PHRASE_WORDS[word], 1.0
         if found is None:
             found = max(((INSULT, self.stems[word[:n]]) for n in STEMS if len(word) > n and word[:n] in self.stems), default=(OTHER, 0.0))
             if found[0] == OTHER:
@@ -163,7 +196,7 @@ def evidence(text: str, lexicon: Lexicon, cache: dict[str, tuple[int, float]]) -
     for w in set(words):
         if w and (found := cache.get(w) or cache.setdefault(w, lexicon.symbol(w)))[0] != OTHER:
             mine[w] = found
-    if not any(s in (INSULT, THREAT) for s, _ in mine.values()):
+    if not any(s in (INSULT, THREAT) or s > MEANT_THREAT for s, _ in mine.values()):
         return 0.0
     none = (OTHER, 0.0)
     paid = [clause_weight([mine.get(w, none) for w in words_of(clause) if w]) for clause in _CLAUSE_ENDS.split(text)]
@@ -209,7 +242,7 @@ def reject(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: flo
 
 # learning -------------------------------------------------------------------------------------------------------
 
-COUNTS = "entry string, before int, after int, doc long, n long"
+COUNTS = "entry string, before int, after int, toxic long, clean long"
 
 
 def _entries(word: str) -> list[str]:
@@ -218,43 +251,43 @@ def _entries(word: str) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (text, label): for toxic texts a row for each entry and neighbourhood with a digest of the text, for the
-    others (``doc`` null) a count of documents by entry, summed up before it leaves the task."""
-    import hashlib
+    """From (text, label): for toxic texts a row for each entry and neighbourhood, one of which counts the text for the
+    entry; for the others a count of documents by entry, summed up before it leaves the task."""
     import zlib
 
     kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     for batch in batches:
         for part in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), limit=1 << 22):
             clean: Counter = Counter()
-            rows: set[tuple] = set()
-            documents = 0
+            rows: list[tuple] = []
+            documents = [0, 0]
             for text, toxic in part:
                 words = [w for w in words_of(text or "") if w]
+                documents[bool(toxic)] += 1
                 if not toxic:
-                    documents += 1
                     clean.update({e for w in set(words) for e in _entries(w)})
                     continue
-                doc = int.from_bytes(hashlib.blake2b((text or "").encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
                 marks = [zlib.crc32(w.encode()) - (1 << 31) for w in ["", *words, ""]]
-                rows.add(("", 0, 0, doc, 1))
-                rows.update((e, marks[i], marks[i + 2], doc, 1) for i, w in enumerate(words) for e in _entries(w))
-            out = [*rows, *((e, 0, 0, None, n) for e, n in clean.items()), ("", 0, 0, None, documents)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names=["entry", "before", "after", "doc", "n"])
+                own = {(e, marks[i], marks[i + 2]) for i, w in enumerate(words) for e in _entries(w)}
+                counted: set[str] = set()
+                for e, before, after in own:
+                    rows.append((e, before, after, int(e not in counted), 0))
+                    counted.add(e)
+            out = [*rows, *((e, None, None, 0, n) for e, n in clean.items()), ("", None, None, documents[1], documents[0])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], kind) for c, kind in enumerate(kinds)], names=["entry", "before", "after", "toxic", "clean"])
 
 
 def learn(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Lexicon:
     """The lexicon for documents with labels; rows without a label are ignored. Every labelled text is counted, toxic
     ones of the same text once."""
-    rows = labelled.filter(F.col(label).isNotNull()).select(text, F.col(label).cast("int").alias(label)).mapInArrow(_count, COUNTS)
-    toxic = F.col("doc").isNotNull()
+    rows = labelled.filter(F.col(label).isNotNull()).select(F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label"))
+    # toxic texts are made distinct before anything is counted, so one exchange by entry is enough
+    rows = rows.filter("label = 0").union(rows.filter("label <> 0").distinct())
     # neighbours are counted by small sketches: an entry's state has one size however common it is
     counted = settle(
-        rows.groupBy("entry").agg(
-            F.approx_count_distinct(F.when(toxic, F.col("before")), 0.2).alias("before"),
-            F.approx_count_distinct(F.when(toxic, F.col("after")), 0.2).alias("after"),
-            F.count_distinct("doc").alias("n_toxic"),
-            F.sum(F.when(toxic, 0).otherwise(F.col("n"))).alias("n_clean"),
+        rows.mapInArrow(_count, COUNTS).groupBy("entry").agg(
+            F.approx_count_distinct("before", 0.2).alias("before"), F.approx_count_distinct("after", 0.2).alias("after"),
+            F.sum("toxic").alias("n_toxic"), F.sum("clean").alias("n_clean"),
         ).filter(((F.least("before", "after") >= NEIGHBOURS) & (F.col("n_toxic") >= DOCUMENTS)) | (F.col("entry") == ""))
     )
     total = counted.filter("entry = ''").select("n_toxic", "n_clean").first()
