@@ -100,12 +100,14 @@ def unseen(candidates: DataFrame, known: DataFrame, on: Mapping[str, str]) -> Da
 
 def interval_join(
     facts: DataFrame, spans: DataFrame, key: str, day: str, start: str, end: str, open_end: str,
-    bucket_days: int = 32, clip: tuple[str, str] | None = None, how: str = "inner",
+    bucket_days: int = 32, clip: tuple[str, str] | None = None, how: str = "inner", piece_rows: int | None = None, salts: int = 16,
 ) -> DataFrame:
     """Facts with every span of the same key that covers the fact's day (both ends included).
 
     Spans are cut into pieces of ``bucket_days``, so the join is an equi join on (key, piece): a busy key is
-    split over the calendar, and a fact meets only the spans alive in its own piece. An open end is
+    split over the calendar, and a fact meets only the spans alive in its own piece. With ``piece_rows`` the facts of all
+    pieces are counted, and a piece with more than so many is cut into single days, on which every span that a fact meets is one of its own, and the facts of a day are
+    dealt over ``salts`` tasks; only its spans are copied. An open end is
     ``open_end`` (the day after the run). ``clip`` = (first, last) day of the facts, when known, keeps
     spans such as 1900-9999 from being cut into pieces no fact can meet.
     """
@@ -122,8 +124,26 @@ def interval_join(
         .withColumnRenamed(key, "_key")
     )
     left = facts.withColumn("_piece", piece(F.col(day)))
-    on = (left[key] == cut["_key"]) & (left["_piece"] == cut["_piece"]) & (cut[start] <= left[day]) & (left[day] <= cut[end])
-    return left.join(cut, on, how).drop(left["_piece"]).drop(cut["_piece"]).drop("_key")
+    plain = (left[key] == cut["_key"]) & (left["_piece"] == cut["_piece"]) & (cut[start] <= left[day]) & (left[day] <= cut[end])
+    if piece_rows is None:
+        return left.join(cut, plain, how).drop(left["_piece"]).drop(cut["_piece"]).drop("_key")
+    busy = settle(left.groupBy(F.col(key).alias("_key"), "_piece").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > piece_rows).select("_key", "_piece", F.lit(True).alias("_busy")))
+    first = F.col("_piece") * bucket_days
+    number = lambda d: F.date_diff(d, F.lit("1970-01-01").cast("date")).cast("long")
+    days = F.sequence(F.greatest(number(lo), first), F.least(number(hi), first + bucket_days - 1))
+    none, every = F.lit(-1).cast("long"), F.sequence(F.lit(0), F.lit(salts - 1))
+    # the task number tells copies of one row apart, and a repeated task draws the same salts again
+    draw = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    marked = left.join(busy.withColumnsRenamed({"_key": "_bkey", "_piece": "_bpiece"}), (left[key] == F.col("_bkey")) & (left["_piece"] == F.col("_bpiece")), "left").drop("_bkey", "_bpiece")
+    marked = marked.withColumns({"_day": F.when(F.col("_busy"), number(F.col(day))).otherwise(none), "_salt": F.when(F.col("_busy"), draw).otherwise(F.lit(0))}).drop("_busy")
+    finer = cut.join(busy, ["_key", "_piece"], "left")
+    finer = finer.withColumn("_day", F.explode(F.when(F.col("_busy"), days).otherwise(F.array(none))))
+    finer = finer.withColumn("_salt", F.explode(F.when(F.col("_busy"), every).otherwise(F.array(F.lit(0))))).drop("_busy").select(*cut.columns, "_day", "_salt")
+    on = (marked[key] == finer["_key"]) & (marked["_piece"] == finer["_piece"]) & (marked["_day"] == finer["_day"]) & (marked["_salt"] == finer["_salt"]) & (finer[start] <= marked[day]) & (marked[day] <= finer[end])
+    out = marked.join(finer, on, how)
+    for c in ("_piece", "_day", "_salt"):
+        out = out.drop(marked[c]).drop(finer[c])
+    return out.drop("_key")
 
 
 def role_columns(matched: DataFrame, keys: Sequence[str], role: str, order: Sequence[str], roles: Mapping[str, Mapping[str, str]]) -> DataFrame:

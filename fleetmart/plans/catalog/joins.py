@@ -52,6 +52,16 @@ def _(spark, sf_dir):
     return out.select(long(F.col("event_id")).alias("event_id"), day_text(F.col("start_date")).alias("start_day"), "dbn", "full_name")
 
 
+@query(
+    "interval_join_busy",
+    f"""WITH {_ON_BOARD} SELECT CAST(event_id AS BIGINT) AS event_id, {day_sql('start_date')} AS start_day, dbn, full_name FROM b""",
+)
+def _(spark, sf_dir):
+    """The same where pieces of more than a few facts are cut into days."""
+    out = J.interval_join(ship_days(spark, sf_dir), crew(spark, sf_dir), "imo", "date", "start_date", "end_date", OPEN_END, bucket_days=8, clip=("1990-01-01", "2030-01-01"), piece_rows=3, salts=2)
+    return out.select(long(F.col("event_id")).alias("event_id"), day_text(F.col("start_date")).alias("start_day"), "dbn", "full_name")
+
+
 @query(
     "role_pivot_join",
     f"""WITH {_ON_BOARD}, r AS (SELECT event_id, arg_min(full_name, (start_date, full_name, dbn)) FILTER (WHERE lower(rank) = 'master') AS captain,

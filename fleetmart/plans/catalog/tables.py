@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,10 +15,12 @@ from fleetmart.operators import aggregates as G
 from fleetmart.operators import filters as Fi
 from fleetmart.operators import ledger as L
 from fleetmart.operators import project as P
+from fleetmart.operators.settle import scratch_dir
 from fleetmart.plans.catalog import adapters as A
 from fleetmart.plans.catalog.base import day_sql, day_text, load, long, query, shown, shown_sql, stamp, stamp_sql
 from fleetmart.plans.mapping import Field, Mapping, apply_expressions, apply_mapping, ensure_fields
 from fleetmart.plans.noon import fuel_by_type
+from fleetmart.sources import keyed
 from fleetmart.sources.files import snapshot
 from fleetmart.sources.sinks import merged
 
@@ -456,9 +459,27 @@ def _(spark, sf_dir):
     return out.select(long(F.col("page_id")).alias("page_id"), "size")
 
 
-@query("upsert_orders", f"""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, {shown_sql('CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END')} AS price, CASE WHEN o_orderkey % 10 = 0 THEN 'new' END AS note FROM orders
-UNION ALL SELECT CAST(o_orderkey + 100000000 AS BIGINT), 'U', {shown_sql('o_totalprice + 1')}, 'new' FROM orders WHERE o_orderkey % 10 = 5 UNION ALL SELECT NULL, 'N', 2.5, 'new'""")
+_UPSERT_SQL = f"""SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, {shown_sql('CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice + 1 ELSE o_totalprice END')} AS price, CASE WHEN o_orderkey % 10 = 0 THEN 'new' END AS note FROM orders
+UNION ALL SELECT CAST(o_orderkey + 100000000 AS BIGINT), 'U', {shown_sql('o_totalprice + 1')}, 'new' FROM orders WHERE o_orderkey % 10 = 5 UNION ALL SELECT NULL, 'N', 2.5, 'new'"""
+
+
+@query("upsert_orders", _UPSERT_SQL)
+def _(spark, sf_dir):
+    target, updates = _orders_and_updates(spark, sf_dir)
+    return merged(target, updates, ["o_orderkey"]).withColumn("price", shown(F.col("price")))
+
+
+@query("upsert_touched", _UPSERT_SQL)
 def _(spark, sf_dir):
+    """The same through a keyed table: a first write with every row twice, then the updates, which rewrite what they touch."""
+    target, updates = _orders_and_updates(spark, sf_dir)
+    path = f"{scratch_dir(spark)}/orders-{uuid.uuid4().hex}"
+    keyed.upsert(target.unionByName(target.withColumn("price", F.col("price") + 7)), path, ["o_orderkey"])
+    keyed.upsert(updates, path, ["o_orderkey"])
+    return keyed.read(spark, path).withColumn("price", shown(F.col("price")))
+
+
+def _orders_and_updates(spark, sf_dir):
     base = load(spark, sf_dir, "orders").select(long(F.col("o_orderkey")).alias("o_orderkey"), "o_orderstatus", F.col("o_totalprice").alias("price"))
     n = F.col("o_orderkey")
     moved = F.when(n % 10 == 5, n + 100_000_000).otherwise(n).alias("o_orderkey")
@@ -466,8 +487,7 @@ def _(spark, sf_dir):
     # every update comes twice, the second time dearer; one row of either side has no key
     nobody = base.limit(1).select(F.lit(None).cast("bigint").alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.lit(1.5).alias("price"))
     updates = updates.unionByName(updates.withColumn("price", F.col("price") + 7)).unionByName(nobody.withColumn("price", F.lit(2.5)).withColumn("note", F.lit("new")))
-    out = merged(base.unionByName(nobody), updates, ["o_orderkey"])
-    return out.withColumn("price", shown(F.col("price")))
+    return base.unionByName(nobody), updates
 
 
 @query("snapshot_limit", "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # the older form of timestamps has no minimum and maximum in the files, so scans could not skip by time
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # the JVM never compiles methods above 8000 bytes: better to leave such a stage to per-operator code
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # no call-site capture per Column call: plans with hundreds of expressions are built several times faster

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from fleetmart import schema as S
 from fleetmart.operators import ledger as L
+from fleetmart.operators.cluster import clustered
 from fleetmart.operators.filters import bad_files, quarantine_split
 from fleetmart.operators.project import columns_first
 from fleetmart.operators.settle import settle
@@ -93,7 +94,7 @@ def save_load(df: DataFrame, path: str, load: int, sort_by: Sequence[str] = ("so
     clean, corrupt = quarantine_split(staged)
     for rows, base in ((clean.drop(S.CORRUPT_COLUMN), path), (corrupt, f"{path}_corrupted")):
         out = columns_first(rows, sort_by)
-        overwrite(out.sortWithinPartitions(*[c for c in sort_by if c in out.columns]), f"{base}/{LOAD}={load:08d}")
+        overwrite(clustered(out, sort_by), f"{base}/{LOAD}={load:08d}")
     bad = bad_files(staged, F.col(S.CORRUPT_COLUMN).isNotNull()).withColumn("_bad", F.lit(True))
     seen = staged.select("file_path").distinct().join(bad, "file_path", "left")
     status = F.when(F.col("_bad"), F.lit(S.CORRUPTED)).otherwise(F.lit(S.INGESTED))
@@ -177,3 +178,34 @@ def publish(events: DataFrame, layout: Mapping[str, Sequence[str]], base: str, k
         out[name] = f"{base}/{name}"
         overwrite(t, out[name])
     return out
+
+
+def publish_bucketed(
+    events: DataFrame, layout: Mapping[str, Sequence[str]], base: str, key: str, buckets: int, database: str = "default", keys: Mapping[str, Sequence[str]] | None = None
+) -> dict[str, str]:
+    """:func:`publish` as catalog tables that are bucketed and sorted by the event key where they have it: hub and satellites
+    are then joined and grouped by it without any exchange. Returns {table: its name in the catalog}; another session
+    finds them by :func:`attach_bucketed`."""
+    spark = events.sparkSession
+    overwrite(events, f"{base}/events")
+    saved = spark.read.parquet(f"{base}/events")
+    out = {}
+    for name, t in vault_tables(saved, layout, keys).items():
+        out[name] = f"{database}.{name}"
+        w = t.write
+        if key in t.columns:  # one file for each bucket
+            w = t.repartition(buckets, F.col(f"`{key}`")).write.bucketBy(buckets, key).sortBy(key)
+        w.mode("overwrite").format("parquet").option("path", f"{base}/{name}").saveAsTable(out[name])
+    return out
+
+
+def attach_bucketed(spark: SparkSession, base: str, names: Sequence[str], key: str, buckets: int, database: str = "default") -> dict[str, str]:
+    """Make published tables known to a session whose catalog lacks them."""
+    out = {}
+    for name in names:
+        out[name] = f"{database}.{name}"
+        schema = spark.read.parquet(f"{base}/{name}").schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        clustered = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS" if key in schema.names else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {out[name]} ({columns}) USING parquet {clustered} LOCATION '{base}/{name}'")
+    return out
