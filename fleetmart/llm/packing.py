@@ -3,7 +3,8 @@
 Pieces are dealt at random into groups of about ``GROUP`` pieces; each group is packed by ``ISLANDS`` populations, one
 task each. A solution is a list of bins. Crossover injects the best-filled bins of one parent into the other, takes
 out the bins that hold a piece a second time, and best-fits the displaced pieces again. After each epoch every island
-passes its best solution to the next one (a shuffle by group and island). The fullest bins of the best solution
+passes its best solution to the next one (a shuffle by group and island). Mutation gathers the room of all bins in a
+few that it opens, by exchanges of one piece for one or two, and packs these anew. A population stops at the lower bound. The fullest bins of the best solution
 of a group are final; what lies in the others is dealt into new, larger-than-needed groups for one more round, so that
 few sequences stay open however many groups there were.
 
@@ -38,6 +39,8 @@ ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 3
 POPULATION = 4
+MUTATIONS = 4
+POOL = 4  # bins that the local search opens
 
 # tokens ---------------------------------------------------------------------------------------------------------
 
@@ -61,42 +64,23 @@ def _added(vocabulary_path: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in tokens}
 
 
-class Encoder(dict):
+class Encoder:
     """Token ids of texts as little-endian 32-bit numbers: those of the tokenizers library with the vocabulary's JSON.
-    The JSON's added tokens are found in a text first and have their own ids; what lies between them is encoded by itself.
-
-    No token of the vocabulary's pattern reaches across the boundary between a visible character and a space, so a
-    text is encoded part by part, each part with the space before it, and a part seen before is looked up.
-    """
-
-    MOST = 300_000
-    _RUN = re.compile(r"\s ")
+    The JSON's added tokens are found in a text first and have their own ids; what lies between them is encoded by itself."""
 
     def __init__(self, ranks_path: str, pattern: str):
-        super().__init__()
-        self.encoding = _encoding(ranks_path, pattern)
+        self.encode = _encoding(ranks_path, pattern).encode_ordinary
         added = _added(re.sub(r"\.tiktoken$", ".json", ranks_path))
         self.added = {token: np.array([number], "<u4").tobytes() for token, number in added.items()}
-        longest_first = sorted(map(re.escape, added), key=len, reverse=True)
-        self._split = re.compile(f"({'|'.join(longest_first)})").split if added else lambda text: [text]
-
-    def __missing__(self, part: str) -> bytes:
-        found = np.array(self.encoding.encode_ordinary(part), "<u4").tobytes()
-        if len(part) < 40:
-            self[part] = found
-        return found
+        self._split = re.compile(f"({'|'.join(sorted(map(re.escape, added), key=len, reverse=True))})").split  # longest first
 
     def ids(self, text: str) -> bytes:
-        if len(self) > self.MOST:
-            self.clear()
+        if not any(token in text for token in self.added):
+            return self._between(text)
         return b"".join([self.added[t] if n % 2 else self._between(t) for n, t in enumerate(self._split(text))])
 
     def _between(self, text: str) -> bytes:
-        if text[:1] == " " or self._RUN.search(text):  # white space next to white space
-            return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
-        parts = text.split(" ")
-        first = self[parts[0]] if parts[0] else b""
-        return first + b"".join([self[" " + p] for p in parts[1:]])
+        return np.array(self.encode(text), "<u4").tobytes()
 
 
 PIECES = "piece int, start long, length int, ids_crc32 long, slot long, ids binary"
@@ -182,6 +166,50 @@ def crossover(sizes: list[int], capacity: int, giver: Bins, taker: Bins, rng: np
     return fit.bins
 
 
+def drained(sizes: list[int], capacity: int, bins: Bins, rng: np.random.Generator) -> Bins:
+    """Local search of a child: the least filled bin and some without a piece of more than half a bin are emptied into a
+    pool. Every other bin with room gives one piece for one or two of the pool's that fill it better, so all room gathers
+    in the pool, whose light pieces are then packed anew."""
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    last = min(range(len(bins)), key=fills.__getitem__)
+    light = [n for n, b in enumerate(bins) if 2 * max(sizes[i] for i in b) <= capacity] or [last]
+    pool = {last, *(light[int(k)] for k in rng.integers(0, len(light), POOL))}
+    held = sorted((sizes[i], i) for n in pool for i in bins[n])
+    bins = [list(b) for b in bins]
+    for n in sorted((n for n in range(len(bins)) if n not in pool and fills[n] < capacity), key=fills.__getitem__):
+        while held and (room := capacity - fills[n]):
+            k = bisect_left(held, (room + 1, -1)) - 1
+            best = (held[k][0], None, (k,)) if k >= 0 else (0, None, ())
+            for i in bins[n]:
+                if best[0] == room:
+                    break
+                own = sizes[i]
+                if 2 * own > capacity:
+                    continue
+                k = bisect_left(held, (own + room + 1, -1)) - 1
+                if k >= 0 and held[k][0] - own > best[0]:
+                    best = (held[k][0] - own, i, (k,))
+                lo, hi = 0, min(k, len(held) - 1)
+                while lo < hi:  # two pieces whose sum comes nearest from below
+                    gain = held[lo][0] + held[hi][0] - own
+                    if gain > room:
+                        hi -= 1
+                    else:
+                        if gain > best[0]:
+                            best = (gain, i, (lo, hi))
+                        lo += 1
+            gain, out, given = best
+            if not gain:
+                break
+            for k in reversed(given):
+                bins[n].append(held.pop(k)[1])
+            if out is not None:
+                bins[n].remove(out)
+                insort(held, (sizes[out], out))
+            fills[n] += gain
+    return [b for n, b in enumerate(bins) if n not in pool] + packed(sizes, capacity, [i for _, i in reversed(held)])
+
+
 def evolve(sizes: list[int], capacity: int, found: list[Bins], seed: int, generations: int = GENERATIONS, population: int = POPULATION) -> Bins:
     """The best solution of one island after some generations, beginning with ``found``."""
     rng = np.random.default_rng(seed)
@@ -200,9 +228,11 @@ def evolve(sizes: list[int], capacity: int, found: list[Bins], seed: int, genera
         if len(people[0]) == least:  # no solution has fewer
             break
         a, b = rng.choice(len(people), 2, replace=False).tolist()
-        child = crossover(sizes, capacity, people[min(a, b)], people[max(a, b)], rng)
+        child = drained(sizes, capacity, crossover(sizes, capacity, people[min(a, b)], people[max(a, b)], rng), rng)
         people[-1] = min(people[-1], child, key=rank)
         people.sort(key=rank)
+        for _ in range(MUTATIONS):
+            people[0] = min(people[0], drained(sizes, capacity, people[0], rng), key=rank)
     return people[0]
 
 
