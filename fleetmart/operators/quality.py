@@ -147,6 +147,12 @@ def metrics(df: DataFrame, suite: Suite, run_name: str, run_time: str) -> DataFr
             times = df.filter(F.col(e.column).isNotNull()).groupBy(e.column).agg(F.count(F.lit(1)).alias("_n"))
             failed = times.agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(f"_fail{i}"))
             one = one.drop(f"_fail{i}").join(failed.withColumn("_one", F.lit(1)), "_one")  # one row each
+    return report(one, suite, types, run_name, run_time)
+
+
+def report(one: DataFrame, suite: Suite, types: Mapping[str, str], run_name: str, run_time: str) -> DataFrame:
+    """The result rows from one row of figures: ``_n``, and for each expectation ``_miss<i>``, ``_fail<i>`` and, of means,
+    ``_mean<i>``."""
 
     def row(i: int, e: Expectation) -> Column:
         missing, failed = F.col(f"_miss{i}"), F.col(f"_fail{i}")
