@@ -13,6 +13,7 @@ from fleetmart import schema as S
 from fleetmart.operators import cluster as C
 from fleetmart.operators import joins as J
 from fleetmart.operators import vault as Va
+from fleetmart.operators.settle import shared_default
 from fleetmart.plans import ingest as In
 from fleetmart.sources import sinks as K
 from fleetmart.sources import snapshots as Sn
@@ -143,3 +144,11 @@ def test_two_refreshes_at_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(V, "write_version", rival)
     assert Sn.refresh(spark, table, led, copy) == []
     assert Sn.read(spark, copy).count() == 3 and V.versions(spark, copy) == [1]
+
+
+def test_scratch_folder_of_each_machine_is_refused():
+    assert shared_default("file:/w/", "local[8]") == "file:/w/_scratch" and shared_default("/w", "local") == "/w/_scratch"
+    assert shared_default("hdfs://n/w", "yarn") == "hdfs://n/w/_scratch"
+    for warehouse, master in (("file:/w", "yarn"), ("/w", "spark://h:7077"), ("file:/w", "local-cluster[3,2,3000]")):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_default(warehouse, master)
