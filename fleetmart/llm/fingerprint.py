@@ -7,7 +7,7 @@ hashed together. So a part agrees between two texts if it selects the same k-mer
 the list of its parts, 16 bits each in hexadecimal; a part without a k-mer is zero. The likeness of two fingerprints is
 the share of equal parts among those that either has.
 
-Defined results: a null text is empty; a text of fewer than K atoms has one k-mer of what there is; a text without
+Defined results: ids are numbers, in whose order the next document stands; a null text is empty; a text of fewer than K atoms has one k-mer of what there is; a text without
 atoms has the empty fingerprint (all zero), which is like itself (1) and like nothing else (0); equal texts have equal
 fingerprints; an empty table gives an empty table; further columns are ignored.
 """

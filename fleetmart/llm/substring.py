@@ -12,7 +12,7 @@ in the same bucket, and passes on the smallest document of every window; these f
 The list of spread minimisers holds the ``SPREAD`` most frequent ones at most, which bounds the broadcast; it decides
 only where rows go, never what is compared.
 
-Defined results: null texts and texts of fewer words than a window lose nothing; windows are judged on the input;
+Defined results: ids are numbers; null texts and texts of fewer words than a window lose nothing; windows are judged on the input;
 repeated rows of one id don't remove each other (no smaller id); rows without an id lose nothing and remove nothing;
 an empty table gives an empty table; further columns are kept and none of their names clashes.
 """

@@ -11,7 +11,7 @@ records; it is followed by pointer jumping: within each block of the file first,
 entry points of blocks, doubling the reach in each round. What the chain doesn't reach is payload, and goes back into
 the record around it.
 
-Defined results: a null payload is empty; pages with the same id get a record each, told apart by a number; empty
+Defined results: page ids are whole numbers; a null payload is empty; pages with the same id get a record each, told apart by a number; empty
 tables give empty tables; further columns are ignored; a file that ends within a record gives what is there; bytes
 before a file's first record that are no record make the file unreadable and give no rows.
 """
