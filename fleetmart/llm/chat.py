@@ -10,7 +10,7 @@ a +1 at the start and a -1 at the end of each such segment.
 Turns are encoded where their rows lie; conversations then meet in one shuffle, ordered by turn, and are put together
 as they stream by, one at a time.
 
-Defined results: a null text or role is empty; rows with the same turn number go by role and a digest of the text; repeated rows are
+Defined results: a null text or role is empty; rows with the same turn number go by role, then text; repeated rows are
 turns of their own; rows without a conversation id are one conversation with a null id; an empty table gives
 an empty table; further columns are ignored.
 """
@@ -104,8 +104,7 @@ def format(conversations: DataFrame, id: str = "conv_id", turn: str = "turn", ro
             roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             heads = [codec.encode(escape_role(r) + "\n").tobytes() for r in roles]
             bodies = [codec.encode(escape(t)).tobytes() for t in texts]
-            keys = [hashlib.md5(t.encode()).hexdigest() for t in texts]  # only to order rows of the same turn
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(keys, pa.string()), pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())], names=encoded.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())], names=encoded.names)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         newline = Codec(tokenizer).encode("\n")
