@@ -155,7 +155,9 @@ def nodes(rows: DataFrame, members: DataFrame, height: int = HEIGHT) -> DataFram
     grouped = paths.groupBy("d", "x", "y").agg(F.min("conv").alias("owner"), F.count(F.lit(1)).alias("n_convs"), F.max("chars").alias("chars"), F.count_if("last").alias("ends"))
     paths = settle(paths.select("conv", "d", "x", "y", "last").hint("merge").join(grouped.hint("merge"), ["d", "x", "y"]).select("conv", "d", (F.col("d") - 1).alias("i"), "owner", "last", "n_convs", "chars", "ends"))
 
-    root = members.agg(F.min("conv").alias("root"), F.count(F.lit(1)).alias("n_convs"))
+    kind = members.schema["conv"].dataType
+    root, n_members = members.agg(F.min("conv"), F.count(F.lit(1))).first()
+    root_name = F.lit(root).cast(kind)
     turnless = members.hint("merge").join(paths.select("conv").distinct().hint("merge"), "conv", "left_anti")
     parent = F.lag("owner").over(Window.partitionBy("conv").orderBy("i"))
     named = settle(paths.withColumn("parent", parent).filter("conv = owner").select("conv", "i", "d", "parent", "n_convs", (F.col("n_convs") == F.col("ends")).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("chars")).alias("saved_tokens")))
@@ -164,12 +166,11 @@ def nodes(rows: DataFrame, members: DataFrame, height: int = HEIGHT) -> DataFram
     children = named.filter("i > 0").groupBy(F.col("parent").alias("conv"), (F.col("i") - 1).alias("i")).agg(F.count(F.lit(1)).alias("n_children"))
     below = totals.filter("i = 0").agg(F.count(F.lit(1)).alias("n_children"), *(F.sum(s).alias(s) for s in sums))
 
-    tops = F.broadcast(root)  # one row
-    ends = settle(paths.filter("last").select("owner", "d", "conv").unionByName(turnless.crossJoin(tops).select(F.col("root").alias("owner"), F.lit(0).cast("long").alias("d"), "conv")))
-    inner = named.drop(*sums).join(totals.hint("merge"), ["conv", "i"]).join(children.hint("merge"), ["conv", "i"], "left").crossJoin(tops.select("root"))
-    inner = inner.select("conv", "d", F.coalesce("parent", "root").alias("parent"), "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), *sums)
-    top = root.filter("root IS NOT NULL").crossJoin(F.broadcast(below)).select(
-        F.col("root").alias("conv"), F.lit(0).cast("long").alias("d"), F.lit(None).cast(members.schema["conv"].dataType).alias("parent"), "n_convs", "n_children",
+    ends = settle(paths.filter("last").select("owner", "d", "conv").unionByName(turnless.select(root_name.alias("owner"), F.lit(0).cast("long").alias("d"), "conv")))
+    inner = named.drop(*sums).join(totals.hint("merge"), ["conv", "i"]).join(children.hint("merge"), ["conv", "i"], "left")
+    inner = inner.select("conv", "d", F.coalesce("parent", root_name).alias("parent"), "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"), *sums)
+    top = below.filter(F.lit(root is not None)).select(
+        root_name.alias("conv"), F.lit(0).cast("long").alias("d"), F.lit(None).cast(kind).alias("parent"), F.lit(n_members).cast("long").alias("n_convs"), "n_children",
         F.coalesce(F.when(F.col("n_children") > 0, F.col("n_leaves")), F.lit(1)).alias("n_leaves"), F.coalesce("saved_tokens", F.lit(0)).alias("saved_tokens"),
     )
     found = inner.union(top).join(digests(ends).select(F.col("owner").alias("conv"), "d", "sha").hint("merge"), ["conv", "d"], "left")
