@@ -27,7 +27,7 @@ columns don't matter. Sets are told apart by a 64-bit digest and the words of sh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetmart.llm.neardup import components, shingle_sets
-from fleetmart.llm.words import chunks, mix, utf8
+from fleetmart.llm.words import chunks, mix, unzipped, utf8, zipped
 from fleetmart.operators.settle import settle
 
 SHINGLE = 5
@@ -55,10 +55,14 @@ def _digest(hashes: np.ndarray) -> int:
     return int(mix(hashes).sum(dtype=_U).view(np.int64))
 
 
-def _sets(batch: pa.RecordBatch, at: int, size: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Row numbers and shingle sets of the texts in column ``at``, chunk by chunk."""
-    for part in chunks(((i, t.as_py()) for i, t in enumerate(batch.column(at))), at=1, limit=CHUNK):
-        yield [i for i, _ in part], shingle_sets([utf8(t) for _, t in part], size)
+def _sets(texts: Iterable[bytes], size: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Row numbers and shingle sets of the texts, chunk by chunk."""
+    for part in chunks(enumerate(texts), at=1, limit=CHUNK):
+        yield [i for i, _ in part], shingle_sets([t for _, t in part], size)
+
+
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    return (utf8(t.as_py()) for t in column)
 
 
 def measured(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
@@ -67,7 +71,7 @@ def measured(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, sets in _sets(batch, 2, size):
+            for at, sets in _sets(_texts(batch.column(2)), size):
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).take(pa.array(at)) for c in (0, 1)), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) for s in sets], pa.int64())], names=schema.names
                 )
@@ -85,7 +89,7 @@ def _packed(batches: Iterator[pa.RecordBatch], size: int, ranges: int) -> Iterat
     chunk have (``known``) and how many they have alone (``counts``), the latter hashes set by set (``single``), and the
     former, each once (``multi``)."""
     for batch in batches:
-        for _, found in _sets(batch, 0, size):
+        for _, found in _sets(_texts(batch.column(0)), size):
             distinct = {_digest(s): s for s in found if len(s)}
             if not distinct:
                 continue
@@ -153,14 +157,14 @@ def shared(docs: DataFrame, text: str, size: int, total: int) -> DataFrame:
 
 
 def point_sets(docs: DataFrame, points: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """(a, n, s) of the points (a, n, id, version): their sets as sorted arrays."""
+    """(a, n, s) of the points (a, n, id, version): their sets as sorted arrays. The texts go to their points compressed."""
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    rows = rows.join(points.select("id", "version", "a", "n").hint("merge"), ["id", "version"]).dropDuplicates(["id", "version"])
+    rows = zipped(rows, "text").join(points.select("id", "version", "a", "n").hint("merge"), ["id", "version"]).dropDuplicates(["id", "version"])
     schema = T._parse_datatype_string("a long, n long, s array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, sets in _sets(batch, 2, size):
+            for at, sets in _sets(unzipped(batch.column(2)), size):
                 offsets = pa.array(np.cumsum([0, *(len(s) for s in sets)]), pa.int32())
                 s = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(at)) for c in (0, 1)), s], names=schema.names)
@@ -308,7 +312,7 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SH
     firsts = settle(points.groupBy("a").agg(F.min(F.struct("id", "version", "n")).alias("f")).select("a", "f.*"))
     near = firsts.join(shared(docs.filter(F.col(id).isNotNull()), text, size, total).hint("merge"), "a").filter(100 * F.col("m") >= percent * F.col("n"))
     sets = settle(point_sets(docs, near, id, text, size))
-    found = settle(met(anchors(sets, percent), sets))
+    found = settle(met(settle(anchors(sets, percent)), sets))
     links = settle(found.filter(alike(percent)).select("a", F.col("c").alias("b")))
     apart = blocks(settle(boundary(found, components(links), percent)), percent, region)
     apart = apart.hint("merge").join(sets.select("a", "s").hint("merge"), "a")

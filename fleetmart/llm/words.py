@@ -10,6 +10,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 CHUNK = 1 << 20
 
@@ -39,6 +43,27 @@ def utf8(text: str | None) -> bytes:
     return text.encode("utf-8", "replace") if text else b""
 
 
+def zipped(docs: DataFrame, text: str) -> DataFrame:
+    """The same rows with compressed texts, for a shuffle; null stays null. :func:`unzipped` reads them."""
+    at = docs.columns.index(text)
+    schema = T.StructType([T.StructField(text, T.BinaryType()) if i == at else f for i, f in enumerate(docs.schema.fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[at] = pa.array([None if t is None else zstd.compress(utf8(t)) for t in columns[at].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def unzipped(column: pa.Array) -> Iterator[bytes]:
+    """The texts of :func:`zipped`, in UTF-8; null gives an empty one."""
+    zstd = zstandard.ZstdDecompressor()
+    return (zstd.decompress(t.as_py()) if t.is_valid else b"" for t in column)
+
+
 def chunks(rows: Iterable[tuple], at: int = 0, limit: int = CHUNK) -> Iterator[list[tuple]]:
     """Rows in lists whose texts (element ``at``) hold about ``limit`` characters."""
     held, size = [], 0

@@ -142,3 +142,14 @@ def test_region_recursion(seed, monkeypatch):
             got[find(got, link["a"])] = find(got, link["b"])
         assert len({find(got, x) for x in range(k)}) == len({find(want, x) for x in range(k)}) < k
         assert all(find(want, link["a"]) == find(want, link["b"]) for link in links)
+
+
+def test_texts_travel_compressed_and_anchors_are_stored_once(spark, monkeypatch):
+    texts = [f"w{i} " * 3 + "of one long common passage of words that several texts have in one place " * 5 for i in range(40)]
+    table, stored, sent, settle, zipped = docs(spark, [*texts, None, ""]), [], [], jaccard.settle, jaccard.zipped
+    monkeypatch.setattr(jaccard, "settle", lambda df: stored.append(df.columns) or settle(df))
+    monkeypatch.setattr(jaccard, "zipped", lambda df, text: sent.append(zipped(df, text)) or sent[-1])
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(table).collect()) == brute(list(enumerate([*texts, None, ""])))
+    assert ["h", "a", "n", "m"] in stored and len(sent) == 1
+    held = {r.id: r.text for r in sent[0].collect()}
+    assert held[40] is None and sum(map(len, filter(None, held.values()))) < sum(map(len, texts)) / 2
