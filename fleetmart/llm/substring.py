@@ -4,7 +4,8 @@ Super-k-mer partitioning. The minimiser of a window is the smallest hash of its
 windows with the same minimiser travel as one packed string to the bucket of that minimiser; equal windows have equal
 minimisers, so they meet there. The super-k-mers that a task has for a bucket go in one compressed row. In the
 bucket they are sorted by minimiser, document and position; of a minimiser with several documents the windows are
-compared by their words, and every occurrence after the smallest document is marked.
+compared by their words, and every occurrence after the smallest document is marked. A row holds three bytes of each
+minimiser: they only bring together what is then compared by its words. Texts that meet their marks travel compressed.
 
 A minimiser inside a passage that very many documents share would make its bucket large. Such minimisers are counted
 first and their super-k-mers spread over several buckets by document. A bucket then marks what has a smaller document
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetmart.llm.words import SPACED, Words, chunks, cut, kgrams, mix, sliding_min, utf8
+from fleetmart.llm.words import SPACED, Words, chunks, cut, kgrams, mix, sliding_min, unzipped, utf8, zipped
 from fleetmart.operators.settle import settle
 
 WINDOW = 13
@@ -95,15 +96,26 @@ class Spread:
         return np.where(self.minis[at] == mini, self.shards[at], 1)
 
 
-def _blob(runs: list[bytes], *columns: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([len(runs).to_bytes(8, "little"), *(c.astype(np.int64).tobytes() for c in columns), b"\n".join(runs)]))
+def _blob(runs: list[bytes], mini: np.ndarray, hot: np.ndarray, ids: np.ndarray, versions: np.ndarray, at: np.ndarray) -> bytes:
+    """Numbers and words in frames of their own: each compresses better without the other."""
+    key = np.ascontiguousarray((mini & _U(0xFFFFFF)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+    numbers = b"".join([key.tobytes(), np.packbits(hot).tobytes(), *(c.astype(np.int64).tobytes() for c in (ids, versions, at))])
+    zstd = zstandard.ZstdCompressor(level=3)
+    frames = [zstd.compress(numbers), zstd.compress(b"\n".join(runs))]
+    return b"".join([len(runs).to_bytes(8, "little"), len(frames[0]).to_bytes(8, "little"), *frames])
 
 
-def _unblob(blob: bytes, columns: int) -> tuple[list[np.ndarray], list[bytes]]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n = int.from_bytes(data[:8], "little")
-    numbers = np.frombuffer(data, np.int64, n * columns, 8).reshape(columns, n)
-    return list(numbers), data[8 + 8 * n * columns :].split(b"\n")
+def _unblob(blob: bytes) -> tuple[list[np.ndarray], list[bytes]]:
+    """Three bytes of the minimisers, whether they are spread, ids, versions, positions; the words."""
+    n, size = (int.from_bytes(blob[i : i + 8], "little") for i in (0, 8))
+    zstd = zstandard.ZstdDecompressor()
+    numbers, words = zstd.decompress(blob[16 : 16 + size]), zstd.decompress(blob[16 + size :])
+    key = np.zeros((n, 4), np.uint8)
+    key[:, :3] = np.frombuffer(numbers, np.uint8, 3 * n).reshape(n, 3)
+    bits = -(-n // 8)
+    hot = np.unpackbits(np.frombuffer(numbers, np.uint8, bits, 3 * n), count=n).astype(bool)
+    rest = np.frombuffer(numbers, np.int64, 3 * n, 3 * n + bits).reshape(3, n)
+    return [key.view("<u4").ravel(), hot, *rest], words.split(b"\n")
 
 
 def _sent(batches: Iterator[pa.RecordBatch], window: int, spread, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -115,30 +127,31 @@ def _sent(batches: Iterator[pa.RecordBatch], window: int, spread, buckets: int)
             if not len(runs.mini):
                 continue
             ids, versions = np.array([r[1] for r in part], np.int64), np.array([r[2] for r in part], np.int64)
-            shard = mix(ids[runs.doc].view(_U)) % spread.value.of(runs.mini).astype(_U)
+            shards = spread.value.of(runs.mini)
+            shard = mix(ids[runs.doc].view(_U)) % shards.astype(_U)
             bucket = (mix(runs.mini + shard * _U(0x9E3779B97F4A7C15)) % _U(buckets)).astype(np.int64)
             order, packed = np.argsort(bucket, kind="stable"), runs.packed()
             edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
             blobs = []
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 own = order[lo:hi]
-                blobs.append(_blob([packed[i] for i in own.tolist()], runs.mini[own].view(np.int64), ids[runs.doc[own]], versions[runs.doc[own]], runs.at[own]))
+                blobs.append(_blob([packed[i] for i in own.tolist()], runs.mini[own], shards[own] > 1, ids[runs.doc[own]], versions[runs.doc[own]], runs.at[own]))
             yield pa.RecordBatch.from_arrays([pa.array(bucket[order[edges[:-1]]]), pa.array(blobs, pa.binary())], names=["bucket", "runs"])
 
 
 FOUND = "id long, version long, start long, n long, w_a long, w_b long"
 
 
-def _compared(blobs: list[bytes], window: int, spread: Spread) -> Iterator[tuple]:
+def _compared(blobs: list[bytes], window: int) -> Iterator[tuple]:
     """Marks (id, version, first window, windows, null, null); for spread minimisers also the smallest document's
     occurrences of each window, with a 128-bit digest of the window in place of the nulls."""
-    parts = [_unblob(b, 4) for b in blobs]
-    mini, ids, versions, at = (np.concatenate([p[0][c] for p in parts]) for c in range(4))
+    parts = [_unblob(b) for b in blobs]
+    mini, spread, ids, versions, at = (np.concatenate([p[0][c] for p in parts]) for c in range(5))
     texts = [t for p in parts for t in p[1]]
     order = np.lexsort((at, versions, ids, mini))
     edges = np.flatnonzero(np.diff(mini[order], prepend=mini[order[0]] ^ 1, append=mini[order[-1]] ^ 1))
     lo, hi = edges[:-1], edges[1:]
-    hot = spread.of(mini[order[lo]].view(_U)) > 1
+    hot = np.logical_or.reduceat(spread[order], lo)
     several = (ids[order[lo]] != ids[order[hi - 1]]) | hot
     for s, e, passes in zip(lo[several].tolist(), hi[several].tolist(), hot[several].tolist(), strict=True):
         smallest: dict[bytes, int] = {}
@@ -164,12 +177,12 @@ def _compared(blobs: list[bytes], window: int, spread: Spread) -> Iterator[tuple
                 yield id, version, start + n - run, run, None, None
 
 
-def _counted(batches: Iterator[pa.RecordBatch], window: int, spread) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Rows arrive ordered by bucket; each bucket is compared as soon as the next one begins."""
     kinds = pa.schema([(name, pa.int64()) for name in ("id", "version", "start", "n", "w_a", "w_b")])
     rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
     for _, own in groupby(rows, key=lambda r: r[0]):
-        found = list(_compared([r[1] for r in own], window, spread.value))
+        found = list(_compared([r[1] for r in own], window))
         for lo in range(0, len(found), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found[lo : lo + 100_000], strict=True)], schema=kinds)
 
@@ -186,7 +199,7 @@ def marks(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int =
     spread = spark.sparkContext.broadcast(Spread([m for m, _ in listed], [n for _, n in listed]))
     buckets = max(3 * size // BUCKET_BYTES, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     sent = rows.mapInArrow(lambda it: _sent(it, window, spread, buckets), "bucket long, runs binary")
-    found = settle(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _counted(it, window, spread), FOUND))
+    found = settle(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _counted(it, window), FOUND))
     local = found.filter("w_a IS NULL").drop("w_a", "w_b")
     passed = found.filter("w_a IS NOT NULL")
     smallest = passed.groupBy("w_a", "w_b").agg(F.min("id").alias("smallest"))
@@ -203,11 +216,12 @@ def _flags(n_words: int, found: list[dict] | None, window: int) -> np.ndarray:
 
 
 def _with_marks(docs: DataFrame, id: str, text: str, window: int) -> DataFrame:
-    """The documents with a last column that holds the marks of their text."""
-    names = {n: next(c for c in (n + "_" * k for k in range(len(docs.columns) + 1)) if c not in docs.columns) for n in ("mark_id", "mark_version", "marks")}
+    """The documents, their texts compressed, with a last column that holds the marks of their text."""
+    names = {n: next(c for c in (n + "_" * k for k in range(len(docs.columns) + 1)) if c not in docs.columns) for n in ("mark_id", "mark_version", "marks", "own_id", "own_version")}
     found = marks(docs, id, text, window).groupBy(F.col("id").alias(names["mark_id"]), F.col("version").alias(names["mark_version"])).agg(F.collect_list(F.struct("start", "n")).alias(names["marks"]))
-    keys = (docs[id].cast("long") == found[names["mark_id"]]) & (F.xxhash64(docs[text]) == found[names["mark_version"]])
-    return docs.join(found.hint("merge"), keys, "left").select(*docs.columns, names["marks"])
+    own = zipped(docs.withColumns({names["own_id"]: F.col(id).cast("long"), names["own_version"]: F.xxhash64(text)}), text)
+    keys = (F.col(names["own_id"]) == F.col(names["mark_id"])) & (F.col(names["own_version"]) == F.col(names["mark_version"]))
+    return own.join(found.hint("merge"), keys, "left").select(*docs.columns, names["marks"])
 
 
 def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -217,8 +231,8 @@ def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for t, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = utf8(t).split()
+            for t, found in zip(unzipped(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                words = t.split()
                 gone = _flags(len(words), found, window)
                 kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if found else words
                 out.append((len(words), int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()))
@@ -236,15 +250,16 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            texts, found = list(unzipped(batch.column(at))), batch.column(batch.num_columns - 1).to_pylist()
             keep = np.ones(batch.num_rows, bool)
             for i, f in enumerate(found):
                 if f:
-                    words = Words.of([data := utf8(texts[i])], SPACED)
+                    words = Words.of([texts[i]], SPACED)
                     gone = _flags(len(words.start), f, window)
-                    texts[i], keep[i] = cut(data, words, 0, 0, gone).decode("utf-8"), not gone.all()
+                    texts[i], keep[i] = cut(texts[i], words, 0, 0, gone), not gone.all()
+            texts = [None if null else t.decode("utf-8") for t, null in zip(texts, batch.column(at).is_null().to_pylist(), strict=True)]
             columns = list(batch.columns)[:-1]
-            columns[at] = pa.array(texts, batch.schema.field(at).type)
+            columns[at] = pa.array(texts, pa.string())
             if counted is not None:
                 old = batch.column(counted).to_pylist()
                 columns[counted] = pa.array([len(t) if f else n for n, t, f in zip(old, texts, found, strict=True)], batch.schema.field(counted).type)

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 import corpus_pipeline
 from fleetmart.llm import chat, decontaminate, fingerprint, licenses, neardup, packing, quality, substring, toxicity, warc
@@ -413,6 +414,26 @@ def test_substring(spark, awkward, monkeypatch, hot):
     assert substring.digests(awkward.limit(0)).isEmpty() and substring.remove(awkward.limit(0)).isEmpty()
 
 
+def test_substring_rows_are_small(spark, monkeypatch):
+    rng = random.Random(13)
+    texts, joined, blob, zipped = [prose(rng, 200, 3000) for _ in range(300)], [], substring._blob, substring.zipped
+    ids, mini = np.arange(10), np.array([*range(9), 1 << 60], np.uint64)
+    (key, hot, *rest), runs = substring._unblob(blob([b"a b"] * 10, mini, ids == 3, ids, -ids, ids * 7))
+    assert key.tolist() == [*range(9), 0] and hot.tolist() == (ids == 3).tolist() and [c.tolist() for c in rest] == [ids.tolist(), (-ids).tolist(), (ids * 7).tolist()] and runs == [b"a b"] * 10
+    run = substring.SuperKmers([t.encode() for t in texts], 13)
+    packed = run.packed()
+    size = len(blob(packed, run.mini, run.mini == 0, run.doc, rng_versions(rng, run.doc), run.at))
+    assert size < len(zstandard.compress(b"\n".join(packed), 3)) + 14 * len(packed)
+    monkeypatch.setattr(substring, "zipped", lambda df, text: joined.append(zipped(df, text)) or joined[-1])
+    assert sorted(map(tuple, substring.digests(docs(spark, texts)).collect())) == brute_substring(docs(spark, texts).collect())
+    assert sum(len(r.text) for r in joined[0].collect()) < sum(map(len, texts)) * 0.7
+
+
+def rng_versions(rng, doc):
+    of = [rng.getrandbits(62) for _ in range(int(doc.max()) + 1)]
+    return np.array([of[d] for d in doc], np.int64)
+
+
 def test_super_kmers_hold_every_window():
     rng = random.Random(12)
     texts = [prose(rng, n, 50).encode() for n in (5, 13, 200, 0, 40)]
