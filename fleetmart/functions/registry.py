@@ -53,8 +53,26 @@ def in_dependency_order(chosen: Mapping[str, Formula]) -> list[list[str]]:
     return waves
 
 
+WIDE = 24  # columns that one piece of generated code calculates
+
+
+def with_columns(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
+    """``withColumns``, where they are many in several steps that are compiled apart: the JVM leaves methods above 8000 bytes
+    uncompiled, and the code of all steps is one method otherwise. Coalescing to more partitions than there are moves no row."""
+    if len(new) <= WIDE:
+        return df.withColumns(dict(new))
+    old = df.columns
+    held = {c: f"{c}__{i}_new" for i, c in enumerate(new)}  # every column reads the old values
+    columns = [(held[c], x) for c, x in new.items()]
+    for i in range(0, len(columns), WIDE):
+        df = df.withColumns(dict(columns[i : i + WIDE])).coalesce(1 << 20)
+    of = {c.lower(): c for c in new}
+    kept = [F.col(f"`{held[of[c.lower()]]}`").alias(c) if c.lower() in of else F.col(f"`{c}`") for c in old]
+    return df.select(*kept, *[F.col(f"`{h}`").alias(c) for c, h in held.items() if c.lower() not in {o.lower() for o in old}])
+
+
 def apply_formulas(df: DataFrame, fields: Iterable[str], domain: str, states: Mapping[str, Mapping] | None = None, types: Mapping[str, object] | None = None) -> DataFrame:
-    """Add derived columns, one ``withColumns`` per dependency wave."""
+    """Add derived columns, one :func:`with_columns` per dependency wave."""
     states, types = states or {}, types or {}
     chosen = {f: find(f, domain) for f in fields}
     for wave in in_dependency_order(chosen):
@@ -67,5 +85,5 @@ def apply_formulas(df: DataFrame, fields: Iterable[str], domain: str, states: Ma
         for f in wave:
             col = chosen[f].build(c, states.get(f, {}))
             new[f] = col.try_cast(types[f]) if f in types else col
-        df = df.withColumns(new)
+        df = with_columns(df, new)
     return df

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetmart.functions import columns as X
 from fleetmart.functions import dates as D
 from fleetmart.functions import strings as St
-from fleetmart.functions.registry import apply_formulas
+from fleetmart.functions.registry import apply_formulas, with_columns
 from fleetmart.operators import aggregates as G
 from fleetmart.operators import filters as Fi
 from fleetmart.operators import ledger as L
@@ -386,7 +386,8 @@ def _(spark, sf_dir):
     numbers += ["act_taxi_in_fuel", "act_zero_fuel_weight_kg", "planned_taxi_time", "taxi_in_minutes", "taxi_out_minutes", "plnd_flight_time_hs", "actual_flight_time_hs"]
     fleet = {"vehicle": {"B787": ["G-0", "G-1"], "A350": ["G-2"]}}
     out = apply_formulas(src, [*numbers, "act_taxi_in_fuel_engines", "vehicle", "event_id"], "aviation", fleet)
-    return out.select("l_orderkey", "l_partkey", "l_linenumber", "vehicle", "event_id", *[shown(F.col(c)).alias(c) for c in numbers])
+    out = out.select("l_orderkey", "l_partkey", "l_linenumber", "vehicle", "event_id", *numbers)
+    return with_columns(out, {c: shown(F.col(c)) for c in numbers}).select("l_orderkey", "l_partkey", "l_linenumber", "vehicle", "event_id", *numbers)
 
 
 # orders as ship reports: id, identifier, hours, arrival, engine sums, constants by ship

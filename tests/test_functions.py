@@ -124,3 +124,17 @@ def test_names():
     assert P.unique_names(["x", "y", "x", "z", "y"]) == ["x", "y", "x_1", "z", "y_1"]
     assert P.unique_names(["x", "x_1", "x"]) == ["x", "x_1", "x_2"]
     assert P.canonical_name("  Fuel   Burn (kg) ") == "fuel_burn_kg"
+
+
+def test_wide_steps_are_compiled_and_read_the_old_values(spark):
+    from fleetmart.functions.registry import with_columns
+    from fleetmart.plans.catalog import all_queries
+
+    df = spark.createDataFrame([(1.0, "x"), (None, "y"), (1.0, "x")], "a double, `b.c` string")
+    new = {f"n{i}": F.col("a") + i for i in range(60)} | {"A": F.col("a") * 2, "last": F.col("a") * 3}
+    got, want = with_columns(df, new), df.withColumns(new)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = all_queries()["formula_flight_events"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    pieces = getattr(getattr(debug, "package$"), "MODULE$").codegenStringSeq(plan)
+    assert max(pieces.apply(i)._3().maxMethodCodeSize() for i in range(pieces.size())) < 8000
