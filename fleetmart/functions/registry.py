@@ -67,7 +67,7 @@ def with_columns(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
     for i in range(0, len(columns), WIDE):
         df = df.withColumns(dict(columns[i : i + WIDE])).coalesce(1 << 20)
     of = {c.lower(): c for c in new}
-    kept = [F.col(f"`{held[of[c.lower()]]}`").alias(c) if c.lower() in of else F.col(f"`{c}`") for c in old]
+    kept = [F.col(f"`{held[of[c.lower()]]}`").alias(of[c.lower()]) if c.lower() in of else F.col(f"`{c}`") for c in old]
     return df.select(*kept, *[F.col(f"`{h}`").alias(c) for c, h in held.items() if c.lower() not in {o.lower() for o in old}])
 
 
