@@ -27,6 +27,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def hashed(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The keyed side of an equi join as a hash table: broadcast if its size was checked, else one table for each
+    partition of both sides. The other side passes by unsorted, so what a task holds is its share of this side."""
+    return F.broadcast(df) if is_small(df, max_rows) else df.hint("shuffle_hash")
+
+
 def config_frame(spark, values: Mapping[str, Mapping[str, object]] | Mapping[str, object], key: str, schema: str) -> DataFrame:
     """Driver-side settings as a dimension: {key: value} or {key: {column: value}}.
 

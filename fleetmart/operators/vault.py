@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetmart.operators.joins import hashed
 from fleetmart.operators.project import union_by_name
 
 
@@ -54,13 +55,14 @@ def tables(df: DataFrame, layout: Mapping[str, Sequence[str]], keys: Mapping[str
 
 
 def of_keys(satellite: DataFrame, hub: DataFrame, key: str) -> DataFrame:
-    """Satellite rows whose key is in the hub or link."""
-    return satellite.join(hub.select(key), key, "left_semi")
+    """Satellite rows whose key is in the hub or link. The hub's size is checked: give a written one, not a long computation."""
+    return satellite.join(hashed(hub.select(key)), key, "left_semi")
 
 
 def stacked(satellites: Mapping[str, DataFrame], hub: DataFrame, key: str) -> DataFrame:
-    """Satellite rows of a hub in one frame: columns by name, the satellite's name as a tag."""
-    return union_by_name([of_keys(s, hub, key).withColumn("satellite", F.lit(n)) for n, s in satellites.items()])
+    """Satellite rows of a hub, as :func:`of_keys` has them, in one frame: columns by name, the satellite's name as a tag."""
+    keys = hashed(hub.select(key))
+    return union_by_name([s.join(keys, key, "left_semi").withColumn("satellite", F.lit(n)) for n, s in satellites.items()])
 
 
 def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetmart.operators import vault as V
+from fleetmart.operators.joins import hashed
 from fleetmart.plans import layouts
 from fleetmart.plans.catalog.base import load, long, query, shown, shown_sql, stamp, stamp_sql
 
@@ -22,7 +23,7 @@ _MERGED_SQL = """m AS (SELECT CAST(o_orderkey AS BIGINT) AS event_id, CAST(o_cus
 
 def merged(spark, sf_dir):
     o, li = load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem")
-    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = li.join(hashed(o), F.col("l_orderkey") == F.col("o_orderkey"))
     return j.select(
         long(F.col("o_orderkey")).alias("event_id"), long(F.col("o_custkey")).alias("operator_id"), F.col("o_orderstatus").alias("customer_code"),
         F.col("o_orderdate").alias("ocurrence_datetime"), F.col("o_orderpriority").alias("origin"), (F.col("l_extendedprice") / 7).alias("plnd_block_fuel"),

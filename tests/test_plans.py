@@ -289,3 +289,36 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "o_totalprice" not in plan
     plan = all_queries()["vault_semi_join"].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderpriority)" in plan
+
+
+def test_vault_rows_pass_their_orders_and_hub_unsorted(spark, tmp_path):
+    """Keys repeat and are null on all sides; the keyed sides are too large to broadcast."""
+    from fleetmart.operators import vault as Va
+    from fleetmart.plans.catalog import all_queries
+
+    order = [(None if i % 1000 == 7 else i - (i % 50 == 1), "2-HIGH" if i % 10 == 3 else "1-URGENT") for i in range(120_000)]
+    lines = [(None if i % 40 == 0 else i // 2, i % 2, float(i), 7.0 * i) for i in range(600)]
+    (
+        spark.range(120_000)
+        .selectExpr("IF(id % 1000 = 7, NULL, id - IF(id % 50 = 1, 1, 0)) AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "TIMESTAMP_NTZ '2024-05-01 00:00:00' AS o_orderdate", "IF(id % 10 = 3, '2-HIGH', '1-URGENT') AS o_orderpriority")
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    )
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    of, urgent = {}, {k for k, p in order if k is not None and p == "1-URGENT"}
+    for k, p in order:
+        of.setdefault(k, []).append(p)
+    met = [(k, p, n, q, x) for k, n, q, x in lines if k is not None for p in of.get(k, []) if k in urgent]
+    expected = [(k, p, round(x / 7, 4), "planned", None, None) for k, p, n, q, x in met] + [(k, None, None, "actual", n, round(q / 3, 4)) for k, p, n, q, x in met]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, joins in {"vault_hub": 1, "vault_sat": 1, "vault_semi_join": 2, "vault_union": 4}.items():
+            df = all_queries()[name].run(spark, str(tmp_path))
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == joins, name
+        cols = ["event_id", "ORIGIN", "plnd_block_fuel", "satellite", "line", "act_trip_fuel"]
+        assert len(met) != len({r[0] for r in met}) and rows(df.select(*cols)) == sorted(expected, key=str)
+        few = Va.of_keys(spark.range(9), spark.createDataFrame([(3,), (3,), (None,)], "id bigint"), "id")
+        assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString() and rows(few) == [(3,)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
